@@ -14,6 +14,7 @@ from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.scalars import clean_quotes
 from tidemark.operators.latest import latest_change, latest_per_key
@@ -237,7 +238,7 @@ def diff_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Da
 def stamp(changes: DataFrame, version: int | Column, ts: Column) -> DataFrame:
     version = version if isinstance(version, Column) else F.lit(version)
     return (changes.withColumn("_commit_version", version.cast("long"))
-                   .withColumn("_commit_timestamp", ts))
+                   .withColumn("_commit_timestamp", ts.cast("timestamp")))
 
 
 def init_change_log(df: DataFrame, ts: Column) -> DataFrame:
@@ -251,9 +252,20 @@ def write_version(changes: DataFrame, path: str, version: int, ts: Column) -> No
      .write.mode("overwrite").parquet(f"{path}/_commit_version={int(version)}"))
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """The whole log; columns a later version added are NULL in earlier ones."""
-    log = spark.read.option("mergeSchema", "true").parquet(path)
+def log_schema(columns: T.StructType) -> T.StructType:
+    """Schema of the log of a table with these columns."""
+    return T.StructType([*columns, T.StructField("_change_type", T.StringType()),
+                         T.StructField("_commit_timestamp", T.TimestampType()),
+                         T.StructField("_commit_version", T.LongType())])
+
+
+def read_log(spark: SparkSession, path: str, columns: T.StructType | None = None) -> DataFrame:
+    """The whole log; columns a later version added are NULL in earlier ones.
+
+    Without the table's ``columns`` Spark opens every file's footer to merge schemas.
+    """
+    log = (spark.read.option("mergeSchema", "true").parquet(path) if columns is None
+           else spark.read.schema(log_schema(columns)).parquet(path))
     plain = [c for c in log.columns if c not in META]
     return log.select(*plain, "_change_type", F.col("_commit_version").cast("long").alias("_commit_version"),
                       "_commit_timestamp")

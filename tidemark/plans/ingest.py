@@ -1,2 +1,241 @@
-QUERIES = {}
-ORACLE = {}
+"""Ingestion: file and message input, schemas, constraints, layers, layout.
+
+Messages are ``events`` rows packed as JSON. Readings of type ``error`` carry a value
+that is no number, and readings of type ``signup`` a field that appears later.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
+
+from tidemark.operators import layout, quality
+from tidemark.operators.features import enrich
+from tidemark.plans.common import folders, replay, stream_session, table
+from tidemark.sources import files, schema as schemas, tables
+from tidemark.streaming import evolve, layers, sinks
+
+READING = "event_id long, event_type string, value double, infos struct<k: int>"
+
+
+def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelope rows: key, binary payload, sequence number."""
+    kind = F.col("event_type")
+    value = F.when(kind == "error", F.lit("bad")).otherwise(F.col("value").cast("string"))
+    quoted = F.when(kind == "error", F.concat(F.lit('"'), value, F.lit('"'))).otherwise(value)
+    later = F.when(kind == "signup", F.lit(', "new_column": "test"')).otherwise("")
+    payload = F.concat(F.lit('{"event_id": '), "event_id", F.lit(', "event_type": "'), kind,
+                       F.lit('", "value": '), quoted, F.lit(', "infos": '), "props", later, F.lit("}"))
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("double").alias("key"), payload.cast("binary").alias("value"),
+        F.col("event_id").cast("string").alias("sequence"), "event_type")
+
+
+def decoded(spark, sf_dir):
+    out = files.decode_envelope(_messages(spark, sf_dir), "value", "text", keep=["sequence"])
+    return out.select(F.col("sequence").cast("long").alias("event_id"), F.length("text").alias("n"))
+
+
+def parse_rescue(spark, sf_dir):
+    text = files.decode_envelope(_messages(spark, sf_dir))
+    out = schemas.parse_with_rescue(text, "value", READING)
+    return out.select("event_id", "event_type", "value", F.col("infos.k").alias("k"), "_incorrect_data")
+
+
+def unknown_fields(spark, sf_dir):
+    """How many messages carry each field the schema does not have."""
+    text = files.decode_envelope(_messages(spark, sf_dir))
+    names = schemas.unknown_fields(F.col("value"), T.StructType.fromDDL(READING))
+    return text.select(F.explode(names).alias("field")).groupBy("field").agg(F.count("*").alias("n"))
+
+
+def evolved_stream(spark, sf_dir):
+    """The JSON stream meets a new field in its second delivery, stops, widens its schema, goes on."""
+    own = stream_session(spark)
+    source, target, schema_dir, checkpoint = folders(spark, "evolve", "in", "out", "schema", "checkpoint")
+    messages = _messages(spark, sf_dir)
+    for late in (False, True):
+        part = messages.filter((F.col("event_type") == "signup") == late)
+        part.select(F.col("value").cast("string")).write.mode("append").text(source)
+        evolve.run_with_schema_evolution(lambda: evolve.start_json_stream(
+            own, source, target, schema_dir, checkpoint,
+            hints="event_id BIGINT, event_type STRING, value DOUBLE, infos STRUCT<k: INT>"))
+    out = evolve.read_evolved(spark, target)
+    return out.select("event_id", "value", F.col("infos.k").alias("k"), "new_column", "_incorrect_data")
+
+
+def copy_into(spark, sf_dir):
+    """Two deliveries and three loads: every file is loaded once."""
+    own = stream_session(spark)
+    source, target, ledger = folders(spark, "copy", "in", "out", "ledger")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    load = lambda: files.copy_into(own, source, "parquet", events.schema, target, ledger)
+    replay([events.filter("user_id % 2 = 0"), events.filter("user_id % 2 = 1")], source, load)
+    load()
+    return spark.read.parquet(target)
+
+
+def pending_rows(spark, sf_dir):
+    """Two deliveries, of which the ledger lists the first: the rows still to load, without their file."""
+    source, ledger = folders(spark, "pending", "in", "ledger")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    events.filter("event_type = 'click'").write.mode("append").parquet(source)
+    files.with_source_file(spark.read.parquet(source)).select("file_name").distinct().write.parquet(ledger)
+    events.filter("event_type != 'click'").write.mode("append").parquet(source)
+    return files.pending_rows(spark.read.parquet(source), spark.read.parquet(ledger)).drop("file_name")
+
+
+def source_lineage(spark, sf_dir):
+    named = files.with_source_file(table(spark, sf_dir, "events"))
+    short = F.regexp_extract("file_name", "[^/]+$", 0)
+    return named.groupBy(short.alias("file")).agg(F.count("*").alias("n"))
+
+
+def append_evolved(spark, sf_dir):
+    """Old rows without a priority, new rows with one."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
+    old = orders.filter("o_orderdate < '1998-01-01'").drop("o_orderpriority")
+    return quality.append_merge_schema(old, orders.filter("o_orderdate >= '1998-01-01'"))
+
+
+def append_checked(spark, sf_dir):
+    """Columns in another order and a narrower integer are accepted."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", F.col("p_size").cast("long").alias("p_size"))
+    more = table(spark, sf_dir, "part").select("p_size", "p_name", (-F.col("p_partkey") - 1).alias("p_partkey"))
+    return parts.union(quality.check_append(parts.schema, more))
+
+
+CHECKS = {"discount below 8 %": "l_discount < 0.08", "tax known if open": "l_linestatus = 'F' OR l_tax > 0"}
+
+
+def quarantine(spark, sf_dir):
+    """Rows per broken constraint, and the clean ones."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_discount", "l_tax", "l_linestatus")
+    good, bad = quality.quarantine(lines, ["l_orderkey"], CHECKS)
+    broken = bad.select(F.explode("_violations").alias("rule")).groupBy("rule").agg(F.count("*").alias("n"))
+    return broken.unionByName(good.agg(F.count("*").alias("n")).select(F.lit("clean").alias("rule"), "n"))
+
+
+def enforced(spark, sf_dir):
+    """A table that keeps its constraints passes unchanged."""
+    return quality.enforce(table(spark, sf_dir, "part").select("p_partkey", "p_size"), ["p_partkey"],
+                           {"size is positive": "p_size >= 0"})
+
+
+def _readings(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("id"), "l_orderkey", "l_linenumber", F.col("l_quantity").alias("speed"))
+
+
+def _labels(spark, sf_dir):
+    return table(spark, sf_dir, "part").filter("p_size < 40").select(
+        F.col("p_partkey").alias("id"), F.col("p_brand").alias("status"))
+
+
+def enrich_left(spark, sf_dir):
+    return enrich(_readings(spark, sf_dir), _labels(spark, sf_dir), ["id"])
+
+
+def enrich_salted(spark, sf_dir):
+    return enrich(_readings(spark, sf_dir), _labels(spark, sf_dir), ["id"], salts=4)
+
+
+def layered_stream(spark, sf_dir):
+    """Raw → typed → enriched, two deliveries, every layer its own query."""
+    own = stream_session(spark)
+    names = ["in", "raw", "typed", "enriched", "c1", "c2", "c3"]
+    source, raw, typed, enriched, c1, c2, c3 = folders(spark, "layers", *names)
+    readings = _readings(spark, sf_dir)
+    messages = readings.select(F.col("id").cast("double").alias("key"),
+                               F.to_json(F.struct(*readings.columns)).cast("binary").alias("value"))
+    labels = _labels(own, sf_dir)
+
+    def run() -> None:
+        stream = files.stream_files(own, source, "parquet", "key double, value binary", max_files=None)
+        layers.raw_layer(stream, "value", ["key"], raw, c1, available_now=True).awaitTermination()
+        layers.typed_layer(own, raw, "key double, value string", readings.schema, typed, c2, ["id"],
+                           {"id is not negative": "id >= 0"}, available_now=True).awaitTermination()
+        layers.enriched_layer(own, typed, readings.schema, labels, ["id"], enriched, c3,
+                              available_now=True).awaitTermination()
+
+    replay([messages.filter("key < 500"), messages.filter("key >= 500")], source, run)
+    return spark.read.parquet(enriched)
+
+
+def table_stream(spark, sf_dir):
+    """Stream into a named table and read it by name."""
+    own = stream_session(spark)
+    path, checkpoint = folders(spark, "named", "table", "checkpoint")
+    name = "tidemark_" + checkpoint.split("/")[-2].replace("-", "_")
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    parts.limit(0).write.parquet(path)
+    tables.create_table(own, name, path)
+    stream = files.stream_files(own, f"{sf_dir}/part.parquet*", "parquet", parts.schema, max_files=None)
+    sinks.sink_table(stream, name, checkpoint, available_now=True).awaitTermination()
+    return own.table(name)
+
+
+def publish_latest(spark, sf_dir):
+    """The rows an online store receives: each user's newest event."""
+    events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
+    return tables.online_rows(events, ["user_id"], [F.desc("ts"), F.desc("event_id")])
+
+
+def table_detail(spark, sf_dir):
+    out = layout.table_detail(table(spark, sf_dir, "orders"))
+    return out.select("n_files", "n_rows", (F.col("n_bytes") > 0).alias("has_bytes"))
+
+
+def compact(spark, sf_dir):
+    """Many small files rewritten as few."""
+    small, large = folders(spark, "compact", "small", "large")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    orders.repartition(64).write.parquet(small)
+    layout.write_compacted(spark.read.parquet(small), large)
+    return spark.read.parquet(large)
+
+
+def zorder(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
+    return layout.zorder(orders, ["o_orderpriority", "o_orderdate"])
+
+
+QUERIES = {f.__name__: f for f in (
+    decoded, parse_rescue, unknown_fields, evolved_stream, copy_into, pending_rows, source_lineage, append_evolved,
+    append_checked, quarantine, enforced, enrich_left, enrich_salted, layered_stream, table_stream, publish_latest,
+    table_detail, compact, zorder)}
+
+_RESCUED = """CASE WHEN event_type = 'error' THEN '{"value":"bad"}' END AS _incorrect_data"""
+_K = "CAST(json_extract(props, '$.k') AS INTEGER) AS k"
+_VALUE = "CASE WHEN event_type <> 'error' THEN value END AS value"
+_ENRICHED = """SELECT l_partkey AS id, l_orderkey, l_linenumber, l_quantity AS speed, p_brand AS status
+FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size < 40) ON l_partkey = p_partkey"""
+
+ORACLE = {
+    "parse_rescue": f"SELECT event_id, event_type, {_VALUE}, {_K}, {_RESCUED} FROM events",
+    "unknown_fields": "SELECT 'new_column' AS field, count(*) AS n FROM events WHERE event_type = 'signup'",
+    "evolved_stream": f"""SELECT event_id, {_VALUE}, {_K},
+        CASE WHEN event_type = 'signup' THEN 'test' END AS new_column, {_RESCUED} FROM events""",
+    "copy_into": "SELECT event_id, user_id, value FROM events",
+    "pending_rows": "SELECT event_id, event_type FROM events WHERE event_type <> 'click'",
+    "source_lineage": "SELECT 'events.parquet' AS file, count(*) AS n FROM events",
+    "append_evolved": """SELECT o_orderkey, o_orderdate,
+        CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN o_orderpriority END AS o_orderpriority FROM orders""",
+    "append_checked": """SELECT p_partkey, p_name, CAST(p_size AS BIGINT) AS p_size FROM part
+        UNION ALL SELECT -p_partkey - 1, p_name, CAST(p_size AS BIGINT) FROM part""",
+    "quarantine": """
+        WITH t AS (SELECT l_discount >= 0.08 AS a, l_linestatus <> 'F' AND l_tax <= 0 AS b FROM lineitem)
+        SELECT 'discount below 8 %' AS rule, count(*) AS n FROM t WHERE a
+        UNION ALL SELECT 'tax known if open', count(*) FROM t WHERE b
+        UNION ALL SELECT 'clean', count(*) FROM t WHERE NOT a AND NOT b""",
+    "enforced": "SELECT p_partkey, p_size FROM part",
+    "enrich_left": _ENRICHED,
+    "enrich_salted": _ENRICHED,
+    "layered_stream": _ENRICHED,
+    "table_stream": "SELECT p_partkey, p_brand FROM part",
+    "publish_latest": """SELECT user_id, ts, event_id, value FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    "table_detail": "SELECT CAST(1 AS BIGINT) AS n_files, count(*) AS n_rows, TRUE AS has_bytes FROM orders",
+    "compact": "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders",
+    "zorder": "SELECT o_orderkey, o_orderstatus, o_orderpriority, o_orderdate FROM orders",
+}

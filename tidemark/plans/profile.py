@@ -1,2 +1,327 @@
-QUERIES = {}
-ORACLE = {}
+"""Profiling, features, clusters, classification, evaluation and run choice."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tidemark.operators import attribution, features as FT, metrics, models, runs, sampling, stats
+from tidemark.operators.latest import dedupe
+from tidemark.plans.common import table
+
+MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+DIMS = 64
+SENSORS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
+
+# The segment names of the clusters.
+SEGMENTS = {"cluster_1": "small_spenders", "cluster_2": "medium_spenders",
+            "cluster_3": "large_spenders", "cluster_4": "critical_spenders"}
+
+
+def class_balance(spark, sf_dir):
+    return stats.class_balance(table(spark, sf_dir, "lineitem"), "l_returnflag")
+
+
+def summary_stats(spark, sf_dir):
+    out = stats.summary_stats(table(spark, sf_dir, "lineitem"), MEASURES)
+    return out.select("column", "count", F.round("mean", 4).alias("mean"), F.round("stddev", 4).alias("stddev"),
+                      "min", "max")
+
+
+def missing_counts(spark, sf_dir):
+    """Left join with labels leaves gaps to count."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    return stats.missing_counts(docs.join(table(spark, sf_dir, "labels"), "doc_id", "left"))
+
+
+def drop_null_columns(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return stats.drop_null_columns(docs.join(table(spark, sf_dir, "labels"), "doc_id", "left"))
+
+
+def corr_matrix(spark, sf_dir):
+    out = stats.correlation_matrix(table(spark, sf_dir, "lineitem"), MEASURES)
+    return out.withColumn("r", F.round("r", 6))
+
+
+def class_weights(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    return stats.class_weights(labels, "toxic").withColumn("weight", F.round("weight", 9))
+
+
+def deduplicated(spark, sf_dir):
+    """One line per order: the first by line number, then by the other columns."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    order = [F.asc(c) for c in ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")]
+    return dedupe(lines, ["l_orderkey"], order)
+
+
+def minmax_scaled(spark, sf_dir):
+    customers = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.col("c_acctbal").alias("balance"), F.col("c_nationkey").cast("double").alias("nation"))
+    out = stats.minmax(customers, ["balance", "nation"])
+    return out.select("c_custkey", *[F.round(c, 6).alias(c) for c in ("balance", "nation")])
+
+
+def cluster_profile(spark, sf_dir):
+    """Mean embedding per label, in long form."""
+    wide = table(spark, sf_dir, "embeddings").select(
+        "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(DIMS)])
+    means = stats.cluster_profile(wide, "label", [f"e{i}" for i in range(DIMS)])
+    return means.select("label", F.posexplode(F.array(*[F.round(f"e{i}", 5) for i in range(DIMS)])).alias("dim", "mean"))
+
+
+def _vectors(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select(
+        "vec_id", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(3)])
+
+
+VECTOR = [f"e{i}" for i in range(3)]
+
+
+def kmeans_elbow(spark, sf_dir):
+    return models.kmeans_elbow(_vectors(spark, sf_dir), VECTOR)
+
+
+def segments(spark, sf_dir):
+    vectors = _vectors(spark, sf_dir)
+    return models.segment(vectors, models.segment_model(vectors, VECTOR), SEGMENTS)
+
+
+def segments_udf(spark, sf_dir):
+    """The same assignment through a registered SQL function."""
+    vectors = _vectors(spark, sf_dir)
+    own = spark.newSession()
+    own.udf.register("segment_of", models.segment_udf(models.segment_model(vectors, VECTOR), SEGMENTS))
+    _vectors(own, sf_dir).createOrReplaceTempView("vectors")
+    return own.sql("SELECT vec_id, segment_of(e0, e1, e2) AS segment FROM vectors")
+
+
+def time_features(spark, sf_dir):
+    out = FT.time_features(table(spark, sf_dir, "events"), "event_id", "ts", weekend=True)
+    return out.select("event_id", *[F.round(c, 6).alias(c) for c in ("cos_month", "sin_month", "cos_hour", "sin_hour")],
+                      "is_weekend")
+
+
+def _feature_tables(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    sensors = FT.sensor_features(events.withColumn("k", F.from_json("props", "k int")["k"]), "event_id", ["value", "k"])
+    seasons = FT.time_features(events.filter("event_type != 'view'"), "event_id", "ts")
+    labels = FT.damage_label(events, "event_id", "event_type", bad="error")
+    return labels, sensors, seasons.select("event_id", *[F.round(c, 6).alias(c) for c in seasons.columns[1:]])
+
+
+def training_set(spark, sf_dir):
+    """Labels with sensor and season features; views have no season row."""
+    labels, sensors, seasons = _feature_tables(spark, sf_dir)
+    return FT.build_training_set(labels, [FT.lookups_for(sensors, "event_id"), FT.lookups_for(seasons, "event_id")],
+                                 "damaged")
+
+
+def merge_features(spark, sf_dir):
+    """Version 1 covers all but views; version 2 adds a column and the missing rows, without clicks."""
+    events = table(spark, sf_dir, "events")
+    old = FT.time_features(events.filter("event_type != 'view'"), "event_id", "ts").select("event_id", "cos_hour")
+    new = FT.time_features(events.filter("event_type != 'click'"), "event_id", "ts", weekend=True)
+    merged = FT.write_features(old, new.select("event_id", "is_weekend", (F.col("cos_hour") * 2).alias("cos_hour")),
+                               ["event_id"])
+    return merged.withColumn("cos_hour", F.round("cos_hour", 6))
+
+
+def ml_ready(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    return FT.ml_ready(docs, ["doc_id", "n_chars", "quality"])
+
+
+def _predictions(spark, sf_dir):
+    """Quality is the truth, the opposite of toxic the prediction."""
+    return table(spark, sf_dir, "labels").select(
+        F.col("quality").alias("label"), (1 - F.col("toxic")).alias("prediction"))
+
+
+def confusion(spark, sf_dir):
+    return metrics.confusion_matrix(_predictions(spark, sf_dir))
+
+
+def label_metrics(spark, sf_dir):
+    out = metrics.label_metrics(_predictions(spark, sf_dir), 1)
+    return out.select(*[F.round(c, 6).alias(c) for c in out.columns])
+
+
+def _scored_lines(spark, sf_dir):
+    """Whether a line was returned, scored by its price."""
+    return table(spark, sf_dir, "lineitem").select(
+        (F.col("l_returnflag") == "R").cast("int").alias("label"), "l_extendedprice",
+        (F.col("l_extendedprice") / 100000).alias("probability"))
+
+
+def auc(spark, sf_dir):
+    return metrics.auc(_scored_lines(spark, sf_dir), "label", "l_extendedprice").select(F.round("auc", 8).alias("auc"))
+
+
+def f1_rounded(spark, sf_dir):
+    return metrics.f1_rounded(_scored_lines(spark, sf_dir), "label", "probability").select(F.round("f1", 6).alias("f1"))
+
+
+def mean_abs(spark, sf_dir):
+    """Largest mean distance from the column's middle."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_quantity") - 25).alias("l_quantity"), (F.col("l_discount") - 0.05).alias("l_discount"),
+        (F.col("l_linenumber") - 4.0).alias("l_linenumber"))
+    return metrics.mean_abs(lines, lines.columns, 2).withColumn("mean_abs", F.round("mean_abs", 5))
+
+
+def _lines(spark, sf_dir):
+    """Readings with a status that depends on them: large discounted orders are damaged."""
+    damaged = (F.col("l_discount") > 0.06) & (F.col("l_quantity") > 20)
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", *SENSORS, F.when(damaged, "damaged").otherwise("healthy").alias("status"))
+
+
+def _fitted(spark, sf_dir):
+    lines = stats.class_weights(_lines(spark, sf_dir), "status")
+    train, test = sampling.split_keys(lines, ["l_orderkey"], [0.9, 0.1], seed=42)
+    return models.damage_pipeline(SENSORS, "status", depths=(3, 4), weight="weight").fit(train), train, test
+
+
+def gbt_score(spark, sf_dir):
+    """Hold-out precision, recall and F1 of the weighted classifier."""
+    model, _, test = _fitted(spark, sf_dir)
+    return metrics.label_metrics(model.transform(test), 1.0)
+
+
+def gbt_predictions(spark, sf_dir):
+    """Every row scored and given a status."""
+    model, *_ = _fitted(spark, sf_dir)
+    return models.with_status(models.score_table(model, _lines(spark, sf_dir), ["l_orderkey", "l_linenumber"]))
+
+
+def feature_importance(spark, sf_dir):
+    model, *_ = _fitted(spark, sf_dir)
+    return models.feature_importance(model, SENSORS)
+
+
+def _shapley(spark, sf_dir):
+    model, train, _ = _fitted(spark, sf_dir)
+    ready = model.transform(_lines(spark, sf_dir)).withColumn("margin", vector_to_array("rawPrediction")[1])
+    background = attribution.background_rows(model.transform(train), "features")
+    return attribution.shapley(ready, models.best_trees(model), SENSORS, background, keep=["l_orderkey", "margin"])
+
+
+def shapley(spark, sf_dir):
+    """Attribution of every row; ``gap`` is what is missing to the model's margin."""
+    out = _shapley(spark, sf_dir)
+    total = sum((F.col(f"{f}_shap") for f in SENSORS), F.col("base"))
+    return out.withColumn("gap", F.round(F.abs(total - F.col("margin")), 6))
+
+
+def shapley_top(spark, sf_dir):
+    return metrics.mean_abs(_shapley(spark, sf_dir), [f"{f}_shap" for f in SENSORS], 6)
+
+
+def parameter_search(spark, sf_dir):
+    _, found = models.random_search(_lines(spark, sf_dir), SENSORS, "status", trials=4, iterations=5, depth=(2, 5))
+    return found.orderBy(F.desc("auc"))
+
+
+def split_counts(spark, sf_dir):
+    """Sizes of a key-stable 90/10 split and of a 1 % sample."""
+    events = table(spark, sf_dir, "events")
+    parts = [*sampling.split_keys(events, ["event_id"], [0.9, 0.1], 42), sampling.sample_keys(events, ["event_id"], 0.01, 123)]
+    counts = [p.agg(F.count("*").alias("n")).select(F.lit(name).alias("part"), "n")
+              for p, name in zip(parts, ("train", "test", "sample"))]
+    return counts[0].union(counts[1]).union(counts[2])
+
+
+def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each supplier is a run: mean discount as AUC, share of returns as F1; odd nations failed."""
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(
+        F.round(F.avg("l_discount"), 6).alias("auc"),
+        F.round(F.avg((F.col("l_returnflag") == "R").cast("int")), 6).alias("F1"))
+    suppliers = table(spark, sf_dir, "supplier").withColumnRenamed("s_suppkey", "l_suppkey")
+    return suppliers.join(lines, "l_suppkey").select(
+        F.col("s_nationkey").cast("string").alias("experiment_id"), F.col("s_name").alias("run_id"),
+        F.when(F.col("s_nationkey") % 2 == 1, "FAILED").otherwise("FINISHED").alias("status"),
+        F.concat(F.lit("runs/"), "l_suppkey").alias("artifact_uri"),
+        F.create_map(F.lit("auc"), "auc", F.lit("F1"), "F1").alias("metrics"))
+
+
+def leaderboard(spark, sf_dir):
+    return runs.leaderboard(_runs(spark, sf_dir))
+
+
+def best_run(spark, sf_dir):
+    return runs.best_run(_runs(spark, sf_dir)).select("run_id", "artifact_uri")
+
+
+QUERIES = {f.__name__: f for f in (
+    class_balance, summary_stats, missing_counts, drop_null_columns, corr_matrix, class_weights, deduplicated,
+    minmax_scaled, cluster_profile, kmeans_elbow, segments, segments_udf, time_features, training_set, merge_features,
+    ml_ready, confusion, label_metrics, auc, f1_rounded, mean_abs, gbt_score, gbt_predictions, feature_importance,
+    shapley, shapley_top, parameter_search, split_counts, leaderboard, best_run)}
+
+_CORR = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM lineitem"
+                           for a in MEASURES for b in MEASURES)
+_SUMMARY = " UNION ALL ".join(f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 4) AS mean,
+    round(stddev_samp({c}), 4) AS stddev, min({c}) AS min, max({c}) AS max FROM lineitem""" for c in MEASURES)
+_TIMES = """WITH t AS (SELECT event_id, event_type, value, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
+    2 * pi() * month(ts) / 12 AS m, 2 * pi() * hour(ts) / 24 AS h,
+    CAST(dayofweek(ts) IN (0, 6) AS INTEGER) AS is_weekend FROM events) """
+_COUNTS = """SELECT count(*) FILTER (WHERE said AND is_) AS tp, count(*) FILTER (WHERE said AND NOT is_) AS fp,
+    count(*) FILTER (WHERE NOT said AND is_) AS fn"""
+_RUNS = """WITH r AS (
+  SELECT CAST(s_nationkey AS VARCHAR) AS experiment_id, s_name AS run_id, 'runs/' || s_suppkey AS artifact_uri, auc, f1
+  FROM supplier JOIN (SELECT l_suppkey, round(avg(l_discount), 6) AS auc,
+                             round(avg(CAST(l_returnflag = 'R' AS INTEGER)), 6) AS f1 FROM lineitem GROUP BY 1)
+       ON s_suppkey = l_suppkey
+  WHERE s_nationkey % 2 = 0) """
+
+ORACLE = {
+    "class_balance": "SELECT l_returnflag, count(*) AS count FROM lineitem GROUP BY 1",
+    "summary_stats": _SUMMARY,
+    "missing_counts": """WITH j AS (SELECT d.doc_id, lang, source, quality, toxic FROM documents d LEFT JOIN labels USING (doc_id))
+        SELECT unnest(['doc_id', 'lang', 'source', 'quality', 'toxic']) AS "column",
+               unnest([count(*) - count(doc_id), count(*) - count(lang), count(*) - count(source),
+                       count(*) - count(quality), count(*) - count(toxic)]) AS missing FROM j""",
+    "drop_null_columns": "SELECT doc_id, lang FROM documents",
+    "corr_matrix": _CORR,
+    "class_weights": """SELECT doc_id, toxic, round(1.0 / CAST(count(*) OVER (PARTITION BY toxic) AS DOUBLE), 9) AS weight
+        FROM labels""",
+    "deduplicated": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem
+        QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) = 1""",
+    "minmax_scaled": """SELECT c_custkey,
+        round((c_acctbal - min(c_acctbal) OVER ()) / (max(c_acctbal) OVER () - min(c_acctbal) OVER ()) * 10, 6) AS balance,
+        round(CAST(c_nationkey - min(c_nationkey) OVER () AS DOUBLE)
+              / (max(c_nationkey) OVER () - min(c_nationkey) OVER ()) * 10, 6) AS nation FROM customer""",
+    "cluster_profile": """SELECT label, CAST(i AS INTEGER) AS dim, round(avg(CAST(embedding[i + 1] AS DOUBLE)), 5) AS mean
+        FROM embeddings, range(64) r(i) GROUP BY 1, 2""",
+    "time_features": _TIMES + """SELECT event_id, round(cos(m), 6) AS cos_month, round(sin(m), 6) AS sin_month,
+        round(cos(h), 6) AS cos_hour, round(sin(h), 6) AS sin_hour, is_weekend FROM t""",
+    "training_set": _TIMES + """SELECT event_id, value, k,
+        CASE WHEN event_type <> 'view' THEN round(cos(m), 6) END AS cos_month,
+        CASE WHEN event_type <> 'view' THEN round(sin(m), 6) END AS sin_month,
+        CASE WHEN event_type <> 'view' THEN round(cos(h), 6) END AS cos_hour,
+        CASE WHEN event_type <> 'view' THEN round(sin(h), 6) END AS sin_hour,
+        event_type = 'error' AS damaged FROM t""",
+    "merge_features": _TIMES + """SELECT event_id,
+        round(CASE WHEN event_type = 'click' THEN 1 ELSE 2 END * cos(h), 6) AS cos_hour,
+        CASE WHEN event_type <> 'click' THEN is_weekend END AS is_weekend FROM t""",
+    "ml_ready": "SELECT doc_id, n_chars, quality FROM documents JOIN labels USING (doc_id)",
+    "confusion": """SELECT quality AS label, 1 - toxic AS prediction, count(*) AS count FROM labels GROUP BY 1, 2""",
+    "label_metrics": f"""WITH p AS (SELECT toxic = 0 AS said, quality = 1 AS is_ FROM labels), c AS ({_COUNTS} FROM p)
+        SELECT round(tp / (tp + fp), 6) AS precision, round(tp / (tp + fn), 6) AS recall,
+               round(2 * tp / (2 * tp + fp + fn), 6) AS f1 FROM c""",
+    "auc": """WITH r AS (SELECT l_returnflag = 'R' AS pos, l_extendedprice AS s FROM lineitem),
+        c AS (SELECT s, count(*) FILTER (WHERE pos) AS p, count(*) FILTER (WHERE NOT pos) AS n FROM r GROUP BY 1),
+        w AS (SELECT p, n, sum(n) OVER (ORDER BY s) - n AS below FROM c)
+        SELECT round(CAST(sum(p * (below + n / 2)) AS DOUBLE) / (CAST(sum(p) AS DOUBLE) * CAST(sum(n) AS DOUBLE)), 8) AS auc FROM w""",
+    "f1_rounded": f"""WITH p AS (SELECT round_even(l_extendedprice / 100000, 0) = 1 AS said, l_returnflag = 'R' AS is_
+        FROM lineitem), c AS ({_COUNTS} FROM p) SELECT round(2 * tp / (2 * tp + fp + fn), 6) AS f1 FROM c""",
+    "mean_abs": """SELECT * FROM (
+        SELECT round(avg(abs(l_quantity - 25)), 5) AS mean_abs, 'l_quantity' AS "column" FROM lineitem
+        UNION ALL SELECT round(avg(abs(l_discount - 0.05)), 5), 'l_discount' FROM lineitem
+        UNION ALL SELECT round(avg(abs(l_linenumber - 4.0::DOUBLE)), 5), 'l_linenumber' FROM lineitem)
+        ORDER BY 1 DESC LIMIT 2""",
+    "leaderboard": _RUNS + "SELECT experiment_id, run_id, auc, f1 AS F1, artifact_uri FROM r",
+    "best_run": _RUNS + "SELECT run_id, artifact_uri FROM r WHERE f1 > 0 ORDER BY f1 DESC, run_id LIMIT 1",
+}

@@ -13,15 +13,15 @@ from tidemark.operators.changes import (apply_cdc, as_of, expire, propagate, rea
 from tidemark.streaming.sinks import sink_batches
 
 
-def _before(spark: SparkSession, log_path: str, version: int, keys: DataFrame, key: str,
-            empty: DataFrame) -> DataFrame:
+def _before(batch: DataFrame, log_path: str, version: int, key: str, columns: Sequence[str]) -> DataFrame:
     """Current rows of the batch's keys, from versions below ``version`` only."""
+    table = batch.select(*columns)
     try:
-        log = read_log(spark, log_path)
-    except AnalysisException:
-        return empty
+        log = read_log(batch.sparkSession, log_path, table.schema)
+    except AnalysisException:  # nothing written yet
+        return table.limit(0)
     older = table_changes(log, 0, version - 1)
-    return as_of(older.join(keys.select(key).distinct(), key, "left_semi"), [key])
+    return as_of(older.join(batch.select(key).distinct(), key, "left_semi"), [key]).select(*columns)
 
 
 def cdc_stream(ops: DataFrame, log_path: str, key: str, order: Sequence[Column], columns: Sequence[str],
@@ -35,10 +35,13 @@ def cdc_stream(ops: DataFrame, log_path: str, key: str, order: Sequence[Column],
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
         version = first_version + batch_id
-        empty = batch.select(*columns).limit(0)
-        target = _before(batch.sparkSession, log_path, version, batch, key, empty).select(*columns)
-        changes = apply_cdc(target, batch, key, order, op, not_older).changes
-        write_version(changes, log_path, version, F.current_timestamp())
+        batch = batch.persist()  # the merge reads it several times
+        try:
+            target = _before(batch, log_path, version, key, columns)
+            changes = apply_cdc(target, batch, key, order, op, not_older).changes
+            write_version(changes, log_path, version, F.current_timestamp())
+        finally:
+            batch.unpersist()
 
     return sink_batches(ops, apply, checkpoint, every, available_now)
 
@@ -48,9 +51,12 @@ def propagate_stream(feed: DataFrame, gold_log: str, key: str, columns: Sequence
                      available_now: bool = False) -> StreamingQuery:
     """Follow a change feed and keep the downstream table as a change log of its own."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        empty = batch.select(*columns).limit(0)
-        gold = _before(batch.sparkSession, gold_log, batch_id, batch, key, empty).select(*columns)
-        write_version(propagate(gold, batch, key, clean).changes, gold_log, batch_id, F.current_timestamp())
+        batch = batch.persist()
+        try:
+            gold = _before(batch, gold_log, batch_id, key, columns)
+            write_version(propagate(gold, batch, key, clean).changes, gold_log, batch_id, F.current_timestamp())
+        finally:
+            batch.unpersist()
 
     return sink_batches(feed, apply, checkpoint, every, available_now)
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.session import scratch_dir
 from tidemark.sources.schema import (apply_schema_hints, infer_and_store_schema, merge_schemas,
                                      parse_with_rescue, store_schema, unknown_fields)
 from tidemark.streaming.sinks import sink_batches
@@ -17,12 +19,16 @@ class UnknownFields(RuntimeError):
     """Raised inside a micro-batch after the wider schema has been stored."""
 
 
+def _is_odd(schema: T.StructType) -> Column:
+    return F.size(unknown_fields(F.col("value"), schema)) > 0
+
+
 def start_json_stream(spark: SparkSession, source: str, target: str, schema_dir: str, checkpoint: str,
                       hints: str | None = None, rescue: str = "_incorrect_data", sample_files: int = 10,
                       max_files: int | None = None) -> StreamingQuery:
     """Parse JSON lines with the stored schema; misfits go to ``rescue``.
 
-    A batch with unknown fields stores the wider schema and fails before it writes.
+    A batch with unknown fields fails its write, stores the wider schema and stops the query.
     A batch writes its own folder, so a replay replaces it.
     """
     schema = infer_and_store_schema(spark, source, schema_dir, sample_files, hints)
@@ -30,16 +36,25 @@ def start_json_stream(spark: SparkSession, source: str, target: str, schema_dir:
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
+    def widen(batch: DataFrame) -> None:
+        """Infer the odd lines' fields on the cluster; only the merged schema comes back."""
+        path = scratch_dir(batch.sparkSession, "unknown-fields")
+        batch.filter(_is_odd(schema)).select("value").write.text(path)
+        wider = merge_schemas(schema, batch.sparkSession.read.json(path).schema)
+        store_schema(batch.sparkSession, schema_dir, apply_schema_hints(wider, hints) if hints else wider)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        odd = batch.filter(F.size(unknown_fields(F.col("value"), schema)) > 0)
-        if not odd.isEmpty():
-            # Inference is distributed; only the merged schema comes back.
-            seen = batch.sparkSession.read.json(odd.select("value"))
-            wider = merge_schemas(schema, seen.schema)
-            store_schema(batch.sparkSession, schema_dir, apply_schema_hints(wider, hints) if hints else wider)
-            raise UnknownFields(UNKNOWN)
-        (parse_with_rescue(batch, "value", schema, rescue)
-         .write.mode("overwrite").parquet(f"{target}/batch={batch_id}"))
+        # The check rides along with the write, so a batch without news is read once.
+        checked = batch.filter(F.when(_is_odd(schema), F.raise_error(F.lit(UNKNOWN)).cast("boolean"))
+                                .otherwise(F.lit(True)))
+        try:
+            (parse_with_rescue(checked, "value", schema, rescue)
+             .write.mode("overwrite").parquet(f"{target}/batch={batch_id}"))
+        except Exception as error:
+            if UNKNOWN in str(error):
+                widen(batch)
+                raise UnknownFields(UNKNOWN) from None
+            raise
 
     return sink_batches(reader.text(source), write, checkpoint, available_now=True)
 
