@@ -37,12 +37,14 @@ def auc(df: DataFrame, label: str, score: str) -> DataFrame:
     ranges; ranks run inside a range, and each range starts at the total of the
     lower ones, so no task ever orders all scores.
     """
-    per_score = df.groupBy(F.col(score).alias("score")).agg(
+    per_score = df.filter(F.col(score).isNotNull()).groupBy(F.col(score).alias("score")).agg(
         F.count_if(F.col(label) == 1).cast("double").alias("pos"),
         F.count_if(F.col(label) == 0).cast("double").alias("neg"))
     at = F.array(*[F.lit((i + 1) / RANGES) for i in range(RANGES - 1)])
     cuts = per_score.agg(F.percentile_approx("score", at).alias("c")).scalar()
-    ranged = per_score.withColumn("_range", F.size(F.filter(cuts, lambda c: c < F.col("score"))))
+    # First position among the sorted cuts = number of cuts below the score + 1.
+    place = F.array_position(F.sort_array(F.array_append(cuts, F.col("score"))), F.col("score"))
+    ranged = per_score.withColumn("_range", place)
     inside = Window.partitionBy("_range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     ranked = ranged.withColumn("_below", F.coalesce(F.sum("neg").over(inside), F.lit(0.0)))
     pairs = F.col("pos") * (F.col("_below") + F.col("neg") / 2)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Callable, Iterator, Sequence
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.scalars import cluster_name, threshold_label
 from tidemark.operators.features import Lookup, join_lookups
+from tidemark.operators.sampling import spread
 
 
 def _prepare(features: Sequence[str], label: str) -> list:
@@ -38,6 +40,23 @@ def damage_pipeline(features: Sequence[str], label: str, depths: Sequence[int] =
     return Pipeline(stages=[*_prepare(features, label), search])
 
 
+def train(pipeline: Pipeline, df: DataFrame, columns: Sequence[str]) -> PipelineModel:
+    """Fit on the needed columns only, spread evenly and cached for the many passes of a search."""
+    ready = spread(df.select(*columns)).persist()
+    try:
+        return pipeline.fit(ready)
+    finally:
+        ready.unpersist()
+
+
+def save_model(model: PipelineModel, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 def best_trees(model: PipelineModel):
     """The boosted-tree model a fitted pipeline ends in."""
     last = model.stages[-1]
@@ -57,7 +76,7 @@ def random_search(df: DataFrame, features: Sequence[str], label: str, trials: in
     search = TrainValidationSplit(estimator=gbt, estimatorParamMaps=draws, trainRatio=0.8, seed=seed,
                                   parallelism=parallelism,
                                   evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC"))
-    model = Pipeline(stages=[*_prepare(features, label), search]).fit(df)
+    model = train(Pipeline(stages=[*_prepare(features, label), search]), df, [*features, label])
     runs = [(i, d[gbt.maxDepth], d[gbt.stepSize], d[gbt.minInstancesPerNode], float(m))
             for i, (d, m) in enumerate(zip(draws, model.stages[-1].validationMetrics))]
     return model, df.sparkSession.createDataFrame(
@@ -106,11 +125,17 @@ def scaled_vectors(columns: Sequence[str], lo: float = 0.0, hi: float = 10.0) ->
             MinMaxScaler(min=lo, max=hi, inputCol="assembled", outputCol="features")]
 
 
-def kmeans_elbow(df: DataFrame, columns: Sequence[str], ks: Sequence[int] = range(2, 10), seed: int = 0) -> DataFrame:
-    """(k, cost): within-cluster squared distance on scaled columns, one distributed fit per k."""
+def kmeans_elbow(df: DataFrame, columns: Sequence[str], ks: Sequence[int] = range(2, 10), seed: int = 0,
+                 parallelism: int = 4) -> DataFrame:
+    """(k, cost): within-cluster squared distance on scaled columns.
+
+    Each k is a distributed fit; ``parallelism`` of them share the cluster.
+    """
+    cost = lambda k: (k, float(KMeans(k=k, seed=seed).fit(scaled).summary.trainingCost))
     scaled = Pipeline(stages=scaled_vectors(columns)).fit(df).transform(df).select("features").persist()
     try:
-        costs = [(k, float(KMeans(k=k, seed=seed).fit(scaled).summary.trainingCost)) for k in ks]
+        with ThreadPool(parallelism) as pool:
+            costs = pool.map(cost, ks)
     finally:
         scaled.unpersist()
     return df.sparkSession.createDataFrame(costs, "k int, cost double")

@@ -35,3 +35,8 @@ def split_keys(df: DataFrame, keys: Sequence[str], weights: Sequence[float], see
     edges = [0] + [round(SLOTS * sum(weights[:i + 1]) / total) for i in range(len(weights))]
     slot = key_slot(keys, seed)
     return [df.filter((slot >= lo) & (slot < hi)) for lo, hi in zip(edges, edges[1:])]
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """One even partition per core: for data that many passes will read from the cache."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

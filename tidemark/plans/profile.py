@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators import attribution, features as FT, metrics, models, runs, sampling, stats
 from tidemark.operators.latest import dedupe
-from tidemark.plans.common import table
+from tidemark.plans.common import folders, table
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 DIMS = 64
@@ -178,33 +178,44 @@ def _lines(spark, sf_dir):
         "l_orderkey", *SENSORS, F.when(damaged, "damaged").otherwise("healthy").alias("status"))
 
 
+def _parts(spark, sf_dir):
+    return sampling.split_keys(_lines(spark, sf_dir), ["l_orderkey"], [0.9, 0.1], seed=42)
+
+
+_MODELS: dict[tuple[str, str], str] = {}
+
+
 def _fitted(spark, sf_dir):
-    lines = stats.class_weights(_lines(spark, sf_dir), "status")
-    train, test = sampling.split_keys(lines, ["l_orderkey"], [0.9, 0.1], seed=42)
-    return models.damage_pipeline(SENSORS, "status", depths=(3, 4), weight="weight").fit(train), train, test
+    """The weighted classifier: trained and saved once per session, then loaded."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _MODELS:
+        path, = folders(spark, "damage", "model")
+        weighted = stats.class_weights(_parts(spark, sf_dir)[0], "status")
+        pipeline = models.damage_pipeline(SENSORS, "status", depths=(3, 4), weight="weight")
+        models.save_model(models.train(pipeline, weighted, [*SENSORS, "status", "weight"]), path)
+        _MODELS[at] = path
+    return models.load_model(_MODELS[at])
 
 
 def gbt_score(spark, sf_dir):
     """Hold-out precision, recall and F1 of the weighted classifier."""
-    model, _, test = _fitted(spark, sf_dir)
-    return metrics.label_metrics(model.transform(test), 1.0)
+    test = _parts(spark, sf_dir)[1]
+    return metrics.label_metrics(_fitted(spark, sf_dir).transform(test), 1.0)
 
 
 def gbt_predictions(spark, sf_dir):
     """Every row scored and given a status."""
-    model, *_ = _fitted(spark, sf_dir)
-    return models.with_status(models.score_table(model, _lines(spark, sf_dir), ["l_orderkey", "l_linenumber"]))
+    return models.with_status(models.score_table(_fitted(spark, sf_dir), _lines(spark, sf_dir), ["l_orderkey", "l_linenumber"]))
 
 
 def feature_importance(spark, sf_dir):
-    model, *_ = _fitted(spark, sf_dir)
-    return models.feature_importance(model, SENSORS)
+    return models.feature_importance(_fitted(spark, sf_dir), SENSORS)
 
 
 def _shapley(spark, sf_dir):
-    model, train, _ = _fitted(spark, sf_dir)
+    model = _fitted(spark, sf_dir)
     ready = model.transform(_lines(spark, sf_dir)).withColumn("margin", vector_to_array("rawPrediction")[1])
-    background = attribution.background_rows(model.transform(train), "features")
+    background = attribution.background_rows(model.transform(_parts(spark, sf_dir)[0]), "features")
     return attribution.shapley(ready, models.best_trees(model), SENSORS, background, keep=["l_orderkey", "margin"])
 
 

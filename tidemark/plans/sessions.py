@@ -61,6 +61,11 @@ def sessions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream_sessions.sessions_stream(clicks, "user_id", "ts", GAP, DELAY), "start", "end"))
 
 
+def abandoned_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_clicks(spark, sf_dir, "abandoned", lambda clicks: _naive(stream_sessions.abandoned_stream(
+        clicks, "user_id", "ts", GAP, DELAY, F.col("event_type") == "purchase"), "start", "end"))
+
+
 def _status(clicks: DataFrame) -> DataFrame:
     return _naive(stream_sessions.session_status(clicks, "user_id", "ts", GAP_SECONDS, DELAY, "long"),
                   "start", "end")
@@ -108,8 +113,8 @@ def top_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    sessions_batch, sessions_native_window, abandoned_sessions, sessions_stream, session_status_stream,
-    session_offline_stream, traffic_stream, top_users_stream, traffic_tumbling, traffic_recent,
+    sessions_batch, sessions_native_window, abandoned_sessions, sessions_stream, abandoned_stream,
+    session_status_stream, session_offline_stream, traffic_stream, top_users_stream, traffic_tumbling, traffic_recent,
     clicks_per_user, top_users)}
 
 _SESSIONS = """
@@ -140,6 +145,8 @@ ORACLE = {
     "abandoned_sessions": _SESSIONS + """SELECT user_id, start, "end", clicks FROM sessions
         WHERE purchases = 0 AND "end" + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events)""",
     "sessions_stream": _SESSIONS + f'SELECT user_id, start, "end", clicks FROM sessions WHERE {_CLOSED}',
+    "abandoned_stream": _SESSIONS + f"""SELECT user_id, start, "end", clicks FROM sessions
+        WHERE purchases = 0 AND {_CLOSED}""",
     "session_offline_stream": _SESSIONS + f"""SELECT user_id, 'offline' AS status, start, "end", clicks
         FROM sessions WHERE {_CLOSED}""",
     "traffic_stream": f"""SELECT * FROM ({_traffic('1 HOUR')})

@@ -86,21 +86,12 @@ def parse_json_col(df: DataFrame, payload: str, schema: T.StructType | str, out:
     return df.withColumn(out, F.from_json(payload, schema))
 
 
-def _misfits(raw: Column, parsed: Column, schema: T.StructType, prefix: str = "") -> list[Column]:
-    """(path, raw text) of each field that is present but did not fit its type."""
-    texts = F.from_json(raw, "map<string,string>")
-    found = []
+def _struct_paths(schema: T.StructType, path: tuple[str, ...] = ()) -> list[tuple[tuple[str, ...], T.StructType]]:
+    """The schema and its nested structs, outermost first."""
+    found = [(path, schema)]
     for field in schema:
-        text, value = F.try_element_at(texts, F.lit(field.name)), parsed.getField(field.name)
         if isinstance(field.dataType, T.StructType):
-            # A struct field that holds no object at all is itself the misfit.
-            is_object = F.json_object_keys(text).isNotNull()
-            found.append(F.when(text.isNotNull() & ~is_object,
-                                F.struct(F.lit(prefix + field.name).alias("k"), text.alias("v"))))
-            found += _misfits(F.when(is_object, text), value, field.dataType, f"{prefix}{field.name}.")
-        else:
-            found.append(F.when(text.isNotNull() & value.isNull(),
-                                F.struct(F.lit(prefix + field.name).alias("k"), text.alias("v"))))
+            found += _struct_paths(field.dataType, (*path, field.name))
     return found
 
 
@@ -109,10 +100,31 @@ def parse_with_rescue(df: DataFrame, payload: str, schema: T.StructType | str,
     """Flatten JSON to typed columns; values of the wrong type go to ``rescue``.
 
     The row is always kept. ``rescue`` is a JSON object of path → raw text, or NULL.
+    A field is a misfit when the raw object has it and the typed one does not.
     """
     schema = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     keep = [c for c in df.columns if c != payload]
     parsed = df.withColumn("_parsed", F.from_json(payload, schema))
-    bad = F.array_compact(F.array(*_misfits(F.col(payload), F.col("_parsed"), schema)))
-    text = F.when(F.size(bad) > 0, F.to_json(F.map_from_entries(bad)))
-    return parsed.select(*keep, "_parsed.*", text.alias(rescue))
+    bad = []
+    for number, (path, struct) in enumerate(_struct_paths(schema)):
+        # One parse per (nested) object gives the raw text of all its fields. Text that
+        # is no object parses to NULL, which makes the struct itself the misfit.
+        raw, texts = F.col(payload), f"_texts{number}"
+        if path:
+            outer = [p for p, _ in _struct_paths(schema)].index(path[:-1])
+            raw = F.try_element_at(f"_texts{outer}", F.lit(path[-1]))
+            raw = F.when(raw.startswith("{"), raw)
+        parsed = parsed.withColumn(texts, F.from_json(raw, "map<string,string>"))
+        typed = F.col("_parsed")
+        for name in path:
+            typed = typed[name]
+        for field in struct:
+            text = F.try_element_at(texts, F.lit(field.name))
+            if isinstance(field.dataType, T.StructType):
+                misfit = text.isNotNull() & ~text.startswith("{")
+            else:
+                misfit = text.isNotNull() & typed[field.name].isNull()
+            bad.append(F.when(misfit, F.struct(F.lit(".".join([*path, field.name])).alias("k"), text.alias("v"))))
+    found = parsed.withColumn("_bad", F.array_compact(F.array(*bad)))
+    text = F.when(F.size("_bad") > 0, F.to_json(F.map_from_entries("_bad")))
+    return found.select(*keep, "_parsed.*", text.alias(rescue))

@@ -5,22 +5,30 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
-def sessions_stream(df: DataFrame, user: str, ts: str, gap: str, delay: str) -> DataFrame:
+def sessions_stream(df: DataFrame, user: str, ts: str, gap: str, delay: str,
+                    counters: dict[str, Column] | None = None) -> DataFrame:
     """Sessions that the watermark has closed. All native; the default choice.
 
     ``spark.sql.sessionWindow.merge.sessions.in.local.partition`` (set by
     ``build_session``) merges a hot user's clicks before the shuffle.
     """
+    sums = [F.sum(expr).alias(name) for name, expr in (counters or {}).items()]
     closed = (df.withWatermark(ts, delay)
                 .groupBy(user, F.session_window(ts, gap).alias("_session"))
-                .agg(F.min(ts).alias("start"), F.max(ts).alias("end"), F.count("*").alias("clicks")))
+                .agg(F.min(ts).alias("start"), F.max(ts).alias("end"), F.count("*").alias("clicks"), *sums))
     return closed.drop("_session")
 
 
+def abandoned_stream(df: DataFrame, user: str, ts: str, gap: str, delay: str, purchase: Column) -> DataFrame:
+    """Alerts: closed sessions in which nothing was bought."""
+    bought = {"purchases": F.when(purchase, 1).otherwise(0)}
+    return sessions_stream(df, user, ts, gap, delay, bought).filter("purchases = 0").drop("purchases")
+
+
 def fold_sessions(open_: list[tuple[int, int, int]], new: list[tuple[int, int, int]],
                   gap: int) -> list[tuple[int, int, int]]:
     """Merge (start, end, clicks) spans whose pause is at most ``gap``."""
