@@ -120,6 +120,7 @@ class Params:
 
 # Fourier orders of the weekly and the yearly term.
 PERIODS = {"weekly": (7.0, 3), "yearly": (365.25, 10)}
+TURNS = 3  # rounds of line and season
 
 
 def _fourier(days: np.ndarray, name: str) -> np.ndarray:
@@ -130,25 +131,29 @@ def _fourier(days: np.ndarray, name: str) -> np.ndarray:
 
 def fit_predict(days: np.ndarray, y: np.ndarray, at: np.ndarray, params: Params,
                 ridge: float = 0.1) -> pd.DataFrame:
-    """Line by least squares, then ridge on the Fourier terms of ``y / line - 1``."""
+    """Trend line times seasonal terms, fitted in turns: each against the data without the other.
+
+    The line is least squares, the Fourier weights are ridge regression.
+    """
     start, span = days.min(), max(1, days.max() - days.min())
     basis = lambda d: np.column_stack([np.ones(len(d)), (d - start) / span])
     x = basis(days)
-    beta = np.linalg.lstsq(x, y, rcond=None)[0]
     floor = max(1e-9, 0.01 * float(np.abs(y).mean()))
-    line = np.maximum(x @ beta, floor)
     terms = [name for name in PERIODS if getattr(params, name)]
+    blocks = {name: _fourier(days, name) for name in terms}
+    design = np.hstack(list(blocks.values())) if terms else np.zeros((len(days), 0))
+    normal = design.T @ design + ridge * np.eye(design.shape[1])
+    gamma, season = np.zeros(design.shape[1]), np.zeros(len(days))
+    for _ in range(TURNS if terms else 1):
+        beta = np.linalg.lstsq(x, y / np.maximum(1 + season, 0.05), rcond=None)[0]
+        line = np.maximum(x @ beta, floor)
+        gamma = np.linalg.solve(normal, design.T @ (y / line - 1))
+        season = design @ gamma
+    fitted = line * (1 + season)
     effect = {name: np.zeros(len(at)) for name in PERIODS}
-    fitted = line
-    if terms:
-        blocks = {name: _fourier(days, name) for name in terms}
-        design = np.hstack(list(blocks.values()))
-        gamma = np.linalg.solve(design.T @ design + ridge * np.eye(design.shape[1]),
-                                design.T @ (y / line - 1))
-        fitted = line * (1 + design @ gamma)
-        for name in terms:
-            width = blocks[name].shape[1]
-            effect[name], gamma = _fourier(at, name) @ gamma[:width], gamma[width:]
+    for name in terms:
+        width = blocks[name].shape[1]
+        effect[name], gamma = _fourier(at, name) @ gamma[:width], gamma[width:]
     z = NormalDist().inv_cdf(0.5 + params.interval_width / 2)
     spread = z * float(np.std(y - fitted))
     x_at = basis(at)

@@ -74,7 +74,11 @@ def zorder(df: DataFrame, columns: Sequence[str], files: int | None = None) -> D
     A row hash breaks ties, so a combination that many rows share is cut into
     several partitions instead of one huge one.
     """
-    numbers = [range_number(F.col(c), cut_points(df, c)) for c in columns]
+    numbers = []
+    for c in columns:
+        cuts = cut_points(df, c)
+        # Stretch few ranges over all bits, so that every column weighs the same.
+        numbers.append(F.floor(range_number(F.col(c), cuts) * (CUTS + 1) / (len(cuts) + 1)))
     tie = F.xxhash64(*[F.col(c) for c in df.columns])
     keyed = df.withColumn("_z", zorder_key(numbers)).withColumn("_tie", tie)
     args = [files] if files else []

@@ -16,7 +16,7 @@ def sample_rows(df: DataFrame, fraction: float, seed: int) -> DataFrame:
 
 def split_rows(df: DataFrame, weights: Sequence[float], seed: int) -> list[DataFrame]:
     """Random split. Depends on the partitioning; see ``split_keys``."""
-    return df.randomSplit(list(weights), seed=seed)
+    return df.randomSplit([float(w) for w in weights], seed=seed)
 
 
 def key_slot(keys: Sequence[str], seed: int) -> Column:
