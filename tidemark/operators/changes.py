@@ -82,7 +82,8 @@ def update_where(df: DataFrame, cond: Column, sets: dict[str, Column]) -> Change
 
 def delete_in(df: DataFrame, key: str, keys: DataFrame) -> Changed:
     """Delete rows whose key occurs in ``keys`` (NULL-safe, unlike NOT IN)."""
-    wanted = keys.select(F.col(keys.columns[0]).alias(key))
+    # Distinct on the map side first: a key that fills the list costs one row.
+    wanted = keys.select(F.col(keys.columns[0]).alias(key)).distinct()
     gone = df.join(wanted, key, "left_semi").withColumn("_change_type", F.lit("delete"))
     return Changed(df.join(wanted, key, "left_anti"), gone.select(*df.columns, "_change_type"))
 
@@ -136,10 +137,9 @@ def _apply_matched(target, source, on, clauses, types, unique_source):
     if unique_source:
         one = source.withColumn("_copies", F.lit(1))
     else:
-        one = (source.groupBy(*on)
-                     .agg(F.count("*").alias("_copies"),
-                          F.first(F.struct(*[c for c in source.columns])).alias("_row"))
-                     .select("_row.*", "_copies"))
+        # Only rows whose key occurs once are ever used, so the columns may come singly.
+        one = source.groupBy(*on).agg(
+            F.count("*").alias("_copies"), *[F.first(c).alias(c) for c in source.columns if c not in on])
     joined = target.alias("target").join(
         one.alias("source"),
         reduce(lambda a, b: a & b, [F.col(f"target.{k}") == F.col(f"source.{k}") for k in on]),
@@ -171,7 +171,7 @@ def _apply_matched(target, source, on, clauses, types, unique_source):
 
 
 def _not_matched(target, source, on, clauses, types):
-    known = target.select(*on).join(source.select(*on), on, "left_semi").distinct()
+    known = target.select(*on).join(source.select(*on).distinct(), on, "left_semi").distinct()
     fresh = (source.join(known, on, "left_anti").alias("source")
                    .withColumn("_act", _first_true(clauses)).filter("_act IS NOT NULL"))
 

@@ -66,11 +66,11 @@ def lookups_for(table: DataFrame, key: str) -> Lookup:
 
 def _one_per_key(lookup: Lookup) -> DataFrame:
     """The picked features, with an error if a key occurs twice."""
-    picked = F.struct(*lookup.features)
-    checked = lookup.table.groupBy(lookup.key).agg(F.count("*").alias("_n"), F.first(picked).alias("_f"))
-    row = F.when(F.col("_n") == 1, F.col("_f")).otherwise(
-        F.raise_error(F.lit(f"feature table has several rows for one {lookup.key}")))
-    return checked.select(lookup.key, row.alias("_f")).select(lookup.key, "_f.*")
+    # One ``first`` per column, not one per struct: that keeps the hash aggregate.
+    checked = lookup.table.groupBy(lookup.key).agg(
+        F.count("*").alias("_n"), *[F.first(c).alias(c) for c in lookup.features])
+    several = F.raise_error(F.lit(f"feature table has several rows for one {lookup.key}")).cast("boolean")
+    return checked.filter(F.when(F.col("_n") > 1, several).otherwise(F.lit(True))).drop("_n")
 
 
 def join_lookups(df: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:

@@ -17,7 +17,7 @@ def activity_buckets(df: DataFrame, user: str, ts: str, gap: str,
                      counters: dict[str, Column] | None = None) -> DataFrame:
     """First and last click, click count and extra sums per user and bucket."""
     sums = [F.sum(expr).alias(name) for name, expr in (counters or {}).items()]
-    return (df.groupBy(user, F.window(ts, gap).alias("_bucket"))
+    return (df.groupBy(user, F.window(ts, gap)["start"].alias("_bucket"))
               .agg(F.min(ts).alias("start"), F.max(ts).alias("end"),
                    F.count("*").alias("clicks"), *sums)
               .drop("_bucket"))

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.session import scratch_dir
+from tidemark.session import DEFAULTS, scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,10 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stream_session(spark: SparkSession) -> SparkSession:
-    """A session of its own for streams: UTC, and twice as many state partitions as cores."""
+    """A session of its own for streams: UTC, RocksDB state, twice as many state partitions as cores."""
     own = spark.newSession()
     own.conf.set("spark.sql.session.timeZone", "UTC")
     own.conf.set("spark.sql.shuffle.partitions", str(2 * spark.sparkContext.defaultParallelism))
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", DEFAULTS["spark.sql.streaming.stateStore.providerClass"])
     own.conf.set("spark.sql.sessionWindow.merge.sessions.in.local.partition", "true")
     return own
 

@@ -33,7 +33,8 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decoded(spark, sf_dir):
     out = files.decode_envelope(_messages(spark, sf_dir), "value", "text", keep=["sequence"])
-    return out.select(F.col("sequence").cast("long").alias("event_id"), F.length("text").alias("n"))
+    data = F.from_json("text", "event_id long, event_type string").alias("data")
+    return out.select("sequence", data).select("sequence", "data.*")
 
 
 def parse_rescue(spark, sf_dir):
@@ -212,6 +213,7 @@ _ENRICHED = """SELECT l_partkey AS id, l_orderkey, l_linenumber, l_quantity AS s
 FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size < 40) ON l_partkey = p_partkey"""
 
 ORACLE = {
+    "decoded": "SELECT CAST(event_id AS VARCHAR) AS sequence, event_id, event_type FROM events",
     "parse_rescue": f"SELECT event_id, event_type, {_VALUE}, {_K}, {_RESCUED} FROM events",
     "unknown_fields": "SELECT 'new_column' AS field, count(*) AS n FROM events WHERE event_type = 'signup'",
     "evolved_stream": f"""SELECT event_id, {_VALUE}, {_K},

@@ -226,6 +226,11 @@ def shapley(spark, sf_dir):
     return out.withColumn("gap", F.round(F.abs(total - F.col("margin")), 6))
 
 
+def shapley_additivity(spark, sf_dir):
+    """Every row is explained, and nothing is missing to its margin."""
+    return shapley(spark, sf_dir).agg(F.count("*").alias("n"), F.max("gap").alias("max_gap"))
+
+
 def shapley_top(spark, sf_dir):
     return metrics.mean_abs(_shapley(spark, sf_dir), [f"{f}_shap" for f in SENSORS], 6)
 
@@ -244,6 +249,12 @@ def split_counts(spark, sf_dir):
     return counts[0].union(counts[1]).union(counts[2])
 
 
+def split_complete(spark, sf_dir):
+    """The parts of a split together are the table again."""
+    train, test = sampling.split_keys(table(spark, sf_dir, "events"), ["event_id"], [0.9, 0.1], 42)
+    return train.union(test).select("event_id", "event_type")
+
+
 def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each supplier is a run: mean discount as AUC, share of returns as F1; odd nations failed."""
     lines = table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(
@@ -269,7 +280,8 @@ QUERIES = {f.__name__: f for f in (
     class_balance, summary_stats, missing_counts, drop_null_columns, corr_matrix, class_weights, deduplicated,
     minmax_scaled, cluster_profile, kmeans_elbow, segments, segments_udf, time_features, training_set, merge_features,
     ml_ready, confusion, label_metrics, auc, f1_rounded, mean_abs, gbt_score, gbt_predictions, feature_importance,
-    shapley, shapley_top, parameter_search, split_counts, leaderboard, best_run)}
+    shapley, shapley_additivity, shapley_top, parameter_search, split_counts, split_complete,
+    leaderboard, best_run)}
 
 _CORR = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM lineitem"
                            for a in MEASURES for b in MEASURES)
@@ -288,6 +300,8 @@ _RUNS = """WITH r AS (
   WHERE s_nationkey % 2 = 0) """
 
 ORACLE = {
+    "split_complete": "SELECT event_id, event_type FROM events",
+    "shapley_additivity": "SELECT count(*) AS n, 0.0::DOUBLE AS max_gap FROM lineitem",
     "class_balance": "SELECT l_returnflag, count(*) AS count FROM lineitem GROUP BY 1",
     "summary_stats": _SUMMARY,
     "missing_counts": """WITH j AS (SELECT d.doc_id, lang, source, quality, toxic FROM documents d LEFT JOIN labels USING (doc_id))

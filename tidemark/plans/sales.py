@@ -87,6 +87,11 @@ def forecast_by_key(spark, sf_dir):
     return _text(FC.forecast_by_key(_sales(spark, sf_dir), KEY, DAY, VALUE, 30), "ds")
 
 
+def forecast_dates(spark, sf_dir):
+    """The dates of the forecasts: the whole history and 30 days more per store."""
+    return forecast_by_key(spark, sf_dir).select("store", "ds")
+
+
 def forecast_global(spark, sf_dir):
     """One model over all stores."""
     everything = _sales(spark, sf_dir).withColumn("series", F.lit("all"))
@@ -106,7 +111,7 @@ def forecast_search(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     trend_year, trend_month, season_weekday, daily_total, sum_by_key, sum_by_key_stream, future_frame,
-    seasonal_trend, cv_cutoffs, rolling_cv, cv_metrics, forecast_by_key, forecast_global, forecast_slice,
+    seasonal_trend, cv_cutoffs, rolling_cv, cv_metrics, forecast_by_key, forecast_dates, forecast_global, forecast_slice,
     forecast_search)}
 
 _SUM = """SELECT o_orderpriority, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS total_amount
@@ -163,6 +168,7 @@ ORACLE = {
     "sum_by_key": _SUM,
     "sum_by_key_stream": _SUM,
     "future_frame": _SERIES + _FRAME + "SELECT store, CAST(ds AS VARCHAR) AS ds FROM frame",
+    "forecast_dates": _SERIES + _FRAME + "SELECT store, CAST(ds AS VARCHAR) AS ds FROM frame",
     "seasonal_trend": _SERIES + _FRAME + _FIT + """
         SELECT store, CAST(ds AS VARCHAR) AS ds, round(trend, 4) AS trend, round(trend * i, 4) AS yhat FROM fitted""",
     "cv_cutoffs": _SERIES + _CUTS + "SELECT store, CAST(cutoff AS VARCHAR) AS cutoff FROM cuts",

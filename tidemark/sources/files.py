@@ -67,17 +67,18 @@ def write_parquet(df: DataFrame, path: str, mode: str = "append", partition_by:
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
-def copy_into(spark: SparkSession, source: str, fmt: str, schema: Schema, target: str, ledger: str) -> None:
+def copy_into(spark: SparkSession, source: str, fmt: str, schema: Schema, target: str, ledger: str,
+              max_files: int | None = None) -> None:
     """Load every file of ``source`` into ``target`` exactly once; call it again for new ones.
 
     The streaming checkpoint at ``ledger`` is the list of loaded files, so a rerun
-    neither lists rows nor opens files it has seen.
+    opens no file it has seen. ``max_files`` cuts a large first load into several commits.
     """
-    (stream_files(spark, source, fmt, schema, max_files=None)
+    (stream_files(spark, source, fmt, schema, max_files)
      .writeStream.format("parquet").option("path", target).option("checkpointLocation", ledger)
      .trigger(availableNow=True).start().awaitTermination())
 
 
 def pending_rows(df: DataFrame, ledger: DataFrame) -> DataFrame:
     """Rows of files that a ledger table (``file_name``) does not list yet."""
-    return with_source_file(df).join(ledger.select("file_name"), "file_name", "left_anti")
+    return with_source_file(df).join(ledger.select("file_name").distinct(), "file_name", "left_anti")

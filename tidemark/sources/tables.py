@@ -46,6 +46,9 @@ def online_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
 
 def publish_table(df: DataFrame, keys: Sequence[str], order: Sequence[Column], url: str, table: str,
                   properties: dict[str, str] | None = None, partitions: int = 8) -> None:
-    """Write the newest row per key over JDBC; ``partitions`` bounds the connections."""
-    (online_rows(df, keys, order).coalesce(partitions)
+    """Write the newest row per key over JDBC; ``partitions`` bounds the connections.
+
+    A repartition, not a coalesce: the ranking before it keeps its full parallelism.
+    """
+    (online_rows(df, keys, order).repartition(partitions)
      .write.jdbc(url, table, mode="overwrite", properties=properties or {}))
