@@ -225,7 +225,7 @@ def fitted(spark):
     status = np.where((x[:, 0] > 0.2) & (x[:, 1] > -0.5), "damaged", "healthy")
     df = spark.createDataFrame(pd.DataFrame(x, columns=FEATURES).assign(id=range(800), status=status)).repartition(4)
     weighted = stats.class_weights(df, "status")
-    model = models.train(models.damage_pipeline(FEATURES, "status", depths=(3,), iterations=4, weight="weight"),
+    model = models.train(models.damage_classifier(FEATURES, "status", depths=(3,), iterations=4, weight="weight"),
                          weighted, [*FEATURES, "status", "weight"])
     return df, model
 

@@ -28,7 +28,7 @@ def _prepare(features: Sequence[str], label: str) -> list:
             StringIndexer(inputCol=label, outputCol="label")]
 
 
-def damage_pipeline(features: Sequence[str], label: str, depths: Sequence[int] = (3, 4, 5), iterations: int = 5,
+def damage_classifier(features: Sequence[str], label: str, depths: Sequence[int] = (3, 4, 5), iterations: int = 5,
                     folds: int = 2, weight: str | None = None, parallelism: int = 3, seed: int = 42) -> Pipeline:
     """Assemble, scale, index the label, boosted trees; depth chosen by cross-validated F1."""
     gbt = GBTClassifier(labelCol="label", featuresCol="features", maxIter=iterations, seed=seed)

@@ -69,9 +69,9 @@ def copy_into(spark, sf_dir):
     """Two deliveries and three loads: every file is loaded once."""
     own = stream_session(spark)
     source, target, ledger = folders(spark, "copy", "in", "out", "ledger")
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
     load = lambda: files.copy_into(own, source, "parquet", events.schema, target, ledger)
-    replay([events.filter("user_id % 2 = 0"), events.filter("user_id % 2 = 1")], source, load)
+    replay([events.filter("event_type = 'click'"), events.filter("event_type != 'click'")], source, load)
     load()
     return spark.read.parquet(target)
 
@@ -218,7 +218,7 @@ ORACLE = {
     "unknown_fields": "SELECT 'new_column' AS field, count(*) AS n FROM events WHERE event_type = 'signup'",
     "evolved_stream": f"""SELECT event_id, {_VALUE}, {_K},
         CASE WHEN event_type = 'signup' THEN 'test' END AS new_column, {_RESCUED} FROM events""",
-    "copy_into": "SELECT event_id, user_id, value FROM events",
+    "copy_into": "SELECT event_id, event_type, value FROM events",
     "pending_rows": "SELECT event_id, event_type FROM events WHERE event_type <> 'click'",
     "source_lineage": "SELECT 'events.parquet' AS file, count(*) AS n FROM events",
     "append_evolved": """SELECT o_orderkey, o_orderdate,

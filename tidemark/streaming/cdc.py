@@ -31,7 +31,8 @@ def cdc_stream(ops: DataFrame, log_path: str, key: str, order: Sequence[Column],
 
     Batch ``n`` becomes version ``first_version + n`` and reads lower versions only, and
     of those only the keys it touches. So a replayed batch rewrites its own folder
-    with the same rows, and the cost follows the batch.
+    with the same rows, and the cost follows the batch. Checkpoint and log belong
+    together: a new checkpoint on an old log needs ``first_version`` above its last one.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
         version = first_version + batch_id
