@@ -178,3 +178,53 @@ def test_latest_is_limited_before_the_shuffle(spark):
     df = spark.range(100).selectExpr("id % 3 AS k", "id AS v")
     plan = latest_per_key(df, ["k"], [F.desc("v")])._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_merge_equals_brute_force(spark, seed):
+    import random
+    rng = random.Random(seed)
+    value = lambda: rng.choice([None, *range(6)])
+    target = [(rng.choice([None, *range(12)]), value()) for _ in range(30)]
+    source = [(k, value()) for k in rng.sample([None, *range(16)], 12)] + [(None, 3), (20, 1), (20, 1)]
+    clauses = [C.Delete(F.col("source.v") < 1), C.Update({"v": F.col("source.v") + 10}, F.col("target.v") > 2),
+               C.Update(None, F.col("source.v") > 4), C.Insert({"k": F.col("source.k")}, F.col("source.v") == 1),
+               C.Insert(None, F.col("source.v") > 2)]
+    by_key = {k: v for k, v in source if k is not None and k != 20}
+    wanted = []
+    for k, v in target:
+        s = by_key.get(k)
+        if k not in by_key:
+            wanted.append((k, v))
+        elif s is not None and s < 1:
+            continue
+        elif v is not None and v > 2:
+            wanted.append((k, None if s is None else s + 10))
+        else:
+            wanted.append((k, s if s is not None and s > 4 else v))
+    present = {k for k, _ in target}
+    for k, v in source:
+        if (k is None or k not in present) and v is not None:
+            wanted += [(k, None)] if v == 1 else [(k, v)] if v > 2 else []
+    out = C.merge(spark.createDataFrame(target, KV), spark.createDataFrame(source, KV), ["k"], clauses)
+    assert rows(out.rows) == sorted(wanted, key=repr)
+
+
+def test_staged_cdc_gives_the_same_result(spark):
+    target, ops = [(1, "a", 0), (2, "b", 0)], [(1, "x", "UPDATE", 2), (2, None, "DELETE", 1), (3, "n", "INSERT", 1)]
+    assert rows(cdc(spark, target, ops, stage=True).rows) == rows(cdc(spark, target, ops).rows)
+
+
+def test_replayed_stream_batch_changes_nothing(spark):
+    from tidemark.sources.files import stream_table
+    from tidemark.streaming.cdc import cdc_stream
+    source, log, first, second = folders(spark, "replay", "in", "log", "c1", "c2")
+    base = spark.createDataFrame([(1, "a", 0), (2, "b", 0)], "id bigint, name string, day int")
+    C.write_version(base.withColumn("_change_type", F.lit("insert")), log, 0, at(0))
+    spark.createDataFrame([(1, "x", "UPDATE", 1), (2, None, "DELETE", 1)], CLIENT).write.parquet(source)
+    results = []
+    for checkpoint in (first, second):  # the second checkpoint has forgotten the first run
+        cdc_stream(stream_table(spark, source, CLIENT), log, "id", [F.desc("day")], ["id", "name", "day"], checkpoint,
+                   first_version=1, available_now=True).awaitTermination()
+        results.append(rows(C.read_log(spark, log).drop("_commit_timestamp")))
+    assert results[0] == results[1] and rows(C.as_of(C.read_log(spark, log), ["id"])) == [(1, "x", 1)]

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.scalars import clean_quotes
 from tidemark.operators.latest import latest_change, latest_per_key
+from tidemark.session import materialize
 
 META = ["_change_type", "_commit_version", "_commit_timestamp"]
 
@@ -107,6 +108,7 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str],
     The first clause whose condition is true wins; other target rows stay; NULL keys
     never match; two source rows for one target row raise an error. Set
     ``unique_source`` when the keys are known to be unique, which saves one aggregate.
+    The source is read three times: pass a table rather than a costly plan.
 
     A left join keeps the target where it is when the source is small (a full outer
     join cannot be broadcast) and lets adaptive execution split hot target keys.
@@ -190,13 +192,16 @@ def _not_matched(target, source, on, clauses, types):
 # ---------------------------------------------------------------- change data capture
 
 def apply_cdc(target: DataFrame, batch: DataFrame, key: str, order: Sequence[Column],
-              op: str = "operation", not_older: str | None = None) -> Changed:
+              op: str = "operation", not_older: str | None = None, stage: bool = False) -> Changed:
     """Newest operation per key, then delete or upsert.
 
     A delete of an unknown key and a NULL operation do nothing. ``not_older`` names a
-    column that keeps a late, older operation from overwriting a newer row.
+    column that keeps a late, older operation from overwriting a newer row. The merge
+    reads the newest operations three times: ``stage`` writes them to the shared folder
+    first, so that a large batch is scanned and ranked once.
     """
     newest = latest_per_key(batch, [key], order)
+    newest = materialize(newest, "operations") if stage else newest
     is_delete, is_write = F.col(f"source.{op}") == "DELETE", F.col(f"source.{op}") != "DELETE"
     fresh = F.lit(True)
     if not_older:
@@ -206,11 +211,13 @@ def apply_cdc(target: DataFrame, batch: DataFrame, key: str, order: Sequence[Col
                  unique_source=True)
 
 
-def propagate(gold: DataFrame, changes: DataFrame, key: str, clean: Sequence[str] = ()) -> Changed:
-    """Apply a change feed downstream; ``clean`` columns lose their quotes."""
+def propagate(gold: DataFrame, changes: DataFrame, key: str, clean: Sequence[str] = (),
+              stage: bool = False) -> Changed:
+    """Apply a change feed downstream; ``clean`` columns lose their quotes. ``stage`` as in ``apply_cdc``."""
     newest = latest_change(changes, [key])
     for column in clean:
         newest = newest.withColumn(column, clean_quotes(column))
+    newest = materialize(newest, "changes") if stage else newest
     kind = F.col("source._change_type")
     return merge(gold, newest, [key],
                  [Delete(kind == "delete"), Update(None, kind != "delete"), Insert(None, kind != "delete")],

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.scalars import weekday_sun0
+from tidemark.session import materialize
 
 EPOCH = "2000-01-01"  # origin of the day number, any fixed date will do
 
@@ -36,6 +37,14 @@ def daily_series(df: DataFrame, keys: Sequence[str], day: str, value: str) -> Da
               .dropna().groupBy(*keys, "ds").agg(F.sum("y").alias("y")))
 
 
+def stored_series(df: DataFrame, keys: Sequence[str], day: str, value: str) -> DataFrame:
+    """``daily_series`` written to the shared folder once.
+
+    The native forecasts read the series several times; this keeps it to one scan of the sales.
+    """
+    return materialize(daily_series(df, keys, day, value), "series")
+
+
 def future_frame(series: DataFrame, keys: Sequence[str], steps: int) -> DataFrame:
     """The dates of the history plus ``steps`` daily ones per key."""
     ahead = (series.groupBy(*keys).agg(F.max("ds").alias("last"))

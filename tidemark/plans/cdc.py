@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark.operators import changes as C
 from tidemark.operators.latest import latest_per_key
 from tidemark.plans.common import folders, stream_session, table
+from tidemark.session import materialize
 from tidemark.sources.files import stream_table
 from tidemark.streaming import cdc as stream_cdc
 
@@ -76,7 +77,7 @@ def cdc_latest(spark, sf_dir):
 
 
 def cdc_apply(spark, sf_dir):
-    return C.apply_cdc(_clients(spark, sf_dir), _ops(spark, sf_dir), "id", _newest()).rows
+    return C.apply_cdc(_clients(spark, sf_dir), _ops(spark, sf_dir), "id", _newest(), stage=True).rows
 
 
 def cdc_apply_guarded(spark, sf_dir):
@@ -84,7 +85,7 @@ def cdc_apply_guarded(spark, sf_dir):
     clients = _clients(spark, sf_dir)
     edited = C.update_where(clients, F.col("address").startswith('"AUTOMOBILE"'),
                             {"operation_date": F.lit("2100-01-01")}).rows
-    return C.apply_cdc(edited, _ops(spark, sf_dir), "id", _newest(), not_older="operation_date").rows
+    return C.apply_cdc(edited, _ops(spark, sf_dir), "id", _newest(), not_older="operation_date", stage=True).rows
 
 
 def cdc_apply_stream(spark, sf_dir):
@@ -108,6 +109,7 @@ def merge_clauses(spark, sf_dir):
         "o_orderkey", "o_orderstatus", F.round("o_totalprice", 2).alias("o_totalprice"))
     lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.sum("l_quantity").alias("quantity"), F.max("l_linestatus").alias("status"))
+    lines = materialize(lines, "lines")  # the merge reads it three times
     quantity, status = F.col("source.quantity"), F.col("source.status")
     return C.merge(orders, lines, ["o_orderkey"], [
         C.Delete((F.col("target.o_orderstatus") == "F") & (quantity > 100)),
@@ -166,7 +168,8 @@ def change_log(spark, sf_dir):
 def change_feed(spark, sf_dir):
     """Changes between the loaded table and the table after all operations."""
     before = _clients(spark, sf_dir)
-    return C.diff_changes(before, C.apply_cdc(before, _ops(spark, sf_dir), "id", _newest()).rows, ["id"])
+    after = C.apply_cdc(before, _ops(spark, sf_dir), "id", _newest(), stage=True).rows
+    return C.diff_changes(before, after, ["id"])
 
 
 def change_feed_range(spark, sf_dir):
@@ -209,7 +212,7 @@ def expire(spark, sf_dir):
 
 def propagate_gold(spark, sf_dir):
     log = _log(spark, sf_dir)
-    return C.propagate(C.as_of(log, ["id"], 0), C.table_changes(log, 1), "id", ["address"]).rows
+    return C.propagate(C.as_of(log, ["id"], 0), C.table_changes(log, 1), "id", ["address"], stage=True).rows
 
 
 def propagate_stream(spark, sf_dir):

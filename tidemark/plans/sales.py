@@ -57,7 +57,7 @@ def sum_by_key_stream(spark, sf_dir):
 
 
 def _series(spark, sf_dir):
-    return FC.daily_series(_sales(spark, sf_dir), KEY, DAY, VALUE)
+    return FC.stored_series(_sales(spark, sf_dir), KEY, DAY, VALUE)
 
 
 def future_frame(spark, sf_dir):
