@@ -111,6 +111,17 @@ def test_status_stream_equals_batch_sessions(spark):
     assert ("a", 0, 100, 4) in {(r["user"], seconds(r["start"]), seconds(r["end"]), r["clicks"]) for r in online}
 
 
+def test_status_stream_in_another_time_zone(spark):
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", "America/New_York")
+    own.conf.set("spark.sql.shuffle.partitions", "4")
+    job = lambda df: stream.session_status(df, "user", "ts", 45, "10 seconds").withColumns(
+        {c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
+    rows = run_stream(own, [[("a", 0), ("a", 40)], [("z", 900)]], job, ["user", "status", "start", "end", "clicks"])
+    assert [(r["user"], seconds(r["start"]), seconds(r["end"]), r["clicks"])
+            for r in rows if r["status"] == "offline"] == [("a", 0, 40, 2)]
+
+
 def test_native_stream_equals_batch_sessions(spark):
     job = lambda df: stream.sessions_stream(df, "user", "ts", "45 seconds", "200 seconds")
     rows = run_stream(spark, BATCHES, job, ["user", "start", "end", "clicks"])

@@ -30,6 +30,9 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_LOCAL: dict[str, str] = {}  # temporary folders of local sessions, by application
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder named in ``spark.checkpoint.dir``.
 
@@ -40,8 +43,8 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        app = spark.sparkContext.applicationId
+        base = _LOCAL.setdefault(app, _LOCAL.get(app) or tempfile.mkdtemp(prefix="tidemark-"))
     return f"{base.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
 
 

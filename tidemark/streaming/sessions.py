@@ -42,16 +42,14 @@ def fold_sessions(open_: list[tuple[int, int, int]], new: list[tuple[int, int, i
     return out
 
 
-def _combine(user: str, ts: str, gap_us: int):
+def _combine(gap_us: int):
     """Stateless pre-aggregation: one span per user and gap-wide bucket of an Arrow batch."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            micros = pdf[ts].astype("datetime64[us]").astype("int64")
-            spans = (pd.DataFrame({"user": pdf[user], "bucket": micros // gap_us, "us": micros})
-                       .groupby(["user", "bucket"], sort=False)["us"].agg(["min", "max", "count"]).reset_index())
+            spans = (pdf.assign(bucket=pdf["us"] // gap_us).groupby(["user", "bucket"], sort=False)["us"]
+                        .agg(["min", "max", "count"]).reset_index())
             yield pd.DataFrame({"user": spans["user"], "start_us": spans["min"], "end_us": spans["max"],
-                                "clicks": spans["count"],
-                                "seen": spans["max"].astype("datetime64[us]").dt.tz_localize("UTC")})
+                                "clicks": spans["count"]})
     return run
 
 
@@ -65,10 +63,11 @@ def session_status(df: DataFrame, user: str, ts: str, gap_seconds: int, delay: s
     spans, not clicks.
     """
     gap = gap_seconds * 1_000_000
-    spans = (df.select(F.col(user).alias("user"), F.col(ts).cast("timestamp").alias("ts"))
-               .filter("user IS NOT NULL AND ts IS NOT NULL")
-               .mapInPandas(_combine("user", "ts", gap),
-                            f"user {user_type}, start_us long, end_us long, clicks long, seen timestamp")
+    # Times cross into Python as epoch microseconds, whatever the session's time zone.
+    spans = (df.select(F.col(user).alias("user"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"))
+               .filter("user IS NOT NULL AND us IS NOT NULL")
+               .mapInPandas(_combine(gap), f"user {user_type}, start_us long, end_us long, clicks long")
+               .withColumn("seen", F.timestamp_micros("end_us"))
                .withWatermark("seen", delay))
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
