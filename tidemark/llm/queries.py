@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing
+from tidemark.llm import chat, mixing, simhash
 from tidemark.plans.common import Query, table
 
 PROBE = "</s>[INST] ok [/INST]"
@@ -58,9 +59,17 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM e GROUP BY conv_id
 """
 
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document; links at four or fewer differing bits."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Query] = {
     "op5_mixing": op5_mixing,
     "op7_chat_format": op7_chat_format,
+    "op10_simhash": op10_simhash,
 }
 ORACLE: dict[str, str] = {
     "op5_mixing": OP5_SQL,
