@@ -5,12 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing, simhash
+from tidemark.llm import chat, mixing, quality, simhash
 from tidemark.plans.common import Query, table
 
 PROBE = "</s>[INST] ok [/INST]"
 
 
+def _fold(n: int):
+    """crc32 of the id as text, modulo ``n``."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; labels of the fold crc32 % 3 = 1 are never seen."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels.where(_fold(3) != 1))
+    return quality.score(docs, model).select("doc_id", F.coalesce(_fold(3) == 1, F.lit(False)).alias("held_out"), "score",
+                                             (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents; sources weigh 3, 1, 2 in turn, 150 % of all words, at most two epochs."""
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -67,6 +80,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_quality": op2_quality,
     "op5_mixing": op5_mixing,
     "op7_chat_format": op7_chat_format,
     "op10_simhash": op10_simhash,
