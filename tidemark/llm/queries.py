@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing, quality, simhash
+from tidemark.llm import chat, mixing, quality, simhash, suffix
 from tidemark.plans.common import Query, table
 
 PROBE = "</s>[INST] ok [/INST]"
@@ -73,6 +73,12 @@ FROM e GROUP BY conv_id
 """
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 400-byte strings that start elsewhere too."""
+    clean = suffix.remove_repeats(table(spark, sf_dir, "documents"))
+    return clean.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document; links at four or fewer differing bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -83,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op2_quality": op2_quality,
     "op5_mixing": op5_mixing,
     "op7_chat_format": op7_chat_format,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_simhash": op10_simhash,
 }
 ORACLE: dict[str, str] = {
