@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing, quality, simhash, suffix
+from tidemark.llm import chat, decontam, mixing, quality, simhash, suffix
 from tidemark.plans.common import Query, table
 
 PROBE = "</s>[INST] ok [/INST]"
@@ -24,6 +24,34 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside an occurrence of ten words of a benchmark item."""
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+OP4_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+v AS (SELECT item_id, list_slice(w, i, i + 9) AS g, least(len(w), 10) AS n
+      FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+lengths AS (SELECT DISTINCT n FROM v),
+p AS (SELECT doc_id, n, i, list_slice(w, i, i + n - 1) AS g
+      FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lengths WHERE len(w) >= n)),
+h AS (SELECT p.doc_id, v.item_id, p.i, p.n FROM p JOIN v ON p.g = v.g),
+k AS (SELECT doc_id, count(DISTINCT pos)::BIGINT AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM h) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*)::BIGINT AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS s
+      FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN k USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents; sources weigh 3, 1, 2 in turn, 150 % of all words, at most two epochs."""
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -87,12 +115,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_quality": op2_quality,
+    "op4_decontamination": op4_decontamination,
     "op5_mixing": op5_mixing,
     "op7_chat_format": op7_chat_format,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_simhash": op10_simhash,
 }
 ORACLE: dict[str, str] = {
+    "op4_decontamination": OP4_SQL,
     "op5_mixing": OP5_SQL,
     "op7_chat_format": OP7_SQL,
 }
