@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontam, mixing, quality, simhash, suffix
+from tidemark.llm import chat, decontam, mixing, pii, quality, simhash, suffix
 from tidemark.plans.common import Query, table
 
 PROBE = "</s>[INST] ok [/INST]"
@@ -24,6 +24,15 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every whole document: base spans, and those the trees add."""
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.train(docs))
+    kinds = F.transform("base", lambda s: s["kind"])
+    n = [(F.size(kinds) - F.size(F.array_remove(kinds, i))).cast("long").alias(f"n_{k}") for i, k in enumerate(pii.BASE)]
+    return found.select("doc_id", *n, F.sha2(pii.listing(F.col("base")), 256).alias("base_sha256"), pii.listing(F.col("spans")).alias("spans"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside an occurrence of ten words of a benchmark item."""
     found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -115,6 +124,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_quality": op2_quality,
+    "op3_pii": op3_pii,
     "op4_decontamination": op4_decontamination,
     "op5_mixing": op5_mixing,
     "op7_chat_format": op7_chat_format,
