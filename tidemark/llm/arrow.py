@@ -17,6 +17,7 @@ SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 LOWER[SPACE] = 0x20
+POWERS = np.cumprod(np.full(64, 0x9E3779B97F4A7C15, np.uint64))
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -67,3 +68,18 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     count = np.zeros(len(data) + 1, np.int64)
     np.cumsum(begin, out=count[1:])
     return LOWER[data[keep]], starts, ends, count[offsets]
+
+
+def run_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each of the byte runs, which are in order and do not overlap."""
+    if not len(start):
+        return np.empty(0, np.uint64)
+    data, start, stop = data[start[0]:], start - start[0], stop - start[0]
+    reach = np.diff(np.append(start, len(data)))
+    inside = np.arange(len(data)) - np.repeat(start, reach)
+    mixed = (data.astype(np.uint64) + np.uint64(1) + (inside >> 6).astype(np.uint64) * np.uint64(257)) * POWERS[inside & 63]
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= POWERS[1]
+    mixed ^= mixed >> np.uint64(32)
+    mixed[inside >= np.repeat(stop - start, reach)] = 0
+    return np.add.reduceat(mixed, start)

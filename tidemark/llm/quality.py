@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrow import SPACE, chunks, text_bytes
+from tidemark.llm.arrow import SPACE, chunks, run_hashes, text_bytes
 
 # The character classes.
 GROUPS = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " \t\r\v\f", "\n", ".,;:", "!?",
@@ -30,23 +30,6 @@ for _number, _group in enumerate(GROUPS):
 SHAPES = CLASSES ** 3
 REPEATS, LENGTHS = 3, 24
 TERMS = SHAPES + REPEATS + LENGTHS
-POWERS = np.cumprod(np.full(64, 0x9E3779B97F4A7C15, np.uint64))
-
-
-def _run_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte run."""
-    if not len(start):
-        return np.empty(0, np.uint64)
-    inside = np.arange(len(data)) - np.repeat(start, np.diff(np.append(start, len(data)))) if start[0] == 0 else None
-    if inside is None:
-        data, shift = data[start[0]:], start[0]
-        start, stop = start - shift, stop - shift
-        inside = np.arange(len(data)) - np.repeat(start, np.diff(np.append(start, len(data))))
-    size = np.repeat(stop - start, np.diff(np.append(start, len(data))))
-    mixed = (data.astype(np.uint64) + np.uint64(1) + (inside >> 6).astype(np.uint64) * np.uint64(257)) * POWERS[inside & 63]
-    mixed ^= mixed >> np.uint64(29)
-    mixed[inside >= size] = 0
-    return np.add.reduceat(mixed, start)
 
 
 def _shares(hashes: np.ndarray, doc: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
@@ -83,7 +66,7 @@ def term_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         end = ~gap
         end[:-1] &= gap[1:] | edge[1:]
         start, stop = np.flatnonzero(begin), np.flatnonzero(end) + 1
-        before, beside = _shares(_run_hashes(data, start, stop), doc[start], n) if len(start) else (0.0, 0.0)
+        before, beside = _shares(run_hashes(data, start, stop), doc[start], n) if len(start) else (0.0, 0.0)
         out[:, at] = before
         if at == SHAPES:
             out[:, at + 1] = beside

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontam, mixing, pii, quality, simhash, suffix
+from tidemark.llm import chat, decontam, lm, mixing, pii, quality, simhash, suffix
 from tidemark.plans.common import Query, table
 
 PROBE = "</s>[INST] ok [/INST]"
@@ -88,6 +88,12 @@ FROM r
 """
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document; texts of the fold crc32 % 10 = 0 are never learned."""
+    scored = lm.score(table(spark, sf_dir, "documents"), _fold(10) != 0)
+    return scored.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one that quotes control strings, formatted and read back."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -127,6 +133,7 @@ QUERIES: dict[str, Query] = {
     "op3_pii": op3_pii,
     "op4_decontamination": op4_decontamination,
     "op5_mixing": op5_mixing,
+    "op6_lm_score": op6_lm_score,
     "op7_chat_format": op7_chat_format,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_simhash": op10_simhash,
