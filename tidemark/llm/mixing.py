@@ -107,3 +107,20 @@ def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, max_epochs: floa
     copies = F.col("_whole") + F.when(part, 1).otherwise(0)
     return placed.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
                          (copies * F.col("size")).alias("taken"))
+
+
+def sample(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options) -> DataFrame:
+    """The mixed corpus: ``doc_id, source, text, epoch, size, target``, one row per repetition.
+
+    Of rows that repeat an id, each has its own number of repetitions where their sizes or
+    sources differ; equal rows are taken alike.
+    """
+    taken = mix(docs, id_col=id_col, source_col=source_col, text_col=text_col, **options)
+    taken = taken.where("copies > 0").groupBy("doc_id", "source", "size").agg(
+        F.max("copies").alias("copies"), F.max("target").alias("target"))
+    key = F.struct("doc_id", "source", "size").alias("key")  # nulls inside a struct are equal
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"),
+                       n_words(F.col(text_col)).alias("size"))
+    rows = rows.select(key, "doc_id", "source", "text", "size").join(taken.select(key, "copies", "target"), "key")
+    epochs = F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("epoch")
+    return rows.select("doc_id", "source", "text", epochs, "size", "target")

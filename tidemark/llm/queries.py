@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontam, lm, mixing, pii, quality, simhash, suffix
+from tidemark.llm import chat, decontam, lm, mixing, pii, quality, simhash, substring, suffix
 from tidemark.plans.common import Query, table
 
 PROBE = "</s>[INST] ok [/INST]"
@@ -116,6 +116,11 @@ FROM e GROUP BY conv_id
 """
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that documents share, with edits; one row per aligned piece."""
+    return substring.passages(table(spark, sf_dir, "documents"))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of 400-byte strings that start elsewhere too."""
     clean = suffix.remove_repeats(table(spark, sf_dir, "documents"))
@@ -135,6 +140,7 @@ QUERIES: dict[str, Query] = {
     "op5_mixing": op5_mixing,
     "op6_lm_score": op6_lm_score,
     "op7_chat_format": op7_chat_format,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_simhash": op10_simhash,
 }
