@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontam, lm, mixing, pii, quality, simhash, substring, suffix
+from tidemark.llm import chat, decontam, lm, mixing, pii, quality, simhash, substring, suffix, topk
 from tidemark.plans.common import Query, table
 
 PROBE = "</s>[INST] ok [/INST]"
@@ -16,6 +16,21 @@ def _fold(n: int):
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth embedding against all others."""
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+OP1_SQL = r"""
+WITH e AS (SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)])::BIGINT AS score
+      FROM e q JOIN e c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM p) WHERE rank <= 5
+"""
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; labels of the fold crc32 % 3 = 1 are never seen."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -134,6 +149,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_topk": op1_topk,
     "op2_quality": op2_quality,
     "op3_pii": op3_pii,
     "op4_decontamination": op4_decontamination,
@@ -145,6 +161,7 @@ QUERIES: dict[str, Query] = {
     "op10_simhash": op10_simhash,
 }
 ORACLE: dict[str, str] = {
+    "op1_topk": OP1_SQL,
     "op4_decontamination": OP4_SQL,
     "op5_mixing": OP5_SQL,
     "op7_chat_format": OP7_SQL,
