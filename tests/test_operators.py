@@ -31,7 +31,6 @@ def test_scalars(spark):
     assert one(spark, scalars.metric(metrics_map, "auc")) == 0.5 and one(spark, scalars.metric(metrics_map, "x")) is None
     assert one(spark, scalars.cluster_name(F.lit(0), {"cluster_1": "small"})) == "small"
     assert one(spark, scalars.cluster_name(F.lit(9), {"cluster_1": "small"})) is None
-    assert one(spark, scalars.random_epoch(0, 86400)) == "1970-01-02 00:00:00"
     hours = [scalars.cyclic(F.lit(h), 24)[0] for h in (0, 23)]
     assert one(spark, hours[0]) != pytest.approx(one(spark, hours[1]))
     wrapped = [scalars.cyclic(F.lit(h), 23)[0] for h in (0, 23)]
@@ -232,14 +231,14 @@ def fitted(spark):
 
 def test_classifier_scores_saves_and_loads(spark, fitted):
     df, model = fitted
-    assert metrics.label_metrics(model.transform(df), 1.0).first()["f1"] > 0.95
+    assert metrics.label_metrics(model.transform(df), float(models.label_index(model, "damaged"))).first()["f1"] > 0.95
     path, out = folders(spark, "model", "model", "scored")
     models.save_model(model, path)
     models.score_and_write(models.load_model(path), df.drop("status"), ["id"], out)
     saved = spark.read.parquet(out)
     assert saved.count() == 800 and {r["status"] for r in saved.select("status").distinct().collect()} == {"healthy", "damaged"}
     lookup = FT.Lookup(df, "id", FEATURES)
-    assert models.score_batch(model, df.select("id"), [lookup], ["id"]).count() == 800
+    assert models.score_batch(model, df.select("id"), [lookup], ["id"], "damaged").count() == 800
 
 
 def test_importance(spark, fitted):
@@ -247,38 +246,54 @@ def test_importance(spark, fitted):
     assert {top[0]["feature"], top[1]["feature"]} == {"a", "b"} and sum(r["weight"] for r in top) == pytest.approx(1)
 
 
-def brute_shapley(f, x, background):
-    """Average over all feature orders and background rows."""
+@pytest.mark.parametrize("cut", [-0.6, 0.6])
+def test_status_follows_the_label_not_its_frequency(spark, cut):
+    rng = np.random.default_rng(8)
+    x = rng.uniform(-1, 1, (600, 3))
+    status = np.where(x[:, 0] > cut, "damaged", "healthy")
+    df = spark.createDataFrame(pd.DataFrame(x, columns=FEATURES).assign(id=range(600), status=status))
+    model = models.train(models.damage_classifier(FEATURES, "status", depths=(2,), iterations=2), df, [*FEATURES, "status"])
+    scored = models.with_status(models.score_table(model, df, ["id"], "damaged"))
+    assert sum(r["status"] == status[r["id"]] for r in scored.collect()) > 590
+
+
+def brute_shapley(trees, x):
+    """Average over all feature orders of the change in the tree's mean when a feature becomes known."""
     from itertools import permutations
-    phi = np.zeros(len(x))
-    orders = list(permutations(range(len(x))))
-    for z in background:
+
+    def mean(nodes, at, known):
+        node = nodes[at]
+        if node["leftChild"] < 0:
+            return node["prediction"]
+        left, right, feature = node["leftChild"], node["rightChild"], node["split"]["featureIndex"]
+        if feature in known:
+            return mean(nodes, left if x[feature] <= node["split"]["leftCategoriesOrThreshold"][0] else right, known)
+        share = nodes[left]["rawCount"] / node["rawCount"]
+        return share * mean(nodes, left, known) + (1 - share) * mean(nodes, right, known)
+
+    phi, orders = np.zeros(len(x)), list(permutations(range(len(x))))
+    for weight, nodes in trees:
         for order in orders:
-            mix = z.copy()
-            for j in order:
-                before = f(mix)
-                mix[j] = x[j]
-                phi[j] += f(mix) - before
-    return phi / (len(orders) * len(background))
+            for n, j in enumerate(order):
+                phi[j] += weight * (mean(nodes, 0, order[: n + 1]) - mean(nodes, 0, order[:n]))
+    return phi / len(orders)
 
 
 def test_shapley_equals_brute_force_and_adds_up(spark, fitted):
     from pyspark.ml.functions import vector_to_array
     df, model = fitted
-    trees = models.best_trees(model)
+    best = models.best_trees(model)
     ready = model.transform(df).withColumn("margin", vector_to_array("rawPrediction")[1])
-    background = attribution.background_rows(ready, "features", 8)
-    out = attribution.shapley(ready, trees, FEATURES, background, keep=["id", "margin"]).orderBy("id").collect()
+    out = attribution.shapley(ready, best, FEATURES, keep=["id", "margin"]).orderBy("id").collect()
     assert all(abs(sum(r[f"{f}_shap"] for f in FEATURES) + r["base"] - r["margin"]) < 1e-9 for r in out)
-    leaves = attribution.model_leaves(spark, trees)
-
-    def margin(v):
-        return sum(leaf.value for leaf in leaves if attribution._inside(v[None], leaf).all())
-
+    path, = folders(spark, "trees", "model")
+    best.write().save(path)
+    trees: dict = {}
+    for row in spark.read.parquet(f"{path}/data").collect():
+        trees.setdefault(row["treeID"], {})[row["nodeData"]["id"]] = row["nodeData"]
     vectors = {r["id"]: np.array(r["v"]) for r in ready.select("id", vector_to_array("features").alias("v")).collect()}
     for r in out[:10]:
-        assert margin(vectors[r["id"]]) == pytest.approx(r["margin"])
-        wanted = brute_shapley(margin, vectors[r["id"]], background)
+        wanted = brute_shapley([(best.treeWeights[n], trees[n]) for n in trees], vectors[r["id"]])
         assert np.allclose([r[f"{f}_shap"] for f in FEATURES], wanted)
 
 

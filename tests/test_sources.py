@@ -1,3 +1,4 @@
+import json
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,7 +80,29 @@ def test_rescue_keeps_the_row_and_the_raw_values(spark):
     assert wrong["_incorrect_data"] == '{"AN3":"-1.4746","infos.wind_speed":"fast_wind"}'
     assert plain["AN3"] == -1.4746 and plain["_incorrect_data"] is None
     assert text["_incorrect_data"] == '{"infos":"text"}'
-    assert junk["AN3"] is None and junk["_incorrect_data"] is None
+    assert junk["AN3"] is None and json.loads(junk["_incorrect_data"]) == {"": "junk"}
+
+
+def test_rescue_loses_nothing(spark):
+    """A map or a list of plain values that the parser gives up as a whole is rescued as a whole."""
+    schema = "n INT, xs ARRAY<STRUCT<b: INT>>, m MAP<STRING, INT>, deep STRUCT<ys: ARRAY<INT>>"
+    texts = {
+        "garbage{": {"": "garbage{"}, "[1,2]": {"": "[1,2]"}, '"text"': {"": '"text"'}, '{"n": 1': {"": '{"n": 1'},
+        '{"xs":[{"b":"bad"},{"b":2}]}': {"xs[0].b": "bad"}, '{"xs":[{"b":1,"c":5}]}': {"xs[0].c": "5"}, '{"xs":7}': {"xs": "7"},
+        '{"m":{"k":"no","l":3}}': {"m": '{"k":"no","l":3}'}, '{"deep":{"ys":[1,"z"],"q":2}}': {"deep.ys": '[1,"z"]', "deep.q": "2"},
+        '{"n":"x","new":[1]}': {"n": "x", "new": "[1]"}, '{"n":3,"xs":[],"m":{},"deep":{}}': None, '{"n":null}': None}
+    out = S.parse_with_rescue(lines(spark, *texts).withColumn("raw", F.col("value")), "value", schema, extra=True).collect()
+    assert {r["raw"]: r["_incorrect_data"] and json.loads(r["_incorrect_data"]) for r in out} == texts
+    good = next(r for r in out if r["raw"].startswith('{"xs":[{"b":"bad"'))
+    assert good["xs"][1]["b"] == 2
+    names = S.detect_new_fields(lines(spark, *texts), "value", S.T.StructType.fromDDL(schema)).collect()
+    assert {r["field"] for r in names} == {"xs[].c", "deep.q", "new"}
+
+
+def test_schemas_merge_inside_arrays_and_maps():
+    old = S.T.StructType.fromDDL("xs ARRAY<STRUCT<b: INT>>, m MAP<STRING, STRUCT<u: INT>>")
+    new = S.T.StructType.fromDDL("xs ARRAY<STRUCT<b: INT, c: STRING>>, m STRUCT<k: STRUCT<u: INT, v: INT>>")
+    assert S.merge_schemas(old, new) == S.T.StructType.fromDDL("xs ARRAY<STRUCT<b: INT, c: STRING>>, m MAP<STRING, STRUCT<u: INT, v: INT>>")
 
 
 def test_stream_widens_its_schema_and_restarts(spark):
@@ -87,7 +110,7 @@ def test_stream_widens_its_schema_and_restarts(spark):
     start = lambda: evolve.start_json_stream(spark, source, target, kept, checkpoint, hints=HINTS)
     for text in (PLAIN, EXTRA, WRONG):
         lines(spark, text).write.mode("append").text(source)
-        evolve.run_with_schema_evolution(start)
+        evolve.run_with_schema_evolution(start, kept)
     out = evolve.read_evolved(spark, target).collect()
     assert len(out) == 3
     assert sorted(str(r["new_column"]) for r in out) == ["None", "None", "test"]
@@ -106,7 +129,7 @@ def test_other_stream_errors_are_not_swallowed(spark):
         return sinks.sink_batches(spark.readStream.text(source), fail, checkpoint, available_now=True)
 
     with pytest.raises(Exception, match="boom"):
-        evolve.run_with_schema_evolution(start)
+        evolve.run_with_schema_evolution(start, checkpoint + "-schema")
 
 
 def test_copy_into_loads_each_file_once(spark):

@@ -58,8 +58,3 @@ def cluster_name(cluster: Column | str, names: dict[str, str]) -> Column:
     """Name of a zero-based cluster id in a dictionary keyed ``cluster_1``, ``cluster_2``, …"""
     number = F.col(cluster) if isinstance(cluster, str) else cluster
     return name_of(F.concat(F.lit("cluster_"), (number + 1).cast("int").cast("string")), names)
-
-
-def random_epoch(spread: int, start: int, seed: int | None = None) -> Column:
-    """A random timestamp string in ``[start, start + spread]`` epoch seconds."""
-    return F.from_unixtime(F.round(F.rand(seed) * spread + start).cast("long"))

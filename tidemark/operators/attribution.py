@@ -1,9 +1,10 @@
 """Shapley values of a boosted-tree model for every row of a table.
 
-For one row x and one background row z, a leaf is reached by a mix of both exactly
-when the features that need x come from x and those that need z from z, which gives
-its share of each feature in closed form (interventional tree explanation, Lundberg
-et al. 2020). No shuffle: rows are scored where they are.
+A feature that is left out sends a row down both branches, weighted by the training rows
+that the tree's nodes counted (path-dependent tree explanation, Lundberg et al. 2020). No
+background rows are needed. For a leaf only the features on its path matter, and of a row
+only which of their intervals it meets, so each leaf has a small table of values by that
+pattern. No shuffle: rows are scored where they are.
 """
 
 from __future__ import annotations
@@ -15,19 +16,21 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.session import scratch_dir
 
 
 class Leaf(NamedTuple):
-    """Value of a leaf and the open-closed interval of each feature on its path."""
+    """Value of a leaf; of each feature on its path the open-closed interval and the share
+    of training rows that its splits send this way."""
 
     value: float
     features: np.ndarray
     low: np.ndarray
     high: np.ndarray
+    share: np.ndarray
 
 
 def model_leaves(spark: SparkSession, model) -> list[Leaf]:
@@ -46,13 +49,15 @@ def model_leaves(spark: SparkSession, model) -> list[Leaf]:
             if node["leftChild"] < 0:
                 used = sorted(box)
                 leaves.append(Leaf(node["prediction"] * model.treeWeights[number], np.array(used, dtype=int),
-                                   np.array([box[f][0] for f in used]), np.array([box[f][1] for f in used])))
+                                   *[np.array([box[f][i] for f in used]) for i in range(3)]))
                 continue
             split = node["split"]
             feature, cut = split["featureIndex"], split["leftCategoriesOrThreshold"][0]
-            low, high = box.get(feature, (-np.inf, np.inf))
-            stack.append((node["leftChild"], {**box, feature: (low, min(high, cut))}))
-            stack.append((node["rightChild"], {**box, feature: (max(low, cut), high)}))
+            low, high, share = box.get(feature, (-np.inf, np.inf, 1.0))
+            part = lambda child: share * nodes[child]["rawCount"] / node["rawCount"]
+            left, right = node["leftChild"], node["rightChild"]
+            stack.append((left, {**box, feature: (low, min(high, cut), part(left))}))
+            stack.append((right, {**box, feature: (max(low, cut), high, part(right))}))
     return leaves
 
 
@@ -61,42 +66,46 @@ def _inside(x: np.ndarray, leaf: Leaf) -> np.ndarray:
     return (picked > leaf.low) & (picked <= leaf.high)
 
 
-def explain(x: np.ndarray, background: np.ndarray, leaves: Sequence[Leaf]) -> tuple[np.ndarray, float]:
-    """(Shapley values, base value): values of a row sum to its margin minus the base."""
-    phi, base = np.zeros(x.shape), 0.0
-    for leaf in leaves:
-        if not len(leaf.features):
-            base += leaf.value
-            continue
-        mine = _inside(x, leaf)
-        kinds, counts = np.unique(_inside(background, leaf), axis=0, return_counts=True)
-        for theirs, count in zip(kinds, counts / len(background)):
-            if theirs.all():
-                base += leaf.value * count
-            needs_x, needs_z = mine & ~theirs, ~mine & theirs
-            reachable = (mine | theirs).all(axis=1)
-            n_x, n_z = needs_x.sum(axis=1), needs_z.sum(axis=1)
-            size = len(leaf.features) + 1
-            gain = np.array([[factorial(a - 1) * factorial(b) / factorial(a + b) if a else 0.0
-                              for b in range(size)] for a in range(size)])
-            loss = np.array([[factorial(a) * factorial(b - 1) / factorial(a + b) if b else 0.0
-                              for b in range(size)] for a in range(size)])
-            scale = leaf.value * count * reachable
-            phi[:, leaf.features] += needs_x * (scale * gain[n_x, n_z])[:, None]
-            phi[:, leaf.features] -= needs_z * (scale * loss[n_x, n_z])[:, None]
-    return phi, base
-
-
-def background_rows(df: DataFrame, vector: str, n: int = 64) -> np.ndarray:
-    """``n`` rows chosen by hash: the reference population, fixed in size."""
-    picked = df.select(vector_to_array(vector).alias("v")).orderBy(F.xxhash64("v")).limit(n)
-    return np.array([row["v"] for row in picked.collect()])
-
-
-def shapley(df: DataFrame, model, features: Sequence[str], background: np.ndarray,
-            vector: str = "features", keep: Sequence[str] = ()) -> DataFrame:
+def _order_weights(n: int) -> np.ndarray:
+    """Share of the orders of ``n`` features in which a given set of k of them comes first, just before a given one."""
+    return np.array([factorial(k) * factorial(n - k - 1) / factorial(n) for k in range(n)])
+
+
+def leaf_table(leaf: Leaf) -> np.ndarray:
+    """Shapley values of the leaf's features (columns) for each pattern of met intervals (rows)."""
+    n = len(leaf.features)
+    weights = _order_weights(n)
+    out = np.zeros((1 << n, n))
+    for pattern in range(1 << n):
+        met = np.array([pattern >> i & 1 for i in range(n)], float)
+        for i in range(n):
+            by_size = np.zeros(n)
+            by_size[0] = 1.0
+            for j in range(n):  # products over the other features, by how many are known
+                if j != i:
+                    by_size[1:] = by_size[1:] * leaf.share[j] + by_size[:-1] * met[j]
+                    by_size[0] *= leaf.share[j]
+            out[pattern, i] = leaf.value * (weights @ by_size) * (met[i] - leaf.share[i])
+    return out
+
+
+def prepare(leaves: Sequence[Leaf]) -> tuple[list[tuple[Leaf, np.ndarray]], float]:
+    """Each leaf with its table, and the base value: the mean margin over the training rows."""
+    return [(leaf, leaf_table(leaf)) for leaf in leaves if len(leaf.features)], sum(leaf.value * leaf.share.prod() for leaf in leaves)
+
+
+def explain(x: np.ndarray, tables: Sequence[tuple[Leaf, np.ndarray]]) -> np.ndarray:
+    """Shapley values: those of a row sum to its margin minus the base."""
+    phi = np.zeros(x.shape)
+    for leaf, values in tables:
+        pattern = _inside(x, leaf) @ (1 << np.arange(len(leaf.features)))
+        phi[:, leaf.features] += values[pattern]
+    return phi
+
+
+def shapley(df: DataFrame, model, features: Sequence[str], vector: str = "features", keep: Sequence[str] = ()) -> DataFrame:
     """``<feature>_shap`` for every row plus ``base``; ``vector`` is the model's input column."""
-    leaves = model_leaves(df.sparkSession, model)
+    tables, base = prepare(model_leaves(df.sparkSession, model))
     names = [f"{f}_shap" for f in features]
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(c, T.DoubleType()) for c in [*names, "base"]])
 
@@ -104,8 +113,7 @@ def shapley(df: DataFrame, model, features: Sequence[str], background: np.ndarra
         for pdf in batches:
             if not len(pdf):
                 continue
-            phi, base = explain(np.stack(pdf["_x"].to_numpy()), background, leaves)
-            out = pd.DataFrame(phi, columns=names)
+            out = pd.DataFrame(explain(np.stack(pdf["_x"].to_numpy()), tables), columns=names)
             out["base"] = base
             yield pd.concat([pdf[list(keep)].reset_index(drop=True), out], axis=1)
 

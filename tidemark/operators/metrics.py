@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-RANGES = 256
+from tidemark.session import materialize
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -33,24 +33,21 @@ def f1_rounded(df: DataFrame, label: str, probability: str) -> DataFrame:
 def auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Area under the ROC curve, exact with ties.
 
-    Rows collapse to counts per distinct score first. The counts are cut into score
-    ranges; ranks run inside a range, and each range starts at the total of the
-    lower ones, so no task ever orders all scores.
+    Rows collapse to counts per distinct score, which a range sort deals to as many
+    ranges as there are partitions. Ranks run inside a range, and each range starts at
+    the total of the lower ones, so no task ever orders all scores. The ranges are
+    stored, as two passes must see the same ones.
     """
     per_score = df.filter(F.col(score).isNotNull()).groupBy(F.col(score).alias("score")).agg(
         F.count_if(F.col(label) == 1).cast("double").alias("pos"),
         F.count_if(F.col(label) == 0).cast("double").alias("neg"))
-    at = F.array(*[F.lit((i + 1) / RANGES) for i in range(RANGES - 1)])
-    cuts = per_score.agg(F.percentile_approx("score", at).alias("c")).scalar()
-    # First position among the sorted cuts = number of cuts below the score + 1.
-    place = F.array_position(F.sort_array(F.array_append(cuts, F.col("score"))), F.col("score"))
-    ranged = per_score.withColumn("_range", place)
+    ranged = materialize(per_score.repartitionByRange("score").withColumn("_range", F.spark_partition_id()), "scores")
     inside = Window.partitionBy("_range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     ranked = ranged.withColumn("_below", F.coalesce(F.sum("neg").over(inside), F.lit(0.0)))
     pairs = F.col("pos") * (F.col("_below") + F.col("neg") / 2)
     per_range = ranked.groupBy("_range").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"),
                                              F.sum(pairs).alias("won"))
-    # At most RANGES rows are left: one small ordered pass joins the ranges up.
+    # One row per partition is left: a small ordered pass joins the ranges up.
     lower = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     total = per_range.withColumn("_lower", F.coalesce(F.sum("neg").over(lower), F.lit(0.0)))
     won = F.sum(F.col("won") + F.col("pos") * F.col("_lower"))

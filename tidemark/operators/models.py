@@ -92,30 +92,31 @@ def feature_importance(model: PipelineModel, features: Sequence[str]) -> DataFra
         F.desc("weight"), "feature")
 
 
-def damage_probability() -> Column:
-    """Probability of label 1 from the model's probability vector."""
-    return vector_to_array("probability")[1]
+def label_index(model: PipelineModel, positive: str) -> int:
+    """The index that the fitted pipeline gave to a label value (the most frequent one has 0)."""
+    return next(s.labels for s in model.stages if hasattr(s, "labels")).index(positive)
 
 
-def score_table(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """Chosen columns with prediction and probability; the label is not needed."""
+def score_table(model: PipelineModel, df: DataFrame, keep: Sequence[str], positive: str) -> DataFrame:
+    """Chosen columns with prediction and the probability of ``positive``; the label is not needed."""
     without_label = PipelineModel([s for s in model.stages if not hasattr(s, "labels")])
-    return (without_label.transform(df)
-            .select(*keep, "prediction", damage_probability().alias("probability")))
+    probability = vector_to_array("probability")[label_index(model, positive)]
+    return without_label.transform(df).select(*keep, "prediction", probability.alias("probability"))
 
 
-def score_batch(model: PipelineModel, df: DataFrame, lookups: Sequence[Lookup], keep: Sequence[str]) -> DataFrame:
+def score_batch(model: PipelineModel, df: DataFrame, lookups: Sequence[Lookup], keep: Sequence[str], positive: str) -> DataFrame:
     """Look the features up by key, then predict."""
-    return score_table(model, join_lookups(df, lookups), keep)
+    return score_table(model, join_lookups(df, lookups), keep, positive)
 
 
-def with_status(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
-    return scored.withColumn("status", threshold_label("probability", threshold, "healthy", "damaged"))
+def with_status(scored: DataFrame, threshold: float = 0.5, positive: str = "damaged", negative: str = "healthy") -> DataFrame:
+    return scored.withColumn("status", threshold_label("probability", threshold, negative, positive))
 
 
-def score_and_write(model: PipelineModel, df: DataFrame, keep: Sequence[str], path: str) -> None:
+def score_and_write(model: PipelineModel, df: DataFrame, keep: Sequence[str], path: str, positive: str = "damaged",
+                    negative: str = "healthy") -> None:
     """Score, label and append the result."""
-    with_status(score_table(model, df, keep)).write.mode("append").parquet(path)
+    with_status(score_table(model, df, keep, positive), 0.5, positive, negative).write.mode("append").parquet(path)
 
 
 # ---------------------------------------------------------------- clusters

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-SLOTS = 1_000_000
+SLOTS = 1 << 60
 
 
 def sample_rows(df: DataFrame, fraction: float, seed: int) -> DataFrame:
@@ -20,19 +20,28 @@ def split_rows(df: DataFrame, weights: Sequence[float], seed: int) -> list[DataF
 
 
 def key_slot(keys: Sequence[str], seed: int) -> Column:
-    """A uniform slot in ``[0, SLOTS)`` that depends on the key and seed alone."""
-    return F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(SLOTS))
+    """A uniform slot in ``[0, SLOTS)`` that depends on the key and seed alone.
+
+    The first 60 bits of an MD5 over seed and keys as text (NULL is empty), so other
+    engines find the same slot.
+    """
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
+def _edge(share: float) -> int:
+    return min(SLOTS, round(share * SLOTS))
 
 
 def sample_keys(df: DataFrame, keys: Sequence[str], fraction: float, seed: int) -> DataFrame:
     """Sample that keeps or drops a key as a whole and survives re-partitioning."""
-    return df.filter(key_slot(keys, seed) < int(fraction * SLOTS))
+    return df.filter(key_slot(keys, seed) < _edge(fraction))
 
 
 def split_keys(df: DataFrame, keys: Sequence[str], weights: Sequence[float], seed: int) -> list[DataFrame]:
     """Disjoint, complete parts by key hash. A lost executor cannot move a row."""
     total = float(sum(weights))
-    edges = [0] + [round(SLOTS * sum(weights[:i + 1]) / total) for i in range(len(weights))]
+    edges = [0] + [_edge(sum(weights[:i + 1]) / total) for i in range(len(weights))]
     slot = key_slot(keys, seed)
     return [df.filter((slot >= lo) & (slot < hi)) for lo, hi in zip(edges, edges[1:])]
 

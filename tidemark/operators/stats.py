@@ -7,8 +7,6 @@ from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-MAX_CLASSES = 10_000
-
 
 def _long(wide: DataFrame, rows: Sequence[Sequence[tuple[str, Column]]]) -> DataFrame:
     """Unfold a one-row aggregate: each entry of ``rows`` is one output row."""
@@ -26,7 +24,7 @@ def summary_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     for c in columns:
         aggs += [F.count(c).alias(f"{c}_n"), F.avg(c).alias(f"{c}_mean"), F.stddev_samp(c).alias(f"{c}_sd"),
                  F.min(c).cast("double").alias(f"{c}_min"), F.max(c).cast("double").alias(f"{c}_max"),
-                 F.percentile_approx(c, [0.25, 0.5, 0.75]).alias(f"{c}_q")]
+                 F.percentile_approx(c, [0.25, 0.5, 0.75], 1_000_000).alias(f"{c}_q")]
     rows = [[("column", F.lit(c)), ("count", F.col(f"{c}_n")), ("mean", F.col(f"{c}_mean")),
              ("stddev", F.col(f"{c}_sd")), ("min", F.col(f"{c}_min")),
              *[(name, F.col(f"{c}_q")[i].cast("double")) for i, name in enumerate(("p25", "p50", "p75"))],
@@ -59,16 +57,13 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """Add a weight of one over the size of the row's class.
+    """Add a weight of one over the size of the row's class; NULL where the label is NULL.
 
-    The class sizes travel as one map value, so the table is not shuffled by a label
-    that has only a few values. The map's size is checked.
+    The class sizes are a pre-aggregated table. Spark broadcasts it where it is small, and
+    splits the rows of a hot label where it is not.
     """
-    sizes = (df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n"))
-               .agg(F.map_from_entries(F.collect_list(F.struct(label, "n"))).alias("m"))
-               .select(F.when(F.size("m") <= MAX_CLASSES, F.col("m"))
-                        .otherwise(F.raise_error(F.lit("too many classes"))).alias("m")).scalar())
-    return df.withColumn(name, F.lit(1.0) / F.try_element_at(sizes, F.col(label)))
+    sizes = df.filter(F.col(label).isNotNull()).groupBy(label).agg((F.lit(1.0) / F.count("*")).alias(name))
+    return df.join(sizes, label, "left").select(*[F.col(c) for c in df.columns], name)
 
 
 def minmax(df: DataFrame, columns: Sequence[str], lo: float = 0.0, hi: float = 10.0) -> DataFrame:

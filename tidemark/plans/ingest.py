@@ -60,7 +60,7 @@ def evolved_stream(spark, sf_dir):
         part.select(F.col("value").cast("string")).write.mode("append").text(source)
         evolve.run_with_schema_evolution(lambda: evolve.start_json_stream(
             own, source, target, schema_dir, checkpoint,
-            hints="event_id BIGINT, event_type STRING, value DOUBLE, infos STRUCT<k: INT>"))
+            hints="event_id BIGINT, event_type STRING, value DOUBLE, infos STRUCT<k: INT>"), schema_dir)
     out = evolve.read_evolved(spark, target)
     return out.select("event_id", "value", F.col("infos.k").alias("k"), "new_column", "_incorrect_data")
 

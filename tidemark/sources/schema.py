@@ -53,27 +53,54 @@ def apply_schema_hints(schema: T.StructType, hints: str | T.StructType) -> T.Str
 
 
 def merge_schemas(old: T.StructType, new: T.StructType) -> T.StructType:
-    """``old`` plus the fields, also nested ones, that only ``new`` has."""
+    """``old`` plus the fields that only ``new`` has, also those inside structs, arrays and maps."""
     fresh = {f.name: f for f in new}
     fields = []
     for field in old:
         other = fresh.pop(field.name, None)
-        if other and isinstance(field.dataType, T.StructType) and isinstance(other.dataType, T.StructType):
-            field = T.StructField(field.name, merge_schemas(field.dataType, other.dataType), field.nullable)
-        fields.append(field)
+        fields.append(T.StructField(field.name, _merged(field.dataType, other.dataType), field.nullable) if other else field)
     return T.StructType(fields + list(fresh.values()))
 
 
+def _merged(old: T.DataType, new: T.DataType) -> T.DataType:
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        return merge_schemas(old, new)
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return T.ArrayType(_merged(old.elementType, new.elementType), old.containsNull)
+    if isinstance(old, T.MapType):
+        if isinstance(new, T.StructType):  # inference sees a map's entries as fields
+            inner = old.valueType
+            for field in new:
+                inner = _merged(inner, field.dataType)
+            return T.MapType(old.keyType, inner, old.valueContainsNull)
+        if isinstance(new, T.MapType):
+            return T.MapType(old.keyType, _merged(old.valueType, new.valueType), old.valueContainsNull)
+    return old
+
+
 def unknown_fields(payload: Column, schema: T.StructType, prefix: str = "") -> Column:
-    """Names of JSON fields, nested ones as ``a.b``, that the schema does not have."""
+    """Names of JSON fields that the schema does not have: nested ones as ``a.b``, in arrays as ``a[].b``, in maps as ``a{}.b``."""
     known = F.array(*[F.lit(f.name) for f in schema]).cast("array<string>")
     own = F.coalesce(F.array_except(F.json_object_keys(payload), known), F.array().cast("array<string>"))
     found = [F.transform(own, lambda k: F.concat(F.lit(prefix), k))]
+    texts = F.from_json(payload, "map<string,string>")
     for field in schema:
-        if isinstance(field.dataType, T.StructType):
-            inner = F.get_json_object(payload, f"$.{field.name}")
-            found.append(unknown_fields(inner, field.dataType, f"{prefix}{field.name}."))
-    return F.concat(*found)
+        found.append(_unknown_inside(F.try_element_at(texts, F.lit(field.name)), field.dataType, f"{prefix}{field.name}"))
+    return F.array_distinct(F.concat(*[f for f in found if f is not None]))
+
+
+def _unknown_inside(text: Column, kind: T.DataType, path: str) -> Column | None:
+    if isinstance(kind, T.StructType):
+        return unknown_fields(text, kind, f"{path}.")
+    if isinstance(kind, T.ArrayType):
+        parts, inner, path = F.from_json(text, "array<string>"), kind.elementType, f"{path}[]"
+    elif isinstance(kind, T.MapType):
+        parts, inner, path = F.map_values(F.from_json(text, "map<string,string>")), kind.valueType, f"{path}{{}}"
+    else:
+        return None
+    if _unknown_inside(F.lit(""), inner, path) is None:
+        return None
+    return F.coalesce(F.flatten(F.transform(parts, lambda t: _unknown_inside(t, inner, path))), F.array().cast("array<string>"))
 
 
 def detect_new_fields(df: DataFrame, payload: str, schema: T.StructType) -> DataFrame:
@@ -86,45 +113,65 @@ def parse_json_col(df: DataFrame, payload: str, schema: T.StructType | str, out:
     return df.withColumn(out, F.from_json(payload, schema))
 
 
-def _struct_paths(schema: T.StructType, path: tuple[str, ...] = ()) -> list[tuple[tuple[str, ...], T.StructType]]:
-    """The schema and its nested structs, outermost first."""
-    found = [(path, schema)]
-    for field in schema:
-        if isinstance(field.dataType, T.StructType):
-            found += _struct_paths(field.dataType, (*path, field.name))
-    return found
+TEXTS = "map<string,string>"
+NO_FINDINGS = "array<struct<k:string,v:string>>"
 
 
-def parse_with_rescue(df: DataFrame, payload: str, schema: T.StructType | str,
-                      rescue: str = "_incorrect_data") -> DataFrame:
-    """Flatten JSON to typed columns; values of the wrong type go to ``rescue``.
+def _findings(texts: Column, typed: Column, struct: T.StructType, prefix: Column, extra: bool) -> Column:
+    """``k, v`` (path, raw text) of the values of one JSON object that its typed struct lost.
+
+    ``texts`` maps the object's own fields to their raw text. Structs, arrays and maps are
+    entered; with ``extra`` fields that the schema does not have are findings too.
+    """
+    found = []
+    for field in struct:
+        text = F.try_element_at(texts, F.lit(field.name))
+        found.append(_lost(text, typed[field.name], field.dataType, F.concat(prefix, F.lit(field.name)), extra))
+    if extra:
+        unknown = F.array_except(F.map_keys(texts), F.array(*[F.lit(f.name) for f in struct]).cast("array<string>"))
+        found.append(F.transform(unknown, lambda k: F.struct(F.concat(prefix, k).alias("k"), F.try_element_at(texts, k).alias("v"))))
+    return F.concat(*[F.coalesce(f, F.array().cast(NO_FINDINGS)) for f in found])
+
+
+def _lost(text: Column, typed: Column, kind: T.DataType, path: Column, extra: bool) -> Column:
+    """The findings below one value."""
+    whole = F.array(F.struct(path.alias("k"), text.alias("v")))
+    if isinstance(kind, T.StructType):
+        inner = _findings(F.from_json(text, TEXTS), typed, kind, F.concat(path, F.lit(".")), extra)
+        return F.when(text.isNull(), None).when(text.startswith("{"), inner).otherwise(whole)
+    if isinstance(kind, T.ArrayType):
+        items = F.from_json(text, "array<string>")
+        inner = F.flatten(F.transform(items, lambda t, i: F.coalesce(
+            _lost(t, F.get(typed, i), kind.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")), extra),
+            F.array().cast(NO_FINDINGS))))
+        return F.when(text.isNull(), None).when(text.startswith("[") & typed.isNotNull(), inner).otherwise(whole)
+    if isinstance(kind, T.MapType):
+        entries = F.map_entries(F.from_json(text, TEXTS))
+        inner = F.flatten(F.transform(entries, lambda e: F.coalesce(
+            _lost(e["value"], F.try_element_at(typed, e["key"].cast(kind.keyType)), kind.valueType, F.concat(path, F.lit("."), e["key"]), extra),
+            F.array().cast(NO_FINDINGS))))
+        return F.when(text.isNull(), None).when(text.startswith("{") & typed.isNotNull(), inner).otherwise(whole)
+    return F.when(text.isNotNull() & typed.isNull(), whole)
 
-    The row is always kept. ``rescue`` is a JSON object of path → raw text, or NULL.
-    A field is a misfit when the raw object has it and the typed one does not.
+
+def parse_with_rescue(df: DataFrame, payload: str, schema: T.StructType | str,
+                      rescue: str = "_incorrect_data", extra: bool = False) -> DataFrame:
+    """Flatten JSON to typed columns; what the types cannot hold goes to ``rescue``.
+
+    The row is always kept. ``rescue`` is a JSON object of path → raw text, or NULL. A
+    value is a misfit when the raw object has it and the typed one does not, also inside
+    structs, arrays (``a[0].b``) and maps; a list or map that parsing gives up as a whole
+    is rescued as a whole. A line that is no JSON object is kept whole
+    under the empty path. With ``extra`` unknown fields are rescued as well, for use where
+    no stream stops on them.
     """
     schema = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     keep = [c for c in df.columns if c != payload]
-    parsed = df.withColumn("_parsed", F.from_json(payload, schema))
-    bad = []
-    for number, (path, struct) in enumerate(_struct_paths(schema)):
-        # One parse per (nested) object gives the raw text of all its fields. Text that
-        # is no object parses to NULL, which makes the struct itself the misfit.
-        raw, texts = F.col(payload), f"_texts{number}"
-        if path:
-            outer = [p for p, _ in _struct_paths(schema)].index(path[:-1])
-            raw = F.try_element_at(f"_texts{outer}", F.lit(path[-1]))
-            raw = F.when(raw.startswith("{"), raw)
-        parsed = parsed.withColumn(texts, F.from_json(raw, "map<string,string>"))
-        typed = F.col("_parsed")
-        for name in path:
-            typed = typed[name]
-        for field in struct:
-            text = F.try_element_at(texts, F.lit(field.name))
-            if isinstance(field.dataType, T.StructType):
-                misfit = text.isNotNull() & ~text.startswith("{")
-            else:
-                misfit = text.isNotNull() & typed[field.name].isNull()
-            bad.append(F.when(misfit, F.struct(F.lit(".".join([*path, field.name])).alias("k"), text.alias("v"))))
-    found = parsed.withColumn("_bad", F.array_compact(F.array(*bad)))
+    line = F.trim(F.col(payload))
+    parsed = df.withColumn("_parsed", F.from_json(payload, schema)).withColumn("_texts", F.from_json(payload, TEXTS))
+    is_object = line.startswith("{") & F.get_json_object(payload, "$").isNotNull()
+    inside = _findings(F.col("_texts"), F.col("_parsed"), schema, F.lit(""), extra)
+    whole = F.array(F.struct(F.lit("").alias("k"), F.col(payload).alias("v")))
+    found = parsed.withColumn("_bad", F.when(F.col(payload).isNull(), None).when(is_object, inside).otherwise(whole))
     text = F.when(F.size("_bad") > 0, F.to_json(F.map_from_entries("_bad")))
     return found.select(*keep, "_parsed.*", text.alias(rescue))

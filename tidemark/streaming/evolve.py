@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.session import scratch_dir
 from tidemark.sources.schema import (apply_schema_hints, infer_and_store_schema, merge_schemas,
-                                     parse_with_rescue, store_schema, unknown_fields)
+                                     parse_with_rescue, store_schema, stored_schema, unknown_fields)
 from tidemark.streaming.sinks import sink_batches
 
 UNKNOWN = "unknown fields in the stream"
@@ -59,17 +59,24 @@ def start_json_stream(spark: SparkSession, source: str, target: str, schema_dir:
     return sink_batches(reader.text(source), write, checkpoint, available_now=True)
 
 
-def run_with_schema_evolution(start, attempts: int = 20) -> StreamingQuery:
-    """Run ``start()`` to its end, again after each stop for unknown fields."""
-    for _ in range(attempts):
+def run_with_schema_evolution(start, schema_dir: str) -> StreamingQuery:
+    """Run ``start()`` to its end, again after each stop for unknown fields.
+
+    Every stop must have widened the schema in ``schema_dir``: one that has not would
+    only be repeated.
+    """
+    spark = SparkSession.active()
+    before = stored_schema(spark, schema_dir)
+    while True:
         query = start()
         try:
             query.awaitTermination()
             return query
         except StreamingQueryException as error:
-            if UNKNOWN not in str(error):
+            after = stored_schema(spark, schema_dir)
+            if UNKNOWN not in str(error) or after == before:
                 raise
-    raise RuntimeError("the schema kept changing")
+            before = after
 
 
 def read_evolved(spark: SparkSession, target: str) -> DataFrame:
