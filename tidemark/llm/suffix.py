@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.arrow import chunks, text_bytes
 from tidemark.session import materialize
 
-GRAM = 16
+GRAM = 64
 BLOCK_BYTES = 1 << 20
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 HIGH, LOW = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF)
@@ -39,18 +39,30 @@ def _words(data: np.ndarray, shift: int, n: int, order: str = "<") -> np.ndarray
     return np.ndarray((n,), f"{order}u8", data, shift, (1,)).astype(np.uint64)
 
 
+def _mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    h = left * A
+    h ^= (right + A) * B
+    h ^= h >> np.uint64(32)
+    h *= A
+    h ^= h >> np.uint64(29)
+    return h
+
+
 def segments(data: np.ndarray, offsets: np.ndarray, length: int = 400) -> tuple[np.ndarray, ...]:
     """The segments of the texts: text number, first and last window start, anchor hash, segment hash."""
-    n, width = len(data), length - GRAM + 1
+    n, gram = len(data), 16
+    while gram < GRAM and 4 * gram < length:
+        gram *= 2
+    width = length - gram + 1
     if n < length:
         return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
     padded = np.concatenate([data, np.zeros(16, np.uint8)])
-    grams = n - GRAM + 1
-    h = _words(padded, 0, grams) * A
-    h ^= (_words(padded, 8, grams) + A) * B
-    h ^= h >> np.uint64(32)
-    h *= A
-    h ^= h >> np.uint64(29)
+    grams = n - gram + 1
+    h = _mixed(_words(padded, 0, n - 15), _words(padded, 8, n - 15))
+    size = 16
+    while size < gram:  # the hash of a gram from those of its halves
+        h = _mixed(h[:-size], h[size:])
+        size *= 2
     key = np.full(-(-grams // width) * width, np.uint64(2 ** 64 - 1))
     key[:grams] = (h & HIGH) | np.arange(grams, dtype=np.uint64)  # the leftmost of equal k-grams
     rows = key.reshape(-1, width)
