@@ -17,11 +17,11 @@ def at(n):
 
 
 def test_merge_golden_case(spark):
-    target = spark.createDataFrame([("PARIS", "Fully Paid", 100, "A", 1)], LOAN)
-    source = spark.createDataFrame([("PARIS", "Fuly Paid", 999.0, "D", 1), ("PARIS", "Fuly Paid", 100.0, "A", 2)],
+    target = spark.createDataFrame([("OSLO", "open", 40, "B", 7)], LOAN)
+    source = spark.createDataFrame([("BERN", "late", 55.0, "C", 7), ("ROME", "late", 60.0, "B", 8)],
                                    LOAN.replace("loan_amnt bigint", "loan_amnt float"))
     out = C.merge(target, source, ["id"], [C.Update({"loan_amnt": F.col("source.loan_amnt")}), C.Insert()])
-    assert rows(out.rows) == [("PARIS", "Fully Paid", 999, "A", 1), ("PARIS", "Fuly Paid", 100, "A", 2)]
+    assert rows(out.rows) == [("OSLO", "open", 55, "B", 7), ("ROME", "late", 60, "B", 8)]
     kinds = sorted(r["_change_type"] for r in out.changes.collect())
     assert kinds == ["insert", "update_postimage", "update_preimage"]
 
@@ -220,11 +220,29 @@ def test_replayed_stream_batch_changes_nothing(spark):
     from tidemark.streaming.cdc import cdc_stream
     source, log, first, second = folders(spark, "replay", "in", "log", "c1", "c2")
     base = spark.createDataFrame([(1, "a", 0), (2, "b", 0)], "id bigint, name string, day int")
-    C.write_version(base.withColumn("_change_type", F.lit("insert")), log, 0, at(0))
+    C.write_version(base.withColumn("_change_type", F.lit("insert")), log, 0, at(0), "id")
     spark.createDataFrame([(1, "x", "UPDATE", 1), (2, None, "DELETE", 1)], CLIENT).write.parquet(source)
     results = []
     for checkpoint in (first, second):  # the second checkpoint has forgotten the first run
         cdc_stream(stream_table(spark, source, CLIENT), log, "id", [F.desc("day")], ["id", "name", "day"], checkpoint,
                    first_version=1, available_now=True).awaitTermination()
-        results.append(rows(C.read_log(spark, log).drop("_commit_timestamp")))
-    assert results[0] == results[1] and rows(C.as_of(C.read_log(spark, log), ["id"])) == [(1, "x", 1)]
+        results.append(rows(C.read_log(spark, log, base.schema)))  # commit times too
+    assert results[0] == results[1] and rows(C.as_of(C.read_log(spark, log, base.schema), ["id"])) == [(1, "x", 1)]
+
+
+def test_stream_batches_read_their_own_buckets_only(spark):
+    from tidemark.streaming.cdc import _before
+    log, = folders(spark, "buckets", "log")
+    base = spark.range(1000).select(F.col("id"), F.lit("a").alias("name"))
+    C.write_version(base.withColumn("_change_type", F.lit("insert")), log, 0, at(0), "id")
+    batch = base.filter("id IN (3, 5)").withColumn("operation", F.lit("UPDATE"))
+    before = _before(batch, log, 1, "id", ["id", "name"], 16)
+    scan = next(line for line in before._jdf.queryExecution().executedPlan().toString().splitlines() if "PartitionFilters: [" in line)
+    assert "_bucket" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert rows(before) == [(3, "a"), (5, "a")]
+
+
+def test_merge_and_lookups_plan_no_sort_aggregate_for_texts(spark):
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    plan = C.merge(target, target, ["k"], [C.Update(None)]).rows._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan

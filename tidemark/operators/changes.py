@@ -139,9 +139,8 @@ def _apply_matched(target, source, on, clauses, types, unique_source):
     if unique_source:
         one = source.withColumn("_copies", F.lit(1))
     else:
-        # Only rows whose key occurs once are ever used, so the columns may come singly.
-        one = source.groupBy(*on).agg(
-            F.count("*").alias("_copies"), *[F.first(c).alias(c) for c in source.columns if c not in on])
+        # Keys alone are counted: aggregating the columns, texts among them, would need sorts.
+        one = source.join(source.groupBy(*on).agg(F.count("*").alias("_copies")), on)
     joined = target.alias("target").join(
         one.alias("source"),
         reduce(lambda a, b: a & b, [F.col(f"target.{k}") == F.col(f"source.{k}") for k in on]),
@@ -253,10 +252,23 @@ def init_change_log(df: DataFrame, ts: Column) -> DataFrame:
     return stamp(df.withColumn("_change_type", F.lit("insert")), 0, ts)
 
 
-def write_version(changes: DataFrame, path: str, version: int, ts: Column) -> None:
-    """Write one version's folder. A replay of the same version replaces it."""
-    (stamp(changes, version, ts).drop("_commit_version")
-     .write.mode("overwrite").parquet(f"{path}/_commit_version={int(version)}"))
+def bucket(key: str, buckets: int) -> Column:
+    """The log's folder for a key."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def write_version(changes: DataFrame, path: str, version: int, ts: Column, key: str | None = None,
+                  buckets: int = 16) -> None:
+    """Write one version's folder. A replay of the same version replaces it.
+
+    With ``key`` the version is split into ``buckets`` folders by key, so that a reader
+    of few keys opens few of them. All versions of a log must agree in this.
+    """
+    rows, to = stamp(changes, version, ts).drop("_commit_version"), f"{path}/_commit_version={int(version)}"
+    if key is None:
+        rows.write.mode("overwrite").parquet(to)
+    else:
+        rows.withColumn("_bucket", bucket(key, buckets)).write.mode("overwrite").partitionBy("_bucket").parquet(to)
 
 
 def log_schema(columns: T.StructType) -> T.StructType:
@@ -273,7 +285,7 @@ def read_log(spark: SparkSession, path: str, columns: T.StructType | None = None
     """
     log = (spark.read.option("mergeSchema", "true").parquet(path) if columns is None
            else spark.read.schema(log_schema(columns)).parquet(path))
-    plain = [c for c in log.columns if c not in META]
+    plain = [c for c in log.columns if c not in META and c != "_bucket"]
     return log.select(*plain, "_change_type", F.col("_commit_version").cast("long").alias("_commit_version"),
                       "_commit_timestamp")
 
@@ -311,11 +323,15 @@ def clone(log: DataFrame, keys: Sequence[str], version: int | None, path: str) -
 
 
 def history(log: DataFrame) -> DataFrame:
-    """Rows written per version and change type."""
+    """Operation and rows written per version: ``WRITE``, ``UPDATE`` or ``DELETE`` where a
+    version has one kind of change only, else ``MERGE``."""
     kinds = {"inserted": "insert", "updated": "update_postimage", "deleted": "delete"}
     counts = [F.count_if(F.col("_change_type") == kind).alias(name) for name, kind in kinds.items()]
+    none = lambda *names: reduce(lambda a, b: a & b, [F.col(n) == 0 for n in names])
+    operation = (F.when(none("updated", "deleted"), "WRITE").when(none("inserted", "deleted"), "UPDATE")
+                 .when(none("inserted", "updated"), "DELETE").otherwise("MERGE"))
     return (log.groupBy("_commit_version", "_commit_timestamp").agg(*counts)
-               .orderBy(F.desc("_commit_version")))
+               .withColumn("operation", operation).orderBy(F.desc("_commit_version")))
 
 
 def latest_version(log: DataFrame) -> int | None:

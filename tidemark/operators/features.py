@@ -66,9 +66,9 @@ def lookups_for(table: DataFrame, key: str) -> Lookup:
 
 def _one_per_key(lookup: Lookup) -> DataFrame:
     """The picked features, with an error if a key occurs twice."""
-    # One ``first`` per column, not one per struct: that keeps the hash aggregate.
-    checked = lookup.table.groupBy(lookup.key).agg(
-        F.count("*").alias("_n"), *[F.first(c).alias(c) for c in lookup.features])
+    # Keys alone are counted: aggregating the features, texts among them, would need sorts.
+    copies = lookup.table.groupBy(lookup.key).agg(F.count("*").alias("_n"))
+    checked = lookup.table.select(lookup.key, *lookup.features).join(copies, lookup.key)
     several = F.raise_error(F.lit(f"feature table has several rows for one {lookup.key}")).cast("boolean")
     return checked.filter(F.when(F.col("_n") > 1, several).otherwise(F.lit(True))).drop("_n")
 

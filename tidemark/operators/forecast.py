@@ -94,14 +94,22 @@ def cutoffs(series: DataFrame, keys: Sequence[str], initial: int, period: int, h
 
 
 def rolling_cv(series: DataFrame, keys: Sequence[str], initial: int = 730, period: int = 90,
-               horizon: int = 180) -> DataFrame:
-    """Fit before each cut-off, predict the ``horizon`` days after it: (keys, cutoff, ds, y, yhat)."""
+               horizon: int = 180, interval_width: float = 0.95) -> DataFrame:
+    """Fit before each cut-off, predict the ``horizon`` days after it.
+
+    Returns (keys, cutoff, ds, y, yhat, yhat_lower, yhat_upper); the interval is that of
+    normal errors as large as those of the fit.
+    """
     paired = series.join(cutoffs(series, keys, initial, period, horizon), list(keys))
     train = paired.filter("ds <= cutoff")
     test = paired.filter((F.col("ds") > F.col("cutoff")) & (F.col("ds") <= F.date_add("cutoff", horizon)))
     by = [*keys, "cutoff"]
     line = _fit_line(train, by)
-    return _predict(test, line, _weekday_index(train, line, by), by).select(*by, "ds", "y", "yhat")
+    index = _weekday_index(train, line, by)
+    z = NormalDist().inv_cdf(0.5 + interval_width / 2)
+    errors = _predict(train, line, index, by).groupBy(*by).agg((F.stddev_samp(F.col("y") - F.col("yhat")) * z).alias("_half"))
+    return _predict(test, line, index, by).join(errors, by, "left").select(
+        *by, "ds", "y", "yhat", (F.col("yhat") - F.col("_half")).alias("yhat_lower"), (F.col("yhat") + F.col("_half")).alias("yhat_upper"))
 
 
 def forecast_metrics(cv: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -123,7 +131,7 @@ class Params:
 
     weekly: bool = True
     yearly: bool = True
-    daily: bool = False          # no effect on daily totals; kept as a searchable switch
+    ridge: float = 0.1           # of the seasonal weights
     interval_width: float = 0.95
 
 
@@ -138,8 +146,7 @@ def _fourier(days: np.ndarray, name: str) -> np.ndarray:
     return np.hstack([np.cos(angle), np.sin(angle)])
 
 
-def fit_predict(days: np.ndarray, y: np.ndarray, at: np.ndarray, params: Params,
-                ridge: float = 0.1) -> pd.DataFrame:
+def fit_predict(days: np.ndarray, y: np.ndarray, at: np.ndarray, params: Params) -> pd.DataFrame:
     """Trend line times seasonal terms, fitted in turns: each against the data without the other.
 
     The line is least squares, the Fourier weights are ridge regression.
@@ -151,7 +158,7 @@ def fit_predict(days: np.ndarray, y: np.ndarray, at: np.ndarray, params: Params,
     terms = [name for name in PERIODS if getattr(params, name)]
     blocks = {name: _fourier(days, name) for name in terms}
     design = np.hstack(list(blocks.values())) if terms else np.zeros((len(days), 0))
-    normal = design.T @ design + ridge * np.eye(design.shape[1])
+    normal = design.T @ design + params.ridge * np.eye(design.shape[1])
     gamma, season = np.zeros(design.shape[1]), np.zeros(len(days))
     for _ in range(TURNS if terms else 1):
         beta = np.linalg.lstsq(x, y / np.maximum(1 + season, 0.05), rcond=None)[0]
@@ -209,9 +216,9 @@ def forecast_by_key(df: DataFrame, keys: Sequence[str], day: str, value: str, st
 
 
 def search_space(trials: int = 12, seed: int = 123) -> list[Params]:
-    """Random draws of the seasonality switches and the interval width."""
+    """Random draws of the seasonality switches, the ridge weight and the interval width."""
     rng = random.Random(seed)
-    return [Params(weekly=rng.random() < 0.5, yearly=rng.random() < 0.5, daily=rng.random() < 0.5,
+    return [Params(weekly=rng.random() < 0.5, yearly=rng.random() < 0.5, ridge=round(10 ** rng.uniform(-2, 2), 4),
                    interval_width=round(rng.uniform(0.5, 0.95), 4)) for _ in range(trials)]
 
 
@@ -225,10 +232,10 @@ def forecast_search(df: DataFrame, keys: Sequence[str], day: str, value: str, ca
     """
     series = daily_series(df, keys, day, value)
     options = F.array(*[F.lit(i) for i in range(len(candidates))])
-    fields = ["weekly", "yearly", "daily", "interval_width"]
+    fields = ["weekly", "yearly", "ridge", "interval_width"]
     schema = T.StructType([series.schema[k] for k in keys] + [
-        T.StructField("candidate", T.IntegerType()), *[T.StructField(f, T.BooleanType()) for f in fields[:3]],
-        T.StructField("interval_width", T.DoubleType()), T.StructField("n", T.LongType()),
+        T.StructField("candidate", T.IntegerType()), *[T.StructField(f, T.BooleanType()) for f in fields[:2]],
+        T.StructField("ridge", T.DoubleType()), T.StructField("interval_width", T.DoubleType()), T.StructField("n", T.LongType()),
         T.StructField("rmse", T.DoubleType()), T.StructField("coverage", T.DoubleType())])
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:

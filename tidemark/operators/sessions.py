@@ -15,9 +15,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 def activity_buckets(df: DataFrame, user: str, ts: str, gap: str,
                      counters: dict[str, Column] | None = None) -> DataFrame:
-    """First and last click, click count and extra sums per user and bucket."""
+    """First and last click, click count and extra sums per user and bucket.
+
+    A click without a user or a time belongs to no session, here and in the streams.
+    """
     sums = [F.sum(expr).alias(name) for name, expr in (counters or {}).items()]
-    return (df.groupBy(user, F.window(ts, gap)["start"].alias("_bucket"))
+    return (df.filter(F.col(user).isNotNull() & F.col(ts).isNotNull()).groupBy(user, F.window(ts, gap)["start"].alias("_bucket"))
               .agg(F.min(ts).alias("start"), F.max(ts).alias("end"),
                    F.count("*").alias("clicks"), *sums)
               .drop("_bucket"))

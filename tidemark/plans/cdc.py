@@ -53,23 +53,20 @@ def commit_time(version: int) -> Column:
     return F.lit(f"2002-01-{version + 1:02d}").cast("timestamp")
 
 
-_LOGS: dict[tuple[str, str], str] = {}
+def _write_log(spark: SparkSession, sf_dir: str) -> str:
+    """The client table's change log, in key buckets: the load and one merge per wave."""
+    path, = folders(spark, "clients", "log")
+    clients, ops = _clients(spark, sf_dir), _ops(spark, sf_dir)
+    C.write_version(clients.withColumn("_change_type", F.lit("insert")), path, 0, commit_time(0), "id")
+    for wave in (1, 2, 3):
+        now = C.as_of(C.read_log(spark, path, clients.schema), ["id"], wave - 1)
+        changes = C.apply_cdc(now, ops.filter(F.col("wave") == wave), "id", _newest()).changes
+        C.write_version(changes, path, wave, commit_time(wave), "id")
+    return path
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The client table's change log: the load and one merge per wave, built once per session."""
-    at = (spark.sparkContext.applicationId, sf_dir)
-    if at not in _LOGS:
-        path, = folders(spark, "clients", "log")
-        load = _clients(spark, sf_dir).withColumn("_change_type", F.lit("insert"))
-        C.write_version(load, path, 0, commit_time(0))
-        ops = _ops(spark, sf_dir)
-        for wave in (1, 2, 3):
-            now = C.as_of(C.read_log(spark, path), ["id"], wave - 1)
-            changes = C.apply_cdc(now, ops.filter(F.col("wave") == wave), "id", _newest()).changes
-            C.write_version(changes, path, wave, commit_time(wave))
-        _LOGS[at] = path
-    return C.read_log(spark, _LOGS[at])
+    return C.read_log(spark, _write_log(spark, sf_dir), _clients(spark, sf_dir).schema)
 
 
 def cdc_latest(spark, sf_dir):
@@ -89,18 +86,22 @@ def cdc_apply_guarded(spark, sf_dir):
 
 
 def cdc_apply_stream(spark, sf_dir):
-    """The waves arrive one by one; each run picks up where the last one stopped."""
+    """The waves arrive as files, each cut in two by date; every file is a micro-batch, every run goes on where the last stopped."""
     own = stream_session(spark)
     source, log, checkpoint = folders(spark, "cdc", "in", "log", "checkpoint")
-    C.write_version(_clients(spark, sf_dir).withColumn("_change_type", F.lit("insert")), log, 0, commit_time(0))
+    clients = _clients(spark, sf_dir)
+    C.write_version(clients.withColumn("_change_type", F.lit("insert")), log, 0, commit_time(0), "id")
     ops = _ops(spark, sf_dir)
+    schema = "id long, name string, address string, email string, operation string, " \
+             "operation_date timestamp_ntz, seq long"
     for wave in (1, 2, 3):
-        ops.filter(F.col("wave") == wave).drop("wave").write.mode("append").parquet(source)
-        schema = "id long, name string, address string, email string, operation string, " \
-                 "operation_date timestamp_ntz, seq long"
-        stream_cdc.cdc_stream(stream_table(own, source, schema), log, "id", _newest(), COLUMNS, checkpoint,
+        part = ops.filter(F.col("wave") == wave).drop("wave")
+        middle = part.agg(F.expr("timestampadd(SECOND, timestampdiff(SECOND, min(operation_date), max(operation_date)) div 2, min(operation_date))").alias("m")).scalar()
+        for late in (False, True):
+            part.filter((F.col("operation_date") >= middle) == late).coalesce(1).write.mode("append").parquet(source)
+        stream_cdc.cdc_stream(stream_table(own, source, schema, max_files=1), log, "id", _newest(), COLUMNS, checkpoint,
                               first_version=1, available_now=True).awaitTermination()
-    return C.as_of(C.read_log(spark, log), ["id"])
+    return C.as_of(C.read_log(spark, log, clients.schema), ["id"])
 
 
 def merge_clauses(spark, sf_dir):
@@ -146,19 +147,17 @@ def delete_in(spark, sf_dir):
 
 
 def forget_user(spark, sf_dir):
-    """The most active user leaves both layers; rows left and deleted per layer."""
+    """The most active user leaves both layers: every row of either, left or deleted."""
     events = table(spark, sf_dir, "events")
     user = events.groupBy("user_id").count().orderBy(F.desc("count"), "user_id").select("user_id").limit(1).scalar()
     raw = events.select(F.col("event_id").cast("string").alias("sequence"),
                         F.to_json(F.struct("user_id", "event_type")).cast("binary").alias("data"))
     payload = F.from_json(F.col("data").cast("string"), "user_id long, event_type string")
-    gone = raw.filter(payload["user_id"] == user).select("sequence").distinct()
-    raw_left = C.delete_in(raw, "sequence", gone)
-    typed_left = C.delete_where(events, F.col("user_id") == user)
-    count = lambda df, layer, what: df.agg(F.count("*").alias("n")).select(
-        F.lit(layer).alias("layer"), F.lit(what).alias("what"), "n")
-    return (count(raw_left.rows, "raw", "left").union(count(raw_left.changes, "raw", "deleted"))
-            .union(count(typed_left.rows, "typed", "left")).union(count(typed_left.changes, "typed", "deleted")))
+    in_raw, in_typed = C.forget(raw, events, "user_id", user, "sequence", payload["user_id"])
+    part = lambda df, layer, what, key: df.select(
+        F.lit(layer).alias("layer"), F.lit(what).alias("what"), F.col(key).cast("string").alias("event"))
+    return (part(in_raw.rows, "raw", "left", "sequence").union(part(in_raw.changes, "raw", "deleted", "sequence"))
+            .union(part(in_typed.rows, "typed", "left", "event_id")).union(part(in_typed.changes, "typed", "deleted", "event_id")))
 
 
 def change_log(spark, sf_dir):
@@ -216,21 +215,33 @@ def propagate_gold(spark, sf_dir):
 
 
 def propagate_stream(spark, sf_dir):
-    """The downstream table follows the log as a stream and starts empty."""
+    """The downstream table follows the log as a stream, a file per micro-batch, and starts empty."""
     own = stream_session(spark)
-    schema = _log(spark, sf_dir).schema
+    path, clients = _write_log(spark, sf_dir), _clients(spark, sf_dir)
+    schema = C.read_log(spark, path, clients.schema).schema
     gold, checkpoint = folders(spark, "gold", "log", "checkpoint")
-    feed = stream_table(own, _LOGS[(spark.sparkContext.applicationId, sf_dir)], schema)
-    stream_cdc.propagate_stream(feed, gold, "id", COLUMNS, checkpoint, ["address"],
+    stream_cdc.propagate_stream(stream_table(own, path, schema), gold, "id", COLUMNS, checkpoint, ["address"],
                                 available_now=True).awaitTermination()
-    return C.as_of(C.read_log(spark, gold), ["id"])
+    return C.as_of(C.read_log(spark, gold, clients.schema), ["id"])
+
+
+def propagate_from_version(spark, sf_dir):
+    """The downstream table starts as the load and follows the log from version 2 on."""
+    own = stream_session(spark)
+    path, clients = _write_log(spark, sf_dir), _clients(spark, sf_dir)
+    schema = C.read_log(spark, path, clients.schema).schema
+    gold, checkpoint = folders(spark, "gold", "log", "checkpoint")
+    C.write_version(clients.withColumn("_change_type", F.lit("insert")), gold, 0, commit_time(0), "id")
+    stream_cdc.propagate_stream(stream_table(own, path, schema), gold, "id", COLUMNS, checkpoint, ["address"],
+                                available_now=True, from_version=2, first_version=1).awaitTermination()
+    return C.as_of(C.read_log(spark, gold, clients.schema), ["id"])
 
 
 QUERIES = {f.__name__: f for f in (
     cdc_latest, cdc_apply, cdc_apply_guarded, cdc_apply_stream, merge_clauses, delete_where, update_where,
     update_changes, delete_in, forget_user, change_log, change_feed, change_feed_range, change_feed_time,
     as_of_version, as_of_time, as_of_now, restore, history, latest_version, expire, propagate_gold,
-    propagate_stream)}
+    propagate_stream, propagate_from_version)}
 
 _BASE = """
 WITH clients AS (
@@ -333,10 +344,10 @@ ORACLE = {
     "delete_in": """SELECT o_orderkey, o_custkey, o_orderstatus FROM orders
         WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""",
     "forget_user": """
-        WITH n AS (SELECT count(*) AS c FROM events GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 1),
+        WITH u AS (SELECT user_id FROM events GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 1),
         layers AS (SELECT unnest(['raw', 'typed']) AS layer)
-        SELECT layer, 'left' AS what, (SELECT count(*) FROM events) - c AS n FROM layers, n
-        UNION ALL SELECT layer, 'deleted', c FROM layers, n""",
+        SELECT layer, CASE WHEN e.user_id = u.user_id THEN 'deleted' ELSE 'left' END AS what, CAST(event_id AS VARCHAR) AS event
+        FROM layers, events e, u""",
     "change_log": _feed("TRUE"),
     "change_feed": _APPLIED + _diff("clients", "applied"),
     "change_feed_range": _feed("v BETWEEN 1 AND 2"),
@@ -348,7 +359,9 @@ ORACLE = {
     "history": _LOG_SQL + """SELECT CAST(v AS BIGINT) AS _commit_version,
         count(*) FILTER (WHERE _change_type = 'insert') AS inserted,
         count(*) FILTER (WHERE _change_type = 'update_postimage') AS updated,
-        count(*) FILTER (WHERE _change_type = 'delete') AS deleted FROM log GROUP BY 1""",
+        count(*) FILTER (WHERE _change_type = 'delete') AS deleted,
+        CASE WHEN bool_and(_change_type = 'insert') THEN 'WRITE' WHEN bool_and(_change_type LIKE 'update%') THEN 'UPDATE'
+             WHEN bool_and(_change_type = 'delete') THEN 'DELETE' ELSE 'MERGE' END AS operation FROM log GROUP BY 1""",
     "latest_version": _LOG_SQL + "SELECT CAST(max(v) AS BIGINT) AS version FROM log",
     "expire": _LOG_SQL + f""", base AS ({_as_of(2)})
         SELECT *, 'insert' AS _change_type, CAST(2 AS BIGINT) AS _commit_version,
@@ -359,4 +372,8 @@ ORACLE = {
                               ELSE address END AS address, email, operation_date FROM cur""",
     "propagate_stream": _LOG_SQL + f""", cur AS ({_as_of(3)})
         SELECT id, name, replace(address, '"', '') AS address, email, operation_date FROM cur""",
+    "propagate_from_version": _LOG_SQL + f"""
+        SELECT id, name, CASE WHEN v > 1 THEN replace(address, '"', '') ELSE address END AS address, email, operation_date
+        FROM (SELECT * FROM log WHERE v <> 1 AND _change_type <> 'update_preimage'
+              QUALIFY row_number() OVER (PARTITION BY id ORDER BY v DESC) = 1) WHERE _change_type <> 'delete'""",
 }

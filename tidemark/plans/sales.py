@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators import forecast as FC
-from tidemark.operators import trends
+from tidemark.operators import sampling, trends
 from tidemark.plans.common import folders, stream_session, table
 from tidemark.sources.files import stream_files
 from tidemark.streaming import live, sinks
@@ -24,6 +24,12 @@ def _text(df: DataFrame, *days: str) -> DataFrame:
     return df.withColumns({d: F.col(d).cast("string") for d in days})
 
 
+def _item_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by store and item; an item is a brand."""
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part"), F.col("p_brand").alias("item"))
+    return _sales(spark, sf_dir).withColumnRenamed("item", "part").join(parts, "part").select("store", "item", "day", "sales")
+
+
 def trend_year(spark, sf_dir):
     return trends.trend_by_year(_sales(spark, sf_dir), "day", "sales")
 
@@ -75,27 +81,47 @@ def cv_cutoffs(spark, sf_dir):
 
 def rolling_cv(spark, sf_dir):
     out = FC.rolling_cv(_series(spark, sf_dir), KEY)
-    return _text(out.select("store", "cutoff", "ds", "y", F.round("yhat", 4).alias("yhat")), "cutoff", "ds")
+    return _text(out.select("store", "cutoff", "ds", "y", *[F.round(c, 4).alias(c) for c in ("yhat", "yhat_lower", "yhat_upper")]), "cutoff", "ds")
 
 
 def cv_metrics(spark, sf_dir):
     out = FC.forecast_metrics(FC.rolling_cv(_series(spark, sf_dir), KEY))
-    return out.select("horizon", "n", *[F.round(c, 4).alias(c) for c in ("mse", "rmse", "mae", "mape")])
+    return out.select("horizon", "n", *[F.round(c, 4).alias(c) for c in ("mse", "rmse", "mae", "mape", "coverage")])
 
 
 def forecast_by_key(spark, sf_dir):
-    return _text(FC.forecast_by_key(_sales(spark, sf_dir), KEY, DAY, VALUE, 30), "ds")
+    """One model per store and item."""
+    return _text(FC.forecast_by_key(_item_sales(spark, sf_dir), ["store", "item"], DAY, VALUE, 30), "ds")
+
+
+def forecast_identities(spark, sf_dir):
+    """Of every forecast: its date, and whether its terms add up and its bounds lie evenly around it."""
+    out = forecast_by_key(spark, sf_dir)
+    near = lambda a, b: F.abs(a - b) <= 1e-3 * F.greatest(F.abs(a), F.lit(1.0))
+    yhat, season = F.col("yhat").cast("double"), F.col("weekly").cast("double") + F.col("yearly")
+    return out.select("store", "item", "ds", near(yhat, F.col("trend") * (1 + season)).alias("adds_up"),
+                      near(F.col("yhat_upper") - yhat, yhat - F.col("yhat_lower")).alias("is_even"),
+                      near(F.col("multiplicative_terms").cast("double"), season).alias("terms_match"))
 
 
 def forecast_dates(spark, sf_dir):
-    """The dates of the forecasts: the whole history and 30 days more per store."""
-    return forecast_by_key(spark, sf_dir).select("store", "ds")
+    """The dates of the forecasts: the whole history and 30 days more per store and item."""
+    return forecast_by_key(spark, sf_dir).select("store", "item", "ds")
+
+
+def seasonal_trend_item(spark, sf_dir):
+    """The native forecast per store and item; a series of one day has a date but no line."""
+    keys = ["store", "item"]
+    out = FC.seasonal_trend(FC.stored_series(_item_sales(spark, sf_dir), keys, DAY, VALUE), keys, 30)
+    return _text(out.select(*keys, "ds", F.round("trend", 4).alias("trend"), F.round("yhat", 4).alias("yhat")), "ds")
 
 
 def forecast_global(spark, sf_dir):
-    """One model over all stores."""
-    everything = _sales(spark, sf_dir).withColumn("series", F.lit("all"))
-    return _text(FC.forecast_by_key(everything, ["series"], DAY, VALUE, 30), "ds")
+    """One line over all stores since 1995, from a tenth of them: since-date and sample are the feature."""
+    recent = _sales(spark, sf_dir).filter(F.col("day") >= "1995-01-01")
+    some = sampling.sample_keys(recent, ["store"], 0.1, 123).withColumn("series", F.lit("all"))
+    out = FC.seasonal_trend(FC.stored_series(some, ["series"], DAY, VALUE), ["series"], 30)
+    return _text(out.select("series", "ds", F.round("trend", 4).alias("trend"), F.round("yhat", 4).alias("yhat")), "ds")
 
 
 def forecast_slice(spark, sf_dir):
@@ -111,8 +137,8 @@ def forecast_search(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     trend_year, trend_month, season_weekday, daily_total, sum_by_key, sum_by_key_stream, future_frame,
-    seasonal_trend, cv_cutoffs, rolling_cv, cv_metrics, forecast_by_key, forecast_dates, forecast_global, forecast_slice,
-    forecast_search)}
+    seasonal_trend, cv_cutoffs, rolling_cv, cv_metrics, forecast_by_key, forecast_dates, forecast_identities, seasonal_trend_item,
+    forecast_global, forecast_slice, forecast_search)}
 
 _SUM = """SELECT o_orderpriority, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS total_amount
 FROM orders GROUP BY 1"""
@@ -152,7 +178,34 @@ cv AS (
   SELECT p.store, p.cutoff, p.ds, p.y, (level + slope * t) * coalesce(i, 1.0) AS yhat
   FROM paired p JOIN line l ON l.store = p.store AND l.cutoff = p.cutoff
   LEFT JOIN idx ON idx.store = p.store AND idx.cutoff = p.cutoff AND idx.weekday = dayofweek(p.ds)
-  WHERE p.ds > p.cutoff AND p.ds <= p.cutoff + 180)"""
+  WHERE p.ds > p.cutoff AND p.ds <= p.cutoff + 180),
+errors AS (
+  SELECT p.store, p.cutoff, stddev_samp(y - (level + slope * t) * coalesce(i, 1.0)) * 1.959963984540054 AS half
+  FROM paired p JOIN line l ON l.store = p.store AND l.cutoff = p.cutoff
+  LEFT JOIN idx ON idx.store = p.store AND idx.cutoff = p.cutoff AND idx.weekday = dayofweek(p.ds)
+  WHERE p.ds <= p.cutoff GROUP BY 1, 2)"""
+_ITEMS = """
+WITH series AS (
+  SELECT l_suppkey AS store, p_brand AS item, CAST(l_shipdate AS DATE) AS ds, sum(l_quantity) AS y
+  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3),
+frame AS (
+  SELECT store, item, ds FROM series
+  UNION ALL
+  SELECT store, item, CAST(last + CAST(n AS INTEGER) AS DATE)
+  FROM (SELECT store, item, max(ds) AS last FROM series GROUP BY 1, 2), range(1, 31) r(n))"""
+_ITEM_FIT = """,
+line AS (
+  SELECT store, item, regr_slope(y, t) AS slope, regr_intercept(y, t) AS level
+  FROM (SELECT *, date_diff('day', DATE '2000-01-01', ds) AS t FROM series) GROUP BY 1, 2),
+idx AS (
+  SELECT store, item, dayofweek(ds) AS weekday, avg(y / (level + slope * date_diff('day', DATE '2000-01-01', ds))) AS i
+  FROM series JOIN line USING (store, item) GROUP BY 1, 2, 3),
+fitted AS (
+  SELECT f.store, f.item, f.ds, level + slope * date_diff('day', DATE '2000-01-01', f.ds) AS trend, coalesce(i, 1.0) AS i
+  FROM frame f JOIN line USING (store, item)
+  LEFT JOIN idx ON idx.store = f.store AND idx.item = f.item AND idx.weekday = dayofweek(f.ds))"""
+_GLOBAL = _SERIES.replace("l_suppkey AS store", "'all' AS store").replace("FROM lineitem", """FROM lineitem
+  WHERE l_shipdate >= TIMESTAMP '1995-01-01' AND CAST('0x' || substr(md5('123|' || l_suppkey), 1, 15) AS BIGINT) < 115292150460684704""")
 
 ORACLE = {
     "trend_year": """SELECT CAST(year(l_shipdate) AS INTEGER) AS year, sum(l_quantity) AS sales
@@ -168,16 +221,24 @@ ORACLE = {
     "sum_by_key": _SUM,
     "sum_by_key_stream": _SUM,
     "future_frame": _SERIES + _FRAME + "SELECT store, CAST(ds AS VARCHAR) AS ds FROM frame",
-    "forecast_dates": _SERIES + _FRAME + "SELECT store, CAST(ds AS VARCHAR) AS ds FROM frame",
+    "forecast_dates": _ITEMS + "SELECT store, item, CAST(ds AS VARCHAR) AS ds FROM frame",
+    "forecast_identities": _ITEMS + """
+        SELECT store, item, CAST(ds AS VARCHAR) AS ds, TRUE AS adds_up, TRUE AS is_even, TRUE AS terms_match FROM frame""",
+    "seasonal_trend_item": _ITEMS + _ITEM_FIT + """
+        SELECT store, item, CAST(ds AS VARCHAR) AS ds, round(trend, 4) AS trend, round(trend * i, 4) AS yhat FROM fitted""",
+    "forecast_global": _GLOBAL + _FRAME + _FIT + """
+        SELECT store AS series, CAST(ds AS VARCHAR) AS ds, round(trend, 4) AS trend, round(trend * i, 4) AS yhat FROM fitted""",
     "seasonal_trend": _SERIES + _FRAME + _FIT + """
         SELECT store, CAST(ds AS VARCHAR) AS ds, round(trend, 4) AS trend, round(trend * i, 4) AS yhat FROM fitted""",
     "cv_cutoffs": _SERIES + _CUTS + "SELECT store, CAST(cutoff AS VARCHAR) AS cutoff FROM cuts",
     "rolling_cv": _CV + """SELECT store, CAST(cutoff AS VARCHAR) AS cutoff, CAST(ds AS VARCHAR) AS ds, y,
-        round(yhat, 4) AS yhat FROM cv""",
+        round(yhat, 4) AS yhat, round(yhat - half, 4) AS yhat_lower, round(yhat + half, 4) AS yhat_upper
+        FROM cv LEFT JOIN errors USING (store, cutoff)""",
     "cv_metrics": _CV + """SELECT CAST(date_diff('day', cutoff, ds) AS INTEGER) AS horizon, count(*) AS n,
         round(avg((y - yhat) * (y - yhat)), 4) AS mse, round(sqrt(avg((y - yhat) * (y - yhat))), 4) AS rmse,
-        round(avg(abs(y - yhat)), 4) AS mae, round(avg(abs((y - yhat) / nullif(y, 0))), 4) AS mape
-        FROM cv GROUP BY 1""",
+        round(avg(abs(y - yhat)), 4) AS mae, round(avg(abs((y - yhat) / nullif(y, 0))), 4) AS mape,
+        round(avg(CAST(y BETWEEN yhat - half AND yhat + half AS INTEGER)), 4) AS coverage
+        FROM cv LEFT JOIN errors USING (store, cutoff) GROUP BY 1""",
     "forecast_slice": _SERIES + _FRAME + _FIT + """
         SELECT store, CAST(ds AS VARCHAR) AS ds, round(trend * i, 4) AS yhat FROM fitted
         WHERE store = 1 AND ds >= DATE '2001-01-01'""",

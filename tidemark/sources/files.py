@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.layout import data_files
+
 Schema = str | T.StructType
 
 
@@ -80,5 +82,11 @@ def copy_into(spark: SparkSession, source: str, fmt: str, schema: Schema, target
 
 
 def pending_rows(df: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Rows of files that a ledger table (``file_name``) does not list yet."""
-    return with_source_file(df).join(ledger.select("file_name").distinct(), "file_name", "left_anti")
+    """Rows of files that a ledger table (``file_name``) does not list yet.
+
+    The listing is compared with the ledger first, so no file that is loaded is opened. The
+    driver, which lists the files anyway, receives the names of the new ones.
+    """
+    names = data_files(df).select(F.col("file").alias("file_name"))
+    new = names.join(ledger.select("file_name").distinct(), "file_name", "left_anti").collect()
+    return with_source_file(df).filter(F.col("_metadata.file_path").isin([r[0] for r in new]))

@@ -5,42 +5,61 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
-from tidemark.operators.changes import (apply_cdc, as_of, expire, propagate, read_log, table_changes,
+from tidemark.operators.changes import (apply_cdc, as_of, bucket, expire, log_schema, propagate, read_log,
                                         write_version)
 from tidemark.streaming.sinks import sink_batches
 
 
-def _before(batch: DataFrame, log_path: str, version: int, key: str, columns: Sequence[str]) -> DataFrame:
-    """Current rows of the batch's keys, from versions below ``version`` only."""
-    table = batch.select(*columns)
+def _before(batch: DataFrame, log_path: str, version: int, key: str, columns: Sequence[str], buckets: int) -> DataFrame:
+    """Current rows of the batch's keys, from versions below ``version`` and the batch's buckets only.
+
+    The driver sees bucket numbers, at most ``buckets`` of them.
+    """
+    spark, table = batch.sparkSession, batch.select(*columns)
+    schema = T.StructType([*log_schema(table.schema), T.StructField("_bucket", T.IntegerType())])
     try:
-        log = read_log(batch.sparkSession, log_path, table.schema)
+        log = spark.read.schema(schema).parquet(log_path)
     except AnalysisException:  # nothing written yet
         return table.limit(0)
-    older = table_changes(log, 0, version - 1)
+    touched = [r[0] for r in batch.select(bucket(key, buckets)).distinct().collect()]
+    older = log.filter(F.col("_bucket").isin(touched) & (F.col("_commit_version") < version)).drop("_bucket")
     return as_of(older.join(batch.select(key).distinct(), key, "left_semi"), [key]).select(*columns)
 
 
+def commit_time(spark: SparkSession, log_path: str, version: int) -> Column:
+    """The commit time of a version, stored when the version is first tried: a replay finds it again."""
+    path = f"{log_path.rstrip('/')}-commits/version={int(version)}"
+    try:
+        stored = spark.read.schema("at timestamp").parquet(path).first()
+    except AnalysisException:
+        stored = None
+    if stored is None:
+        spark.range(1).select(F.current_timestamp().alias("at")).write.mode("overwrite").parquet(path)
+    return spark.read.schema("at timestamp").parquet(path).select("at").scalar()
+
+
 def cdc_stream(ops: DataFrame, log_path: str, key: str, order: Sequence[Column], columns: Sequence[str],
                checkpoint: str, op: str = "operation", not_older: str | None = None, first_version: int = 0,
-               every: str | None = None, available_now: bool = False) -> StreamingQuery:
-    """Apply a stream of operations to the table kept as a change log.
+               every: str | None = None, available_now: bool = False, buckets: int = 16) -> StreamingQuery:
+    """Apply a stream of operations to the table kept as a change log in key buckets.
 
-    Batch ``n`` becomes version ``first_version + n`` and reads lower versions only, and
-    of those only the keys it touches. So a replayed batch rewrites its own folder
-    with the same rows, and the cost follows the batch. Checkpoint and log belong
-    together: a new checkpoint on an old log needs ``first_version`` above its last one.
+    Batch ``n`` becomes version ``first_version + n``. It reads lower versions only, and of
+    those only the buckets that hold its keys; how many versions those buckets have is
+    bounded by folding old ones (``compact_log``). A replayed batch rewrites its own folder
+    with the same rows and the same commit time. Checkpoint and log belong together: a new
+    checkpoint on an old log needs ``first_version`` above its last one.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
         version = first_version + batch_id
         batch = batch.persist()  # the merge reads it several times
         try:
-            target = _before(batch, log_path, version, key, columns)
+            target = _before(batch, log_path, version, key, columns, buckets)
             changes = apply_cdc(target, batch, key, order, op, not_older).changes
-            write_version(changes, log_path, version, F.current_timestamp())
+            write_version(changes, log_path, version, commit_time(batch.sparkSession, log_path, version), key, buckets)
         finally:
             batch.unpersist()
 
@@ -48,21 +67,24 @@ def cdc_stream(ops: DataFrame, log_path: str, key: str, order: Sequence[Column],
 
 
 def propagate_stream(feed: DataFrame, gold_log: str, key: str, columns: Sequence[str], checkpoint: str,
-                     clean: Sequence[str] = (), every: str | None = None,
-                     available_now: bool = False) -> StreamingQuery:
-    """Follow a change feed and keep the downstream table as a change log of its own."""
+                     clean: Sequence[str] = (), every: str | None = None, available_now: bool = False,
+                     from_version: int = 0, first_version: int = 0, buckets: int = 16) -> StreamingQuery:
+    """Follow a change feed from ``from_version`` on and keep the downstream table as a change log of its own."""
     def apply(batch: DataFrame, batch_id: int) -> None:
+        version = first_version + batch_id
         batch = batch.persist()
         try:
-            gold = _before(batch, gold_log, batch_id, key, columns)
-            write_version(propagate(gold, batch, key, clean).changes, gold_log, batch_id, F.current_timestamp())
+            gold = _before(batch, gold_log, version, key, columns, buckets)
+            write_version(propagate(gold, batch, key, clean).changes, gold_log, version,
+                          commit_time(batch.sparkSession, gold_log, version), key, buckets)
         finally:
             batch.unpersist()
 
-    return sink_batches(feed, apply, checkpoint, every, available_now)
+    return sink_batches(feed.filter(F.col("_commit_version") >= from_version), apply, checkpoint, every, available_now)
 
 
-def compact_log(spark: SparkSession, log_path: str, keys: Sequence[str], version: int, new_path: str) -> None:
-    """Write a log whose history up to ``version`` is one base snapshot."""
-    (expire(read_log(spark, log_path), keys, version)
-     .write.mode("overwrite").partitionBy("_commit_version").parquet(new_path))
+def compact_log(spark: SparkSession, log_path: str, keys: Sequence[str], version: int, new_path: str,
+                buckets: int = 16) -> None:
+    """Write a log whose history up to ``version`` is one base snapshot, in buckets by the first key."""
+    log = expire(read_log(spark, log_path), keys, version).withColumn("_bucket", bucket(keys[0], buckets))
+    log.write.mode("overwrite").partitionBy("_commit_version", "_bucket").parquet(new_path)

@@ -11,13 +11,13 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 def sessions_stream(df: DataFrame, user: str, ts: str, gap: str, delay: str,
                     counters: dict[str, Column] | None = None) -> DataFrame:
-    """Sessions that the watermark has closed. All native; the default choice.
+    """Sessions that the watermark has closed, without clicks of no user. All native; the default choice.
 
     ``spark.sql.sessionWindow.merge.sessions.in.local.partition`` (set by
     ``build_session``) merges a hot user's clicks before the shuffle.
     """
     sums = [F.sum(expr).alias(name) for name, expr in (counters or {}).items()]
-    closed = (df.withWatermark(ts, delay)
+    closed = (df.withWatermark(ts, delay).filter(F.col(user).isNotNull())
                 .groupBy(user, F.session_window(ts, gap).alias("_session"))
                 .agg(F.min(ts).alias("start"), F.max(ts).alias("end"), F.count("*").alias("clicks"), *sums))
     return closed.drop("_session")
