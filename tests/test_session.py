@@ -21,6 +21,8 @@ def test_scratch_follows_the_shared_folder():
 def test_a_cluster_without_a_shared_folder_is_refused():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.scratch_dir(fake("yarn"), "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_dir(fake(None), "x")
 
 
 def test_a_local_session_gets_one_temporary_folder():

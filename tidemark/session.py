@@ -41,7 +41,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not spark.conf.get("spark.master", "unknown").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         app = spark.sparkContext.applicationId
         base = _LOCAL.setdefault(app, _LOCAL.get(app) or tempfile.mkdtemp(prefix="tidemark-"))
