@@ -66,11 +66,17 @@ def find(postings: DataFrame, windows: DataFrame, slack: int = 0, share: float =
     counts = postings.where("term_id > 0").groupBy("term_id").agg(F.count("*").alias("n"))
     listed = windows.select("item_id", "window", F.size("terms").alias("length"), F.posexplode("terms").alias("offset", "term_id"))
     rarest = Window.partitionBy("window").orderBy("n", "offset")
+    heads = 1 if slack or share < 1 else 2  # an exact phrase holds its second rarest term too
     heads = (listed.join(counts, "term_id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-             .withColumn("place", F.row_number().over(rarest)).where("place = 1"))
-    heads = small(materialize(heads.select("item_id", "window", "length", "term_id", F.col("offset").alias("shift")), "heads"), BROADCAST_ROWS)
-    starts = _keyed(postings).join(heads, "term_id").select("key", "item_id", "window", "length", (F.col("pos") - F.col("shift")).alias("start"))
-    starts = materialize(starts if slack else starts.where("start >= 0"), "starts")
+             .withColumn("place", F.row_number().over(rarest)).where(F.col("place") <= heads)
+             .withColumn("heads", F.least(F.lit(heads), "length")))
+    heads = materialize(heads.select("item_id", "window", "length", "heads", "place", "term_id", F.col("offset").alias("shift")), "heads")
+    starts = _keyed(postings).join(small(heads, BROADCAST_ROWS), "term_id").select(
+        "key", "item_id", "window", "length", "heads", "place", (F.col("pos") - F.col("shift")).alias("start"))
+    starts = starts if slack else starts.where("start >= 0")
+    starts = starts.groupBy("key", "item_id", "window", "length", "heads", "start").agg(F.bit_or(F.col("place")).alias("met"))
+    starts = starts.where("met = if(heads = 1, 1, 3)").select("key", "item_id", "window", "length", "start")
+    starts = materialize(starts, "starts")
     keys = small(starts.select("key").distinct(), BROADCAST_ROWS)
     lists = _keyed(postings).where("term_id > 0").join(keys, "key", "left_semi").distinct()
 
