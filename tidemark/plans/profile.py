@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -96,6 +97,19 @@ def segments_udf(spark, sf_dir):
     return own.sql(f"SELECT vec_id, segment_of({', '.join(VECTOR)}) AS segment FROM vectors")
 
 
+def segments_agree(spark, sf_dir):
+    """Of every row: whether its cluster's centre is the nearest one, and whether the SQL function names the same segment."""
+    vectors = _vectors(spark, sf_dir)
+    model = models.segment_model(vectors, VECTOR)
+    scaled = PipelineModel(model.stages[:2]).transform(vectors).select("vec_id", vector_to_array("features").alias("x"))
+    distance = [F.aggregate(F.zip_with("x", F.array(*[F.lit(float(v)) for v in centre]), lambda a, b: (a - b) * (a - b)),
+                            F.lit(0.0), lambda a, b: a + b) for centre in model.stages[2].clusterCenters()]
+    found = models.segment(vectors, model, SEGMENTS).withColumn("again", models.segment_udf(model, SEGMENTS)(*VECTOR))
+    near = F.element_at(F.array(*distance), F.col("cluster") + 1) <= F.least(*distance) * (1 + 1e-9)
+    return found.select("vec_id", "cluster", "segment", "again").join(scaled, "vec_id").select(
+        "vec_id", near.alias("is_nearest"), (F.col("segment") == F.col("again")).alias("is_same"))
+
+
 def time_features(spark, sf_dir):
     out = FT.time_features(table(spark, sf_dir, "events"), "event_id", "ts", weekend=True)
     return out.select("event_id", *[F.round(c, 6).alias(c) for c in ("cos_month", "sin_month", "cos_hour", "sin_hour")],
@@ -216,6 +230,14 @@ def feature_importance(spark, sf_dir):
     return models.feature_importance(_fitted(spark, sf_dir), SENSORS)
 
 
+def importance_top(spark, sf_dir):
+    """The two heaviest features are those of the rule, and all weights sum to one."""
+    weights = models.feature_importance(_fitted(spark, sf_dir), SENSORS).collect()
+    lines = table(spark, sf_dir, "lineitem").agg(F.count("*").alias("n_rows"))
+    return lines.select("n_rows", F.lit(",".join(sorted(w["feature"] for w in weights[:2]))).alias("top"),
+                        F.lit(round(sum(w["weight"] for w in weights), 6)).alias("total"))
+
+
 def _shapley(spark, sf_dir):
     model = _fitted(spark, sf_dir)
     ready = model.transform(_lines(spark, sf_dir)).withColumn("margin", vector_to_array("rawPrediction")[1])
@@ -281,8 +303,8 @@ def best_run(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     class_balance, summary_stats, missing_counts, drop_null_columns, corr_matrix, class_weights, deduplicated,
-    minmax_scaled, cluster_profile, kmeans_elbow, segments, segments_udf, time_features, training_set, merge_features,
-    ml_ready, confusion, label_metrics, auc, f1_rounded, mean_abs, gbt_score, gbt_predictions, gbt_status_rule, feature_importance,
+    minmax_scaled, cluster_profile, kmeans_elbow, segments, segments_udf, segments_agree, time_features, training_set, merge_features,
+    ml_ready, confusion, label_metrics, auc, f1_rounded, mean_abs, gbt_score, gbt_predictions, gbt_status_rule, feature_importance, importance_top,
     shapley, shapley_additivity, shapley_top, parameter_search, split_counts, split_complete,
     leaderboard, best_run)}
 
@@ -304,6 +326,8 @@ _RUNS = """WITH r AS (
   WHERE s_acctbal >= 0) """
 
 ORACLE = {
+    "segments_agree": "SELECT vec_id, TRUE AS is_nearest, TRUE AS is_same FROM embeddings",
+    "importance_top": "SELECT count(*) AS n_rows, 'l_discount,l_quantity' AS top, 1.0::DOUBLE AS total FROM lineitem",
     "split_complete": "SELECT event_id, event_type FROM events",
     "gbt_status_rule": """SELECT l_orderkey, l_linenumber, damaged_are, CASE WHEN l_linenumber >= cut THEN 'damaged' ELSE 'healthy' END AS status
         FROM lineitem, (VALUES ('few', 6), ('most', 2)) v(damaged_are, cut)""",
