@@ -142,7 +142,7 @@ def enrich_salted(spark, sf_dir):
 
 
 def layered_stream(spark, sf_dir):
-    """Raw → typed → enriched, two deliveries, every layer its own query."""
+    """Raw → typed → enriched, two deliveries of several files, two files a micro-batch, every layer its own query."""
     own = stream_session(spark)
     names = ["in", "raw", "typed", "enriched", "c1", "c2", "c3"]
     source, raw, typed, enriched, c1, c2, c3 = folders(spark, "layers", *names)
@@ -152,14 +152,14 @@ def layered_stream(spark, sf_dir):
     labels = _labels(own, sf_dir)
 
     def run() -> None:
-        stream = files.stream_files(own, source, "parquet", "key double, value binary", max_files=None)
+        stream = files.stream_files(own, source, "parquet", "key double, value binary", max_files=2)
         layers.raw_layer(stream, "value", ["key"], raw, c1, available_now=True).awaitTermination()
         layers.typed_layer(own, raw, "key double, value string", readings.schema, typed, c2, ["id"],
                            {"id is not negative": "id >= 0"}, available_now=True).awaitTermination()
-        layers.enriched_layer(own, typed, readings.schema, labels, ["id"], enriched, c3,
+        layers.enriched_layer(own, typed, readings.schema, labels, ["id"], enriched, c3, salts=4,
                               available_now=True).awaitTermination()
 
-    replay([messages.filter("key < 500"), messages.filter("key >= 500")], source, run)
+    replay([messages.filter("key < 500").repartition(3), messages.filter("key >= 500").repartition(3)], source, run)
     return spark.read.parquet(enriched)
 
 

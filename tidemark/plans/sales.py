@@ -54,8 +54,9 @@ def sum_by_key(spark, sf_dir):
 
 def sum_by_key_stream(spark, sf_dir):
     own = stream_session(spark)
-    out, checkpoint = folders(spark, "sum", "out", "checkpoint")
-    orders = stream_files(own, f"{sf_dir}/orders.parquet*", "parquet", table(spark, sf_dir, "orders").schema, None)
+    source, out, checkpoint = folders(spark, "sum", "in", "out", "checkpoint")
+    table(spark, sf_dir, "orders").repartition(3).write.parquet(source)  # three micro-batches: sums must live on between them
+    orders = stream_files(own, source, "parquet", table(spark, sf_dir, "orders").schema, max_files=1)
     cents = orders.withColumn("cents", F.round(F.col("o_totalprice") * 100).cast("long"))
     sinks.sink_replace(live.live_sum(cents, "o_orderpriority", "cents", "total_amount"), out, checkpoint,
                        available_now=True).awaitTermination()

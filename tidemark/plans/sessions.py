@@ -86,9 +86,10 @@ def traffic_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def top_users_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = stream_session(spark)
-    out, checkpoint = folders(spark, "top", "out", "checkpoint")
+    source, out, checkpoint = folders(spark, "top", "in", "out", "checkpoint")
     events = table(spark, sf_dir, "events")
-    stream = stream_files(own, f"{sf_dir}/events.parquet*", "parquet", events.schema, max_files=None)
+    events.repartition(3).write.parquet(source)  # three micro-batches: counts must live on between them
+    stream = stream_files(own, source, "parquet", events.schema, max_files=1)
     sinks.sink_replace(live.live_top_users(stream, "user_id"), out, checkpoint, available_now=True).awaitTermination()
     return spark.read.parquet(out)
 
