@@ -87,8 +87,20 @@ def count_tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def gather(counted: DataFrame) -> Counts:
-    """The bounded part of the counts that every task gets."""
-    top = counted.orderBy(F.desc("n"), "hash").limit(FREQUENT).toArrow()
+    """The bounded part of the counts that every task gets.
+
+    A histogram of at most some hundred bins finds the count above which there are no more
+    than ``FREQUENT`` tokens, so no task has to rank the tokens of the others.
+    """
+    grade = F.floor(F.log2("n") * 8)
+    limit, room = None, FREQUENT
+    for row in sorted(counted.groupBy(grade.alias("grade")).agg(F.count("*").alias("words")).collect(), reverse=True):
+        room -= row.words
+        if room < 0:
+            break
+        limit = row.grade
+    top = counted.where(F.lit(False) if limit is None else grade >= limit).toArrow()
+    top = top.sort_by([("n", "descending"), ("hash", "ascending")])
     hashes, n = top["hash"].to_numpy().view(np.uint64), top["n"].to_numpy()
     kinds = top["kind"].to_numpy().astype(np.int64)
     tokens, vocabulary = np.zeros(UNITS, np.int64), np.zeros(UNITS, np.int64)
