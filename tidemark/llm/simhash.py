@@ -11,7 +11,7 @@ tiles of one bucket. A tile hands on a spanning forest of its links, never all p
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -245,13 +245,13 @@ def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4, seed: int
     return prints.join(grouped, "fingerprint").select("doc_id", "text_hash", "fingerprint", "component_id")
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` with one row, that of the smallest id, for each component.
+def keep_one(docs: DataFrame, find: Callable[..., DataFrame] = near_duplicates, **options) -> DataFrame:
+    """The rows of ``docs`` with one row, that of the smallest id, for each component that ``find`` gives.
 
     Of rows that repeat an id and a text one stays. All columns are kept as they are.
     """
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    groups = near_duplicates(docs, **options)
+    groups = find(docs, **options)
     first = Window.partitionBy("component_id", "rootless").orderBy(F.col("doc_id").asc_nulls_last(), "text_hash")
     groups = groups.withColumn("rootless", F.when(F.col("component_id").isNull(), F.col("fingerprint")))
     key = F.struct("doc_id", "text_hash").alias("key")  # nulls inside a struct are equal
