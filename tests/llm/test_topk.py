@@ -60,3 +60,16 @@ def test_threshold_stops_early():
     shard = topk.Shard(np.arange(2000), matrix)
     best, scored = shard.search(np.array([5, 4, 3]), 0, 5, [])
     assert [i for _, i in best] == [1, 2, 3, 4, 5] and scored < 200
+
+
+def test_threshold_is_exact_for_large_components():
+    large = 1 << 20
+    query = np.array([large, 1, 1])
+    rows = [[large, 5, 5]] + [[large, 6, 0]] * 9 + [[large, 0, 6]] * 9 + [[large, 0, 0]] * 30
+    found, _ = topk.Shard(np.arange(len(rows)), np.array(rows)).search(query, -1, 5, [])
+    assert found == sorted((-int(query @ np.array(r)), i) for i, r in enumerate(rows))[:5]
+    rng = np.random.default_rng(4)
+    rows = large - rng.integers(0, 40, (3000, 64))
+    shard = topk.Shard(np.arange(3000), rows)
+    for query in large - rng.integers(0, 1 << 10, (20, 64)):
+        assert shard.search(query, -1, 5, [])[0] == sorted(zip((-(rows @ query)).tolist(), range(3000)))[:5]

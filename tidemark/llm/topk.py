@@ -76,7 +76,8 @@ class Shard:
             done = depth
             if len(used) and len(best) == k:
                 last = np.where(up, self.sorted[n - done, used], self.sorted[done - 1, used])
-                if float(last.astype(float) @ query[used].astype(float)) * (1 - 1e-9) < -best[-1][0] - 0.5 and safe:
+                # A safe bound is an exact integer; one that equals the k-th score may hide a smaller id.
+                if safe and int(last.astype(float) @ query[used].astype(float)) < -best[-1][0]:
                     break
             depth = min(n, depth * 4)
         return best, scored
