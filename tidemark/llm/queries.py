@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontam, lm, mixing, pii, quality, simhash, substring, suffix, topk, whitening
+from tidemark.llm import chat, decontam, lexical, lm, mixing, pii, quality, simhash, substring, suffix, topk, whitening
 from tidemark.plans.common import Query, table
 
 PROBE = "</s>[INST] ok [/INST]"
@@ -154,6 +154,30 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("deviation", F.col("deviation").cast("long"))
 
 
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item by weighted, length-damped term counts."""
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+c AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+q AS (SELECT DISTINCT item_id, r, unnest(regexp_extract_all(translate(coalesce(text, ''),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+      FROM (SELECT *, row_number() OVER () AS r FROM benchmark)),
+p AS (SELECT doc_id, r, len(w)::BIGINT AS n, t, count(*)::BIGINT AS tf FROM (SELECT doc_id, r, w, unnest(w) AS t FROM d)
+      WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+f AS (SELECT t, floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2.0::DOUBLE * df + 1)))::BIGINT AS w
+      FROM (SELECT t, count(*) AS df FROM p GROUP BY t), c),
+s AS (SELECT p.doc_id, p.r, p.t, f.w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))) AS s
+      FROM p JOIN f USING (t), c),
+m AS (SELECT q.item_id, q.r AS item, s.doc_id, s.r, sum(s.s)::BIGINT AS score FROM q JOIN s USING (t) GROUP BY ALL)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank FROM m WHERE score > 0) WHERE rank <= 10
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_topk": op1_topk,
     "op2_quality": op2_quality,
@@ -166,10 +190,12 @@ QUERIES: dict[str, Query] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_simhash": op10_simhash,
     "op12_whitening": op12_whitening,
+    "op13_lexical": op13_lexical,
 }
 ORACLE: dict[str, str] = {
     "op1_topk": OP1_SQL,
     "op4_decontamination": OP4_SQL,
     "op5_mixing": OP5_SQL,
     "op7_chat_format": OP7_SQL,
+    "op13_lexical": OP13_SQL,
 }
