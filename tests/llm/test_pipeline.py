@@ -10,8 +10,8 @@ from oracle import compare, connect
 from tidemark.llm import queries
 from tidemark.session import materialize
 from test_decontam import slow_hits
+from test_nearcopies import slow_components
 from test_pii import slow_spans
-from test_simhash import slow_components
 
 SF = "/root/testdata/sf0.001"
 
@@ -42,7 +42,7 @@ def test_quality_keeps_the_good(spark, results):
 
 def test_one_of_each_group_stays(results):
     before = slow_components([(r.doc_id, r.text) for r in results["quality"].collect()])
-    assert {r.doc_id for r in results["near_dedup"].collect()} == {c for _, c in before.values()}
+    assert {r.doc_id for r in results["near_dedup"].collect()} == set(before.values())
 
 
 def test_contaminated_go_and_personal_data_too(spark, results):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontam, lexical, lm, mixing, pii, quality, simhash, substring, suffix, topk, whitening
+from tidemark.llm import chat, decontam, lexical, lm, mixing, pii, quality, simhash, substring, suffix, topk, toxicity, whitening
 from tidemark.plans.common import Query, table
 
 PROBE = "</s>[INST] ok [/INST]"
@@ -148,6 +148,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels of the fold crc32 % 5 = 0 are never seen."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    lexicon = toxicity.fit(docs, labels.where(_fold(5) != 0))
+    return toxicity.score(docs, lexicon).select("doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "score",
+                                                (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whitened coordinates of every embedding on the 16 leading axes of the distinct ones."""
     found = whitening.whiten(table(spark, sf_dir, "embeddings"))
@@ -189,6 +197,7 @@ QUERIES: dict[str, Query] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_simhash": op10_simhash,
+    "op11_toxicity": op11_toxicity,
     "op12_whitening": op12_whitening,
     "op13_lexical": op13_lexical,
 }
