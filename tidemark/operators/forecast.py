@@ -6,18 +6,18 @@ a series is bounded by the number of days it spans, however many rows a key hold
 
 from __future__ import annotations
 
-import math
 import random
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import asdict
 from statistics import NormalDist
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.scalars import weekday_sun0
+from tidemark.operators import additive
+from tidemark.operators.additive import Params
 from tidemark.session import materialize
 
 EPOCH = "2000-01-01"  # origin of the day number, any fixed date will do
@@ -98,18 +98,14 @@ def rolling_cv(series: DataFrame, keys: Sequence[str], initial: int = 730, perio
     """Fit before each cut-off, predict the ``horizon`` days after it.
 
     Returns (keys, cutoff, ds, y, yhat, yhat_lower, yhat_upper); the interval is that of
-    normal errors as large as those of the fit.
+    normal errors as large as those of the fit. The model is that of ``seasonal_trend``, solved
+    for all cut-offs of a series at once: its days are read once, not once per cut-off.
     """
-    paired = series.join(cutoffs(series, keys, initial, period, horizon), list(keys))
-    train = paired.filter("ds <= cutoff")
-    test = paired.filter((F.col("ds") > F.col("cutoff")) & (F.col("ds") <= F.date_add("cutoff", horizon)))
-    by = [*keys, "cutoff"]
-    line = _fit_line(train, by)
-    index = _weekday_index(train, line, by)
     z = NormalDist().inv_cdf(0.5 + interval_width / 2)
-    errors = _predict(train, line, index, by).groupBy(*by).agg((F.stddev_samp(F.col("y") - F.col("yhat")) * z).alias("_half"))
-    return _predict(test, line, index, by).join(errors, by, "left").select(
-        *by, "ds", "y", "yhat", (F.col("yhat") - F.col("_half")).alias("yhat_lower"), (F.col("yhat") + F.col("_half")).alias("yhat_upper"))
+    schema = T.StructType([series.schema[k] for k in keys]
+                          + [T.StructField(c, T.DateType()) for c in ("cutoff", "ds")]
+                          + [T.StructField(c, T.DoubleType()) for c in ("y", "yhat", "yhat_lower", "yhat_upper")])
+    return additive.per_series(series, keys, schema, lambda days, y: additive.rolling_line(days, y, initial, period, horizon, z))
 
 
 def forecast_metrics(cv: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -125,94 +121,26 @@ def forecast_metrics(cv: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 # ------------------------------------------------- additive model per key
 
-@dataclass(frozen=True)
-class Params:
-    """Model switches. Seasonal terms multiply the trend."""
-
-    weekly: bool = True
-    yearly: bool = True
-    ridge: float = 0.1           # of the seasonal weights
-    interval_width: float = 0.95
-
-
-# Fourier orders of the weekly and the yearly term.
-PERIODS = {"weekly": (7.0, 3), "yearly": (365.25, 10)}
-TURNS = 3  # rounds of line and season
-
-
-def _fourier(days: np.ndarray, name: str) -> np.ndarray:
-    period, order = PERIODS[name]
-    angle = 2 * math.pi * np.outer(days, np.arange(1, order + 1)) / period
-    return np.hstack([np.cos(angle), np.sin(angle)])
-
-
-def fit_predict(days: np.ndarray, y: np.ndarray, at: np.ndarray, params: Params) -> pd.DataFrame:
-    """Trend line times seasonal terms, fitted in turns: each against the data without the other.
-
-    The line is least squares, the Fourier weights are ridge regression.
-    """
-    start, span = days.min(), max(1, days.max() - days.min())
-    basis = lambda d: np.column_stack([np.ones(len(d)), (d - start) / span])
-    x = basis(days)
-    floor = max(1e-9, 0.01 * float(np.abs(y).mean()))
-    terms = [name for name in PERIODS if getattr(params, name)]
-    blocks = {name: _fourier(days, name) for name in terms}
-    design = np.hstack(list(blocks.values())) if terms else np.zeros((len(days), 0))
-    normal = design.T @ design + params.ridge * np.eye(design.shape[1])
-    gamma, season = np.zeros(design.shape[1]), np.zeros(len(days))
-    for _ in range(TURNS if terms else 1):
-        beta = np.linalg.lstsq(x, y / np.maximum(1 + season, 0.05), rcond=None)[0]
-        line = np.maximum(x @ beta, floor)
-        gamma = np.linalg.solve(normal, design.T @ (y / line - 1))
-        season = design @ gamma
-    fitted = line * (1 + season)
-    effect = {name: np.zeros(len(at)) for name in PERIODS}
-    for name in terms:
-        width = blocks[name].shape[1]
-        effect[name], gamma = _fourier(at, name) @ gamma[:width], gamma[width:]
-    z = NormalDist().inv_cdf(0.5 + params.interval_width / 2)
-    spread = z * float(np.std(y - fitted))
-    x_at = basis(at)
-    trend = np.maximum(x_at @ beta, floor)
-    noise = float(np.std(y - line))
-    leverage = np.einsum("ij,jk,ik->i", x_at, np.linalg.pinv(x.T @ x), x_at)
-    trend_spread = z * noise * np.sqrt(np.maximum(leverage, 0))
-    season = effect["weekly"] + effect["yearly"]
-    yhat = trend * (1 + season)
-    out = {"trend": trend, "yhat_lower": yhat - spread, "yhat_upper": yhat + spread,
-           "trend_lower": trend - trend_spread, "trend_upper": trend + trend_spread, "yhat": yhat}
-    for name, values in (("multiplicative_terms", season), *effect.items(), ("additive_terms", np.zeros(len(at)))):
-        for suffix in ("", "_lower", "_upper"):
-            out[name + suffix] = values
-    return pd.DataFrame(out)
-
-
-def _days(dates: pd.Series) -> np.ndarray:
-    return pd.to_datetime(dates).to_numpy().astype("datetime64[D]").astype("int64").astype(float)
+def _forecast_schema(series: DataFrame, keys: Sequence[str]) -> T.StructType:
+    return T.StructType([series.schema[k] for k in keys] + [T.StructField("ds", T.DateType())]
+                        + [T.StructField(c, T.FloatType()) for c in FORECAST_COLUMNS])
 
 
 def forecast_by_key(df: DataFrame, keys: Sequence[str], day: str, value: str, steps: int = 30,
                     params: Params = Params()) -> DataFrame:
     """One model per key: history and ``steps`` days ahead, with intervals and terms.
 
-    A group is one key's daily totals, so its size is bounded by the days it spans.
+    A series is one key's daily totals, so its size is bounded by the days it spans. An Arrow
+    batch holds many of them.
     """
     series = daily_series(df, keys, day, value)
-    schema = T.StructType([series.schema[k] for k in keys] + [T.StructField("ds", T.DateType())]
-                          + [T.StructField(c, T.FloatType()) for c in FORECAST_COLUMNS])
 
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        days = np.sort(_days(pdf["ds"]))
-        y = pdf["y"].to_numpy()[np.argsort(_days(pdf["ds"]))]
-        at = np.concatenate([days, days[-1] + np.arange(1, int(key[-1]) + 1)])
-        out = fit_predict(days, y, at, params)
-        out.insert(0, "ds", at.astype("int64").astype("datetime64[D]").astype("datetime64[s]"))
-        for position, name in enumerate(keys):
-            out.insert(position, name, key[position])
-        out["ds"] = out["ds"].dt.date
-        return out[schema.names]
+    def solve(days: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+        at = np.concatenate([days, days[-1] + np.arange(1, steps + 1)])
+        found = additive.fit_predict(days, y, at, params)
+        return {"ds": at, **{c: found[c].astype(np.float32) for c in FORECAST_COLUMNS}}
 
-    return series.groupBy(*keys, F.lit(steps).alias("_steps")).applyInPandas(run, schema)
+    return additive.per_series(series, keys, _forecast_schema(series, keys), solve)
 
 
 def search_space(trials: int = 12, seed: int = 123) -> list[Params]:
@@ -226,38 +154,22 @@ def forecast_search(df: DataFrame, keys: Sequence[str], day: str, value: str, ca
                     initial: int = 730, period: int = 90, horizon: int = 180) -> DataFrame:
     """Rolling-origin error of every candidate for every key.
 
-    Candidates are exploded over the daily totals and fitted as separate groups, so
-    even a single series is searched in parallel. Keys too short for one cut-off get
-    a NULL error.
+    All cut-offs of a series are solved together, and candidates with the same terms share
+    the factorised normal matrices. Keys too short for one cut-off get a NULL error.
     """
     series = daily_series(df, keys, day, value)
-    options = F.array(*[F.lit(i) for i in range(len(candidates))])
     fields = ["weekly", "yearly", "ridge", "interval_width"]
     schema = T.StructType([series.schema[k] for k in keys] + [
         T.StructField("candidate", T.IntegerType()), *[T.StructField(f, T.BooleanType()) for f in fields[:2]],
         T.StructField("ridge", T.DoubleType()), T.StructField("interval_width", T.DoubleType()), T.StructField("n", T.LongType()),
         T.StructField("rmse", T.DoubleType()), T.StructField("coverage", T.DoubleType())])
+    fixed = {"candidate": np.arange(len(candidates), dtype=np.int32), **{f: np.array([asdict(c)[f] for c in candidates]) for f in fields}}
+
+    def solve(days: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+        found = additive.rolling_errors(days, y, candidates, initial, period, horizon)
+        return {**fixed, **{name: np.array([f[n] for f in found]) for n, name in enumerate(("n", "rmse", "coverage"))}}
 
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        params = candidates[int(key[-1])]
-        order = np.argsort(_days(pdf["ds"]))
-        days, y = _days(pdf["ds"])[order], pdf["y"].to_numpy()[order]
-        errors, inside = [], []
-        for cut in np.arange(days[-1] - horizon, days[0] + initial - 1, -period):
-            past, ahead = days <= cut, (days > cut) & (days <= cut + horizon)
-            if ahead.any() and past.sum() > 1:
-                out = fit_predict(days[past], y[past], days[ahead], params)
-                errors.append(y[ahead] - out["yhat"].to_numpy())
-                inside.append((y[ahead] >= out["yhat_lower"]) & (y[ahead] <= out["yhat_upper"]))
-        error = np.concatenate(errors) if errors else np.array([])
-        row = {**dict(zip(keys, key)), "candidate": int(key[-1]),
-               **{f: asdict(params)[f] for f in fields}, "n": len(error),
-               "rmse": float(np.sqrt((error ** 2).mean())) if len(error) else None,
-               "coverage": float(np.concatenate(inside).mean()) if len(error) else None}
-        return pd.DataFrame([row])[schema.names]
-
-    return (series.withColumn("_candidate", F.explode(options))
-                  .groupBy(*keys, "_candidate").applyInPandas(run, schema))
+    return additive.per_series(series, keys, schema, solve)
 
 
 def best_candidate(results: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.operators import forecast as FC
 from tidemark.operators import sampling, trends
 from tidemark.plans.common import folders, stream_session, table
+from tidemark.session import materialize
 from tidemark.sources.files import stream_files
 from tidemark.streaming import live, sinks
 
@@ -131,15 +132,27 @@ def forecast_slice(spark, sf_dir):
                                .withColumn("yhat", F.round("yhat", 4)), "store", 1, "2001-01-01", KEY), "ds")
 
 
+CANDIDATES = FC.search_space(12)
+
+
 def forecast_search(spark, sf_dir):
-    found = FC.forecast_search(_sales(spark, sf_dir), KEY, DAY, VALUE, FC.search_space(12))
+    found = FC.forecast_search(_sales(spark, sf_dir), KEY, DAY, VALUE, CANDIDATES)
     return FC.best_candidate(found, KEY)
 
 
+def forecast_search_lines(spark, sf_dir):
+    """Of the searched candidates those without seasons, whose errors SQL can compute, and whether the chosen one is no worse."""
+    found = materialize(FC.forecast_search(_sales(spark, sf_dir), KEY, DAY, VALUE, CANDIDATES), "search")
+    best = FC.best_candidate(found, KEY).select("store", F.col("rmse").alias("best"))
+    lines = found.where("NOT weekly AND NOT yearly").join(best, "store")
+    return lines.select("store", "candidate", "n", F.round("rmse", 4).alias("rmse"), F.round("coverage", 6).alias("coverage"),
+                        (F.col("best") <= F.col("rmse")).alias("best_is_no_worse"))
+
+
 QUERIES = {f.__name__: f for f in (
     trend_year, trend_month, season_weekday, daily_total, sum_by_key, sum_by_key_stream, future_frame,
     seasonal_trend, cv_cutoffs, rolling_cv, cv_metrics, forecast_by_key, forecast_dates, forecast_identities, seasonal_trend_item,
-    forecast_global, forecast_slice, forecast_search)}
+    forecast_global, forecast_slice, forecast_search, forecast_search_lines)}
 
 _SUM = """SELECT o_orderpriority, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS total_amount
 FROM orders GROUP BY 1"""
@@ -205,6 +218,23 @@ fitted AS (
   SELECT f.store, f.item, f.ds, level + slope * date_diff('day', DATE '2000-01-01', f.ds) AS trend, coalesce(i, 1.0) AS i
   FROM frame f JOIN line USING (store, item)
   LEFT JOIN idx ON idx.store = f.store AND idx.item = f.item AND idx.weekday = dayofweek(f.ds))"""
+_LINES = ", ".join(f"({n}, {c.z!r})" for n, c in enumerate(CANDIDATES) if not c.terms)
+_SEARCH = _SERIES + _CUTS + f""",
+paired AS (
+  SELECT s.store, cutoff, ds, y, date_diff('day', DATE '2000-01-01', ds) AS t FROM series s JOIN cuts USING (store)),
+line AS (
+  SELECT store, cutoff, regr_slope(y, t) AS slope, regr_intercept(y, t) AS level, greatest(1e-9, 0.01 * avg(abs(y))) AS least
+  FROM paired WHERE ds <= cutoff GROUP BY 1, 2 HAVING count(*) > 1),
+guess AS (
+  SELECT p.*, greatest(level + slope * t, least) AS yhat FROM paired p JOIN line USING (store, cutoff) WHERE ds <= cutoff + 180),
+spread AS (SELECT store, cutoff, stddev_pop(y - yhat) AS s FROM guess WHERE ds <= cutoff GROUP BY 1, 2),
+candidates(candidate, z) AS (VALUES {_LINES}),
+errors AS (
+  SELECT store, candidate, count(*) AS n, sqrt(avg((y - yhat) * (y - yhat))) AS rmse, avg(CAST(abs(y - yhat) <= z * s AS INTEGER)) AS coverage
+  FROM guess JOIN spread USING (store, cutoff), candidates WHERE ds > cutoff GROUP BY 1, 2)
+SELECT store, candidate, coalesce(n, 0) AS n, round(rmse, 4) AS rmse, round(coverage, 6) AS coverage,
+       CASE WHEN n > 0 THEN TRUE END AS best_is_no_worse
+FROM (SELECT * FROM (SELECT DISTINCT store FROM series), candidates) LEFT JOIN errors USING (store, candidate)"""
 _GLOBAL = _SERIES.replace("l_suppkey AS store", "'all' AS store").replace("FROM lineitem", """FROM lineitem
   WHERE l_shipdate >= TIMESTAMP '1995-01-01' AND CAST('0x' || substr(md5('123|' || l_suppkey), 1, 15) AS BIGINT) < 115292150460684704""")
 
@@ -240,6 +270,7 @@ ORACLE = {
         round(avg(abs(y - yhat)), 4) AS mae, round(avg(abs((y - yhat) / nullif(y, 0))), 4) AS mape,
         round(avg(CAST(y BETWEEN yhat - half AND yhat + half AS INTEGER)), 4) AS coverage
         FROM cv LEFT JOIN errors USING (store, cutoff) GROUP BY 1""",
+    "forecast_search_lines": _SEARCH,
     "forecast_slice": _SERIES + _FRAME + _FIT + """
         SELECT store, CAST(ds AS VARCHAR) AS ds, round(trend * i, 4) AS yhat FROM fitted
         WHERE store = 1 AND ds >= DATE '2001-01-01'""",
