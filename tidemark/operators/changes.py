@@ -20,6 +20,7 @@ from tidemark.functions.scalars import clean_quotes
 from tidemark.operators.latest import latest_change, latest_per_key
 from tidemark.session import materialize
 
+# The published names of a change feed's own columns.
 META = ["_change_type", "_commit_version", "_commit_timestamp"]
 
 
@@ -258,17 +259,97 @@ def bucket(key: str, buckets: int) -> Column:
 
 
 def write_version(changes: DataFrame, path: str, version: int, ts: Column, key: str | None = None,
-                  buckets: int = 16) -> None:
+                  buckets: int = 16, operation: str | None = None, source: str | None = None) -> None:
     """Write one version's folder. A replay of the same version replaces it.
 
-    With ``key`` the version is split into ``buckets`` folders by key, so that a reader
-    of few keys opens few of them. All versions of a log must agree in this.
+    With ``key`` the version is split into ``buckets`` folders by key, and a small table of key
+    filters says which of them may hold a key. All versions of a log must agree in this. With
+    ``operation`` a commit record is kept, which ``commit_history`` reads; its counts come from
+    the written ``_change_type`` column. ``source`` names what was committed, such as a batch.
     """
     rows, to = stamp(changes, version, ts).drop("_commit_version"), f"{path}/_commit_version={int(version)}"
+    spark = changes.sparkSession
     if key is None:
         rows.write.mode("overwrite").parquet(to)
     else:
         rows.withColumn("_bucket", bucket(key, buckets)).write.mode("overwrite").partitionBy("_bucket").parquet(to)
+        keys = spark.read.schema(T.StructType([changes.schema[key], T.StructField("_bucket", T.IntegerType())])).parquet(to)
+        key_filter(keys, key).write.mode("overwrite").parquet(f"{_beside(path, 'keys')}/_commit_version={int(version)}")
+    if operation:
+        record = spark.read.schema("_change_type string").parquet(to).agg(*_kind_counts()).select(
+            ts.cast("timestamp").alias("at"), F.lit(operation).alias("operation"), *KINDS, F.lit(source).cast("string").alias("source"))
+        record.coalesce(1).write.mode("overwrite").parquet(f"{_beside(path, 'history')}/version={int(version)}")
+
+
+KINDS = {"inserted": "insert", "updated": "update_postimage", "deleted": "delete"}
+
+
+def _kind_counts() -> list[Column]:
+    return [F.count_if(F.col("_change_type") == kind).alias(name) for name, kind in KINDS.items()]
+
+
+def _beside(path: str, what: str) -> str:
+    """A table of its own next to a log."""
+    return f"{path.rstrip('/')}-{what}"
+
+
+def commit_history(spark: SparkSession, path: str) -> DataFrame:
+    """``version, at, operation, inserted, updated, deleted, source`` of every recorded commit, newest first.
+
+    Reads the records only, never the log.
+    """
+    schema = ("at timestamp, operation string, inserted long, updated long, deleted long, source string, version long")
+    return (spark.read.schema(schema).parquet(_beside(path, "history"))
+                 .select("version", "at", "operation", "inserted", "updated", "deleted", "source").orderBy(F.desc("version")))
+
+
+# The bits of one bitmap of the built-in bitmap functions.
+BITMAP_BITS = 32768
+#: Keys per bitmap beyond which a folder gets several: at this load a foreign key hits one time in nine.
+BITMAP_KEYS = 4096
+
+
+def _filter_bit(key: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(key), F.lit(1)), F.lit(BITMAP_BITS))
+
+
+def _filter_slice(key: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(key), F.lit(2)), F.col("_slices"))
+
+
+def key_filter(keys: DataFrame, key: str, folder: Sequence[str] = ("_bucket",)) -> DataFrame:
+    """``folder, _slices, _slice, _bits``: the keys of each folder as bitmaps of one hash, as many as the keys need."""
+    distinct = keys.where(F.col(key).isNotNull()).distinct()
+    slices = distinct.groupBy(*folder).agg(F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.count("*") / BITMAP_KEYS, F.lit(1.0))))).cast("long").alias("_slices"))
+    sliced = distinct.join(slices, list(folder))
+    return sliced.groupBy(*folder, "_slices", _filter_slice(key).alias("_slice")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(_filter_bit(key) + 1)).alias("_bits"))
+
+
+def write_filters(spark: SparkSession, path: str, key: T.StructField) -> None:
+    """Key filters of every version of a log in key buckets that was not written by ``write_version``."""
+    folder = T.StructField("_bucket", T.IntegerType()), T.StructField("_commit_version", T.LongType())
+    keys = spark.read.schema(T.StructType([key, *folder])).parquet(path)
+    names = ["_commit_version", "_bucket"]
+    rows = key_filter(keys, key.name, names)
+    rows.write.mode("overwrite").partitionBy("_commit_version").parquet(_beside(path, "keys"))
+
+
+def folders_with(spark: SparkSession, path: str, keys: DataFrame, key: str, below: int, buckets: int) -> list[tuple[int, int]]:
+    """(version, bucket) of the folders below a version that may hold one of the keys.
+
+    A bitmap never misses a key, so the folders left out hold none. The driver sees folder
+    numbers, which it lists anyway.
+    """
+    schema = "_bucket int, _slices long, _slice long, _bits binary, _commit_version long"
+    filters = spark.read.schema(schema).parquet(_beside(path, "keys")).where(F.col("_commit_version") < below)
+    wanted = keys.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_bucket", bucket(key, buckets))
+    kinds = filters.select("_bucket", "_slices").distinct()
+    asked = wanted.join(kinds, "_bucket").select("_bucket", "_slices", _filter_slice(key).alias("_slice"), _filter_bit(key).alias("_bit")).distinct()
+    byte = F.conv(F.hex(F.substring("_bits", (F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.expr("shiftright(_byte, cast(_bit % 8 as int)) & 1") == 1
+    hits = filters.join(asked, ["_bucket", "_slices", "_slice"]).withColumn("_byte", byte).where(held)
+    return sorted((r[0], r[1]) for r in hits.select("_commit_version", "_bucket").distinct().collect())
 
 
 def log_schema(columns: T.StructType) -> T.StructType:
@@ -324,13 +405,11 @@ def clone(log: DataFrame, keys: Sequence[str], version: int | None, path: str) -
 
 def history(log: DataFrame) -> DataFrame:
     """Operation and rows written per version: ``WRITE``, ``UPDATE`` or ``DELETE`` where a
-    version has one kind of change only, else ``MERGE``."""
-    kinds = {"inserted": "insert", "updated": "update_postimage", "deleted": "delete"}
-    counts = [F.count_if(F.col("_change_type") == kind).alias(name) for name, kind in kinds.items()]
+    version has one kind of change only, else ``MERGE``. ``commit_history`` knows the operation itself."""
     none = lambda *names: reduce(lambda a, b: a & b, [F.col(n) == 0 for n in names])
     operation = (F.when(none("updated", "deleted"), "WRITE").when(none("inserted", "deleted"), "UPDATE")
                  .when(none("inserted", "updated"), "DELETE").otherwise("MERGE"))
-    return (log.groupBy("_commit_version", "_commit_timestamp").agg(*counts)
+    return (log.groupBy("_commit_version", "_commit_timestamp").agg(*_kind_counts())
                .withColumn("operation", operation).orderBy(F.desc("_commit_version")))
 
 

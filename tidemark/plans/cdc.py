@@ -200,6 +200,23 @@ def history(spark, sf_dir):
     return C.history(_log(spark, sf_dir)).drop("_commit_timestamp")
 
 
+def commit_history(spark, sf_dir):
+    """Commits of six kinds with their recorded operations: among them a merge that only inserts, and one that changes nothing."""
+    path, = folders(spark, "commits", "log")
+    clients, ops = _clients(spark, sf_dir), _ops(spark, sf_dir)
+    now = lambda: C.as_of(C.read_log(spark, path, clients.schema), ["id"])
+    commit = lambda changes, version, operation, source=None: C.write_version(
+        changes, path, version, commit_time(version), "id", operation=operation, source=source)
+    commit(clients.withColumn("_change_type", F.lit("insert")), 0, "WRITE", "customer")
+    commit(C.apply_cdc(now(), ops.filter("wave = 1"), "id", _newest(), stage=True).changes, 1, "MERGE", "wave 1")
+    everyone = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    commit(C.merge(now(), everyone, ["id"], [C.Insert({"id": F.col("source.id"), "name": F.col("source.name")})]).changes, 2, "MERGE", "customer")
+    commit(C.merge(now(), everyone, ["id"], [C.Insert({"id": F.col("source.id"), "name": F.col("source.name")})]).changes, 3, "MERGE", "customer")
+    commit(C.update_where(now(), F.col("email").isNull(), {"email": F.lit("unknown")}).changes, 4, "UPDATE")
+    commit(C.delete_where(now(), F.col("email") == "unknown").changes, 5, "DELETE")
+    return C.commit_history(spark, path).withColumn("at", F.col("at").cast("timestamp_ntz"))
+
+
 def latest_version(spark, sf_dir):
     return _log(spark, sf_dir).agg(F.max("_commit_version").alias("version"))
 
@@ -240,7 +257,7 @@ def propagate_from_version(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     cdc_latest, cdc_apply, cdc_apply_guarded, cdc_apply_stream, merge_clauses, delete_where, update_where,
     update_changes, delete_in, forget_user, change_log, change_feed, change_feed_range, change_feed_time,
-    as_of_version, as_of_time, as_of_now, restore, history, latest_version, expire, propagate_gold,
+    as_of_version, as_of_time, as_of_now, restore, history, commit_history, latest_version, expire, propagate_gold,
     propagate_stream, propagate_from_version)}
 
 _BASE = """
@@ -362,6 +379,19 @@ ORACLE = {
         count(*) FILTER (WHERE _change_type = 'delete') AS deleted,
         CASE WHEN bool_and(_change_type = 'insert') THEN 'WRITE' WHEN bool_and(_change_type LIKE 'update%') THEN 'UPDATE'
              WHEN bool_and(_change_type = 'delete') THEN 'DELETE' ELSE 'MERGE' END AS operation FROM log GROUP BY 1""",
+    "commit_history": _LOG_SQL + f""",
+        one AS ({_as_of(1)}),
+        added AS (SELECT count(*) AS n FROM customer WHERE c_custkey NOT IN (SELECT id FROM one)),
+        first AS (SELECT count(*) FILTER (WHERE v = 0) AS loaded,
+                         count(*) FILTER (WHERE v = 1 AND _change_type = 'insert') AS inserted,
+                         count(*) FILTER (WHERE v = 1 AND _change_type = 'update_postimage') AS updated,
+                         count(*) FILTER (WHERE v = 1 AND _change_type = 'delete') AS deleted FROM log)
+        SELECT CAST(v AS BIGINT) AS version, TIMESTAMP '2002-01-01' + INTERVAL 1 DAY * v AS at,
+               ['WRITE', 'MERGE', 'MERGE', 'MERGE', 'UPDATE', 'DELETE'][v + 1] AS operation,
+               [loaded, first.inserted, n, 0, 0, 0][v + 1] AS inserted, [0, first.updated, 0, 0, n, 0][v + 1] AS updated,
+               [0, first.deleted, 0, 0, 0, n][v + 1] AS deleted,
+               ['customer', 'wave 1', 'customer', 'customer', NULL, NULL][v + 1] AS source
+        FROM first, added, range(0, 6) r(v)""",
     "latest_version": _LOG_SQL + "SELECT CAST(max(v) AS BIGINT) AS version FROM log",
     "expire": _LOG_SQL + f""", base AS ({_as_of(2)})
         SELECT *, 'insert' AS _change_type, CAST(2 AS BIGINT) AS _commit_version,

@@ -9,24 +9,23 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
-from tidemark.operators.changes import (apply_cdc, as_of, bucket, expire, log_schema, propagate, read_log,
-                                        write_version)
+from tidemark.operators.changes import (apply_cdc, as_of, bucket, expire, folders_with, log_schema, propagate, read_log,
+                                        write_filters, write_version)
 from tidemark.streaming.sinks import sink_batches
 
 
 def _before(batch: DataFrame, log_path: str, version: int, key: str, columns: Sequence[str], buckets: int) -> DataFrame:
-    """Current rows of the batch's keys, from versions below ``version`` and the batch's buckets only.
-
-    The driver sees bucket numbers, at most ``buckets`` of them.
-    """
+    """Current rows of the batch's keys, from the folders of lower versions whose key filters name one of them."""
     spark, table = batch.sparkSession, batch.select(*columns)
     schema = T.StructType([*log_schema(table.schema), T.StructField("_bucket", T.IntegerType())])
     try:
-        log = spark.read.schema(schema).parquet(log_path)
+        folders = folders_with(spark, log_path, batch, key, version, buckets)
     except AnalysisException:  # nothing written yet
+        folders = []
+    if not folders:
         return table.limit(0)
-    touched = [r[0] for r in batch.select(bucket(key, buckets)).distinct().collect()]
-    older = log.filter(F.col("_bucket").isin(touched) & (F.col("_commit_version") < version)).drop("_bucket")
+    paths = [f"{log_path}/_commit_version={v}/_bucket={b}" for v, b in folders]
+    older = spark.read.schema(schema).option("basePath", log_path).parquet(*paths).drop("_bucket")
     return as_of(older.join(batch.select(key).distinct(), key, "left_semi"), [key]).select(*columns)
 
 
@@ -48,8 +47,8 @@ def cdc_stream(ops: DataFrame, log_path: str, key: str, order: Sequence[Column],
     """Apply a stream of operations to the table kept as a change log in key buckets.
 
     Batch ``n`` becomes version ``first_version + n``. It reads lower versions only, and of
-    those only the buckets that hold its keys; how many versions those buckets have is
-    bounded by folding old ones (``compact_log``). A replayed batch rewrites its own folder
+    those only the folders whose key filters name one of its keys; how many versions there are
+    is bounded by folding old ones (``compact_log``). A replayed batch rewrites its own folder
     with the same rows and the same commit time. Checkpoint and log belong together: a new
     checkpoint on an old log needs ``first_version`` above its last one.
     """
@@ -59,7 +58,8 @@ def cdc_stream(ops: DataFrame, log_path: str, key: str, order: Sequence[Column],
         try:
             target = _before(batch, log_path, version, key, columns, buckets)
             changes = apply_cdc(target, batch, key, order, op, not_older).changes
-            write_version(changes, log_path, version, commit_time(batch.sparkSession, log_path, version), key, buckets)
+            write_version(changes, log_path, version, commit_time(batch.sparkSession, log_path, version), key, buckets,
+                          "MERGE", f"batch {batch_id}")
         finally:
             batch.unpersist()
 
@@ -76,7 +76,7 @@ def propagate_stream(feed: DataFrame, gold_log: str, key: str, columns: Sequence
         try:
             gold = _before(batch, gold_log, version, key, columns, buckets)
             write_version(propagate(gold, batch, key, clean).changes, gold_log, version,
-                          commit_time(batch.sparkSession, gold_log, version), key, buckets)
+                          commit_time(batch.sparkSession, gold_log, version), key, buckets, "MERGE", f"batch {batch_id}")
         finally:
             batch.unpersist()
 
@@ -88,3 +88,4 @@ def compact_log(spark: SparkSession, log_path: str, keys: Sequence[str], version
     """Write a log whose history up to ``version`` is one base snapshot, in buckets by the first key."""
     log = expire(read_log(spark, log_path), keys, version).withColumn("_bucket", bucket(keys[0], buckets))
     log.write.mode("overwrite").partitionBy("_commit_version", "_bucket").parquet(new_path)
+    write_filters(spark, new_path, log.schema[keys[0]])
