@@ -134,3 +134,77 @@ def test_late_clicks_are_dropped(spark):
     rows = run_stream(spark, [[("a", 0), ("a", 1000)], [("a", 20)], [("z", 9000)]], job, ["user", "status", "start", "clicks"])
     offline = sorted((r["user"], seconds(r["start"]), r["clicks"]) for r in rows if r["status"] == "offline")
     assert offline == [("a", 0, 1), ("a", 1000, 1)]
+
+
+def test_named_state_equals_batch_sessions(spark):
+    """Online rows after each batch, offline rows by timer, and the open spans in between."""
+    from tidemark.streaming import session_state as state
+    own = spark.newSession()
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    own.conf.set("spark.sql.shuffle.partitions", "3")
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    source, out, checkpoint = folders(spark, "state", "in", "out", "checkpoint")
+    seen, watermark = [], float("-inf")
+    for rows in BATCHES:
+        clicks(spark, rows).coalesce(1).write.mode("append").parquet(source)
+        df = stream_table(own, source, "user string, ts timestamp_ntz").withColumn("ts", F.col("ts").cast("timestamp"))
+        sinks.sink_append(state.session_updates(df, "user", "ts", 45, "200 seconds"), out, checkpoint, available_now=True).awaitTermination()
+        seen += rows
+        watermark = max(s for _, s in seen) - 200
+        assert found(state.open_spans(own, checkpoint, "user")) == [s for s in brute(seen, 45) if s[2] + 45 > watermark]
+    result = spark.read.parquet(out).collect()
+    plain = lambda status: sorted((r["user"], seconds(r["start"]), seconds(r["end"]), r["clicks"]) for r in result if r["status"] == status)
+    assert plain("offline") == [s for s in brute(FLAT, 45) if s[2] + 45 <= watermark]
+    # First batch; a and b grow in the second; c twice.
+    assert plain("online") == [("a", 0, 0, 1), ("a", 0, 100, 4), ("a", 100, 100, 1), ("b", 5, 5, 1), ("b", 5, 45, 2), ("c", 1000, 1000, 1), ("c", 5000, 5000, 1)]
+    # The state of an earlier batch can still be read.
+    assert found(state.open_spans(own, checkpoint, "user", 0)) == [("a", 0, 0, 1), ("a", 100, 100, 1), ("b", 5, 5, 1)]
+
+
+def test_a_timer_is_due_at_the_watermark_not_before(spark):
+    """A span whose end plus the gap is the watermark is closed; a microsecond more keeps it."""
+    from tidemark.streaming import session_state as state
+    own = spark.newSession()
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    own.conf.set("spark.sql.shuffle.partitions", "2")
+    job = lambda df: state.session_updates(df, "user", "ts", 45, "100 seconds")
+    rows = run_stream(own, [[("a", 55), ("b", 55.000001)], [("z", 200)]], job, ["user", "status"])
+    assert sorted(r["user"] for r in rows if r["status"] == "offline") == ["a"]
+
+
+def test_chained_alerts(spark):
+    """Sessions closed per window: the window shows when the watermark passes it."""
+    rows = [("a", 0), ("a", 10), ("b", 20), ("c", 130), ("d", 400)]
+    job = lambda df: stream.abandoned_rate_stream(df, "user", "ts", "45 seconds", "10 seconds", F.col("user") == "b", "100 seconds")
+    out = run_stream(spark, [rows, [("e", 9000)]], job, ["start", "end", "sessions", "abandoned"])
+    assert sorted((seconds(r["start"]), r["sessions"], r["abandoned"]) for r in out) == [(0, 2, 1), (100, 1, 1), (400, 1, 1)]
+
+
+def test_heavy_hitters_stay_small_and_bound_their_error(spark):
+    from tidemark.streaming import heavy
+    rng = random.Random(4)
+    batches = [[f"k{min(int(rng.paretovariate(0.8)), 3000)}" for _ in range(3000)] + [None] * 5 for _ in range(4)]
+    source, path, checkpoint = folders(spark, "heavy", "in", "out", "checkpoint")
+    frames = [spark.createDataFrame([(k,) for k in batch], "k string") for batch in batches]
+    for frame in frames:
+        frame.coalesce(1).write.mode("append").parquet(source)
+        heavy.heavy_stream(stream_table(spark, source, "k string", max_files=1), "k", path, checkpoint, 50, available_now=True).awaitTermination()
+    true = {}
+    for n, batch in enumerate(batches):
+        for k in batch:
+            true[k] = true.get(k, 0) + 1
+        rows = heavy.read_summary(spark, path, n).collect()
+        error = max(r["error"] for r in rows)
+        kept = {r["k"]: r["count"] for r in rows if r["k"] is not None}
+        assert len(kept) <= 50 and 0 < error <= 3000 * (n + 1) / 50
+        assert all(kept[k] <= true[k] <= kept[k] + error for k in kept)
+        assert all(c <= error for k, c in true.items() if k is not None and k not in kept)
+    everything = spark.read.schema("k string").parquet(source)
+    top = heavy.verified_top(everything, heavy.read_summary(spark, path), "k", 5).collect()
+    wanted = sorted(((c, k) for k, c in true.items() if k), key=lambda x: (-x[0], x[1]))[:5]
+    assert sorted(((r["count"], r["k"]) for r in top), key=lambda x: (-x[0], x[1])) == wanted
+    assert all(r["complete"] == (wanted[-1][0] > error) for r in top)
+    # Too small a summary says so: 20 keys are nearly as frequent as the only one kept.
+    even = spark.createDataFrame([("a",)] * 5 + [(f"b{n}",) for n in range(20)] * 4, "k string")
+    few = heavy.fold(heavy.read_summary(spark, path, 0).limit(0), even.groupBy("k").count(), "k", 3)
+    assert [(r["k"], r["count"], r["complete"]) for r in heavy.verified_top(even, few, "k", 3).collect()] == [("a", 5, False)]

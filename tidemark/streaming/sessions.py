@@ -29,6 +29,20 @@ def abandoned_stream(df: DataFrame, user: str, ts: str, gap: str, delay: str, pu
     return sessions_stream(df, user, ts, gap, delay, bought).filter("purchases = 0").drop("purchases")
 
 
+def abandoned_rate_stream(df: DataFrame, user: str, ts: str, gap: str, delay: str, purchase: Column, width: str) -> DataFrame:
+    """``start, end, sessions, abandoned``: sessions by the window their end falls in, and those in which nothing was bought.
+
+    A second stateful step on the first one's output under the same watermark: a session is
+    counted when it has closed, a window appears when no session can close in it any more.
+    """
+    purchases = F.count_if(purchase).alias("purchases")
+    sessions = (df.withWatermark(ts, delay).filter(F.col(user).isNotNull())
+                  .groupBy(user, F.session_window(ts, gap).alias("_session")).agg(purchases))
+    closed = sessions.groupBy(F.window(F.window_time("_session"), width).alias("w")).agg(
+        F.count("*").alias("sessions"), F.count_if(F.col("purchases") == 0).alias("abandoned"))
+    return closed.select("w.start", "w.end", "sessions", "abandoned")
+
+
 def fold_sessions(open_: list[tuple[int, int, int]], new: list[tuple[int, int, int]],
                   gap: int) -> list[tuple[int, int, int]]:
     """Merge (start, end, clicks) spans whose pause is at most ``gap``."""
@@ -53,6 +67,18 @@ def _combine(gap_us: int):
     return run
 
 
+def folded_clicks(df: DataFrame, user: str, ts: str, gap_us: int, delay: str, user_type: str) -> DataFrame:
+    """``user, start_us, end_us, clicks, seen``: clicks folded per Arrow batch, under a watermark on ``seen``.
+
+    Times cross into Python as epoch microseconds, whatever the session's time zone.
+    """
+    return (df.select(F.col(user).alias("user"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"))
+              .filter("user IS NOT NULL AND us IS NOT NULL")
+              .mapInPandas(_combine(gap_us), f"user {user_type}, start_us long, end_us long, clicks long")
+              .withColumn("seen", F.timestamp_micros("end_us"))
+              .withWatermark("seen", delay))
+
+
 def session_status(df: DataFrame, user: str, ts: str, gap_seconds: int, delay: str,
                    user_type: str = "string") -> DataFrame:
     """An ``online`` row for every session a batch touches and one ``offline`` row at its end.
@@ -63,12 +89,7 @@ def session_status(df: DataFrame, user: str, ts: str, gap_seconds: int, delay: s
     spans, not clicks.
     """
     gap = gap_seconds * 1_000_000
-    # Times cross into Python as epoch microseconds, whatever the session's time zone.
-    spans = (df.select(F.col(user).alias("user"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"))
-               .filter("user IS NOT NULL AND us IS NOT NULL")
-               .mapInPandas(_combine(gap), f"user {user_type}, start_us long, end_us long, clicks long")
-               .withColumn("seen", F.timestamp_micros("end_us"))
-               .withWatermark("seen", delay))
+    spans = folded_clicks(df, user, ts, gap, delay, user_type)
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         open_ = [tuple(s) for s in zip(*state.get)] if state.exists else []
