@@ -5,15 +5,15 @@ from pyspark.sql import types as T
 
 from tidemark.operators import quality as Q
 from tidemark.plans.common import folders
-from tidemark.sources import files, schema as S, tables
+from tidemark.sources import files, schema as S, tables, variants as V
 from tidemark.streaming import evolve, sinks
 
-READING = "AN3 double, ID double, TIMESTAMP timestamp"
-HINTS = "TIMESTAMP TIMESTAMP, infos STRUCT<wind_speed: FLOAT, wind_direction: STRING>"
-PLAIN = '{"AN3":-1.4746,"ID":347.0,"TIMESTAMP":"2020-06-07T19:18:46.000Z"}'
-EXTRA = PLAIN[:-1] + ',"new_column":"test","infos":{"wind_speed":0.123,"wind_direction":"west"}}'
-WRONG = ('{"AN3":"-1.4746","ID":347.0,"TIMESTAMP":"2020-06-07T19:18:46.000Z",'
-         '"infos":{"wind_speed":"fast_wind","wind_direction":"south"}}')
+READING = "depth double, buoy double, seen timestamp"
+HINTS = "seen TIMESTAMP, tide STRUCT<metres: FLOAT, phase: STRING>"
+PLAIN = '{"depth":12.5,"buoy":9.0,"seen":"2023-03-02T04:05:06.000Z"}'
+EXTRA = PLAIN[:-1] + ',"harbour":"Bergen","tide":{"metres":0.75,"phase":"ebb"}}'
+WRONG = ('{"depth":"12.5","buoy":9.0,"seen":"2023-03-02T04:05:06.000Z",'
+         '"tide":{"metres":"three","phase":"flood"}}')
 
 
 def lines(spark, *texts):
@@ -54,8 +54,8 @@ def test_schema_is_inferred_once_and_hints_win(spark):
     source, kept = folders(spark, "infer", "in", "schema")
     lines(spark, PLAIN).write.text(source)
     schema = S.infer_and_store_schema(spark, source, kept, hints=HINTS)
-    assert schema["AN3"].dataType == T.DoubleType() and schema["TIMESTAMP"].dataType == T.TimestampType()
-    assert schema["infos"].dataType["wind_speed"].dataType == T.FloatType()
+    assert schema["depth"].dataType == T.DoubleType() and schema["seen"].dataType == T.TimestampType()
+    assert schema["tide"].dataType["metres"].dataType == T.FloatType()
     lines(spark, EXTRA).write.mode("append").text(source)
     assert S.infer_and_store_schema(spark, source, kept, hints=HINTS) == schema
     S.store_schema(spark, kept, S.apply_schema_hints(schema, "more STRING"))
@@ -63,24 +63,24 @@ def test_schema_is_inferred_once_and_hints_win(spark):
 
 
 def test_unknown_fields_also_nested(spark):
-    schema = T.StructType.fromDDL("AN3 double, infos struct<wind_speed: float>")
-    df = lines(spark, EXTRA, "no json", '{"AN3":1}')
+    schema = T.StructType.fromDDL("depth double, tide struct<metres: float>")
+    df = lines(spark, EXTRA, "no json", '{"depth":1}')
     found = df.select(S.unknown_fields(F.col("value"), schema).alias("f")).collect()
-    assert sorted(found[0]["f"]) == ["ID", "TIMESTAMP", "infos.wind_direction", "new_column"]
+    assert sorted(found[0]["f"]) == ["buoy", "harbour", "seen", "tide.phase"]
     assert found[1]["f"] == [] and found[2]["f"] == []
     assert {r["field"] for r in S.detect_new_fields(df, "value", schema).collect()} == set(found[0]["f"])
 
 
 def test_rescue_keeps_the_row_and_the_raw_values(spark):
-    schema = f"{READING}, infos struct<wind_speed: float, wind_direction: string>"
-    df = lines(spark, WRONG, PLAIN, '{"AN3": null, "infos": "text"}', "junk")
+    schema = f"{READING}, tide struct<metres: float, phase: string>"
+    df = lines(spark, WRONG, PLAIN, '{"depth": null, "tide": "text"}', "junk")
     out = S.parse_with_rescue(df, "value", schema).collect()
     wrong, plain, text, junk = out
-    assert wrong["AN3"] is None and wrong["ID"] == 347.0 and wrong["infos"]["wind_direction"] == "south"
-    assert wrong["_incorrect_data"] == '{"AN3":"-1.4746","infos.wind_speed":"fast_wind"}'
-    assert plain["AN3"] == -1.4746 and plain["_incorrect_data"] is None
-    assert text["_incorrect_data"] == '{"infos":"text"}'
-    assert junk["AN3"] is None and json.loads(junk["_incorrect_data"]) == {"": "junk"}
+    assert wrong["depth"] is None and wrong["buoy"] == 9.0 and wrong["tide"]["phase"] == "flood"
+    assert wrong["_incorrect_data"] == '{"depth":"12.5","tide.metres":"three"}'
+    assert plain["depth"] == 12.5 and plain["_incorrect_data"] is None
+    assert text["_incorrect_data"] == '{"tide":"text"}'
+    assert junk["depth"] is None and json.loads(junk["_incorrect_data"]) == {"": "junk"}
 
 
 def test_rescue_loses_nothing(spark):
@@ -99,6 +99,46 @@ def test_rescue_loses_nothing(spark):
     assert {r["field"] for r in names} == {"xs[].c", "deep.q", "new"}
 
 
+def test_variants_equal_the_raw_rescue(spark):
+    """One parse gives the rows that three parses give, but for lists and maps with a misfit, whose other items stay."""
+    schema = f"{READING}, tide struct<metres: float, phase: string>"
+    texts = [WRONG, PLAIN, EXTRA, '{"depth": null, "tide": "text"}', "junk", "[1]", "7", "", None, '{"depth":3,"buoy":true,"seen":"never"}',
+             '{"depth":1e300,"tide":{"metres":null,"phase":17,"more":[1,2]}}', '{"tide":{"phase":{"a":1}}}', "{}", '{"depth":1,"depth":2']
+    df = lines(spark, *texts).withColumn("n", F.monotonically_increasing_id())
+    for extra in (False, True):
+        one = V.parse_with_rescue(df, "value", schema, extra=extra).orderBy("n").collect()
+        assert one == S.parse_with_rescue(df, "value", schema, extra=extra).orderBy("n").collect()
+    nested = "n INT, xs ARRAY<STRUCT<b: INT>>, m MAP<STRING, INT>, deep STRUCT<ys: ARRAY<INT>>"
+    wanted = {
+        '{"xs":[{"b":"bad"},{"b":2}]}': {"xs[0].b": "bad"}, '{"xs":[{"b":1,"c":5}]}': {"xs[0].c": "5"}, '{"xs":7}': {"xs": "7"},
+        '{"m":{"k":"no","l":3}}': {"m.k": "no"}, '{"deep":{"ys":[1,"z"],"q":2}}': {"deep.ys[1]": "z", "deep.q": "2"},
+        '{"n":"x","new":[1]}': {"n": "x", "new": "[1]"}, '{"n":1.5}': {"n": "1.5"}, '{"n":3,"xs":[],"m":{},"deep":{}}': None, '{"n":null}': None}
+    out = V.parse_with_rescue(lines(spark, *wanted).withColumn("raw", F.col("value")), "value", nested, extra=True).collect()
+    assert {r["raw"]: r["_incorrect_data"] and json.loads(r["_incorrect_data"]) for r in out} == wanted
+    kept = next(r for r in out if r["raw"].startswith('{"m"'))
+    assert kept["m"] == {"k": None, "l": 3}
+
+
+def test_variants_are_parsed_once(spark, capsys):
+    V.parse_with_rescue(lines(spark, PLAIN).repartition(2), "value", READING).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("try_parse_json") + plan.count("parse_json") <= 2 and "from_json" not in plan
+
+
+def test_inference_reads_every_file(spark):
+    """The eleventh file is the first with a fraction, with a nested field and with a list."""
+    source, kept = folders(spark, "infer", "in", "schema")
+    for n in range(10):
+        lines(spark, '{"a":1,"tide":{"x":"s"},"both":1}').coalesce(1).write.mode("append").text(source)
+    lines(spark, '{"a":1.5,"tide":{"x":"s","new field":2},"list":[1,2.5],"both":"s","gone":null}', "junk", "[1]").coalesce(1).write.mode("append").text(source)
+    schema = V.infer_and_store(spark, source, kept, hints="more STRING")
+    wanted = "a DOUBLE, both STRING, gone STRING, list ARRAY<DOUBLE>, tide STRUCT<`new field`: BIGINT, x: STRING>, more STRING"
+    assert schema == T.StructType.fromDDL(wanted)
+    lines(spark, '{"z":1}').write.mode("append").text(source)
+    assert V.infer_and_store(spark, source, kept) == schema
+    assert V.schema_of_lines(lines(spark, "junk")) == T.StructType()
+
+
 def test_schemas_merge_inside_arrays_and_maps():
     old = S.T.StructType.fromDDL("xs ARRAY<STRUCT<b: INT>>, m MAP<STRING, STRUCT<u: INT>>")
     new = S.T.StructType.fromDDL("xs ARRAY<STRUCT<b: INT, c: STRING>>, m STRUCT<k: STRUCT<u: INT, v: INT>>")
@@ -113,9 +153,9 @@ def test_stream_widens_its_schema_and_restarts(spark):
         evolve.run_with_schema_evolution(start, kept)
     out = evolve.read_evolved(spark, target).collect()
     assert len(out) == 3
-    assert sorted(str(r["new_column"]) for r in out) == ["None", "None", "test"]
+    assert sorted(str(r["harbour"]) for r in out) == ["Bergen", "None", "None"]
     assert sum(r["_incorrect_data"] is not None for r in out) == 1
-    assert "new_column" in S.stored_schema(spark, kept).names
+    assert "harbour" in S.stored_schema(spark, kept).names
 
 
 def test_other_stream_errors_are_not_swallowed(spark):
@@ -165,23 +205,23 @@ def test_constraints(spark):
         Q.enforce(df, ["id"]).collect()
 
 
-LOAN = (T.StructType().add("addr_state", T.StringType()).add("loan_amnt", T.LongType()).add("id", T.LongType()))
+BERTH = T.StructType().add("quay", T.StringType()).add("tonnes", T.LongType()).add("id", T.LongType())
 
 
 def test_append_refuses_types_and_columns(spark):
     make = lambda ddl, *row: spark.createDataFrame([row], ddl)
-    with pytest.raises(ValueError, match="loan_amnt is string"):
-        Q.check_append(LOAN, make("addr_state string, loan_amnt string, id bigint", "PARIS", "2500", 1))
-    with pytest.raises(ValueError, match="zip_code"):
-        Q.check_append(LOAN, make("addr_state string, loan_amnt bigint, id bigint, zip_code string", "PARIS", 1, 1, "75010"))
-    ok = Q.check_append(LOAN, make("id int, addr_state string, loan_amnt int", 1, "PARIS", 5))
-    assert [f.dataType for f in ok.schema] == [f.dataType for f in LOAN] and ok.columns == LOAN.names
+    with pytest.raises(ValueError, match="tonnes is string"):
+        Q.check_append(BERTH, make("quay string, tonnes string, id bigint", "north", "80", 1))
+    with pytest.raises(ValueError, match="flag"):
+        Q.check_append(BERTH, make("quay string, tonnes bigint, id bigint, flag string", "north", 80, 1, "NO"))
+    ok = Q.check_append(BERTH, make("id int, quay string, tonnes int", 1, "north", 5))
+    assert [f.dataType for f in ok.schema] == [f.dataType for f in BERTH] and ok.columns == BERTH.names
 
 
 def test_positional_insert_casts(spark):
-    table = spark.createDataFrame([], "addr_state string, loan_status string, loan_amnt bigint, grade string, id bigint, zip_code string")
-    out = Q.insert_rows(table, [("IA", "Fully Paid", 1000000, 99999998, "12345", "75010")]).collect()
-    assert tuple(out[0]) == ("IA", "Fully Paid", 1000000, "99999998", 12345, "75010")
+    table = spark.createDataFrame([], "quay string, tonnes bigint, code string, id bigint")
+    out = Q.insert_rows(table, [("south", 1200, 77, "31")]).collect()
+    assert tuple(out[0]) == ("south", 1200, "77", 31)
 
 
 def test_stop_all_and_checkpoint_root(spark):

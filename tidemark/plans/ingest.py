@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tidemark.operators import layout, quality
 from tidemark.operators.features import enrich
 from tidemark.plans.common import folders, replay, stream_session, table
-from tidemark.sources import files, schema as schemas, tables
+from tidemark.sources import files, schema as schemas, tables, variants
 from tidemark.streaming import evolve, layers, sinks
 
 READING = "event_id long, event_type string, value double, infos struct<k: int>"
@@ -43,6 +43,22 @@ def parse_rescue(spark, sf_dir):
     return out.select("event_id", "event_type", "value", F.col("infos.k").alias("k"), "_incorrect_data")
 
 
+def parse_rescue_variant(spark, sf_dir):
+    """The same rows from one parse of each message, with the schema that hints give."""
+    text = files.decode_envelope(_messages(spark, sf_dir))
+    out = variants.parse_with_rescue(text, "value", READING)
+    return out.select("event_id", "event_type", "value", F.col("infos.k").alias("k"), "_incorrect_data")
+
+
+def inferred_fields(spark, sf_dir):
+    """The fields and types of all messages, found by one aggregate over every line."""
+    schema = variants.schema_of_lines(files.decode_envelope(_messages(spark, sf_dir)))
+    flat = [(f.name, f.dataType.simpleString()) for f in schema]
+    rows = spark.createDataFrame(flat, "field string, type string")
+    counts = variants.field_counts(files.decode_envelope(_messages(spark, sf_dir)))
+    return rows.join(counts, "field")
+
+
 def unknown_fields(spark, sf_dir):
     """How many messages carry each field the schema does not have."""
     text = files.decode_envelope(_messages(spark, sf_dir))
@@ -202,7 +218,7 @@ def zorder(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    decoded, parse_rescue, unknown_fields, evolved_stream, copy_into, pending_rows, source_lineage, append_evolved,
+    decoded, parse_rescue, parse_rescue_variant, inferred_fields, unknown_fields, evolved_stream, copy_into, pending_rows, source_lineage, append_evolved,
     append_checked, quarantine, enforced, enrich_left, enrich_salted, layered_stream, table_stream, publish_latest,
     table_detail, compact, zorder)}
 
@@ -214,7 +230,11 @@ FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size < 40) ON l_partkey = p_
 
 ORACLE = {
     "decoded": "SELECT CAST(event_id AS VARCHAR) AS sequence, event_id, event_type FROM events",
+    "parse_rescue_variant": f"SELECT event_id, event_type, {_VALUE}, {_K}, {_RESCUED} FROM events",
     "parse_rescue": f"SELECT event_id, event_type, {_VALUE}, {_K}, {_RESCUED} FROM events",
+    "inferred_fields": """SELECT unnest(['event_id', 'event_type', 'value', 'infos']) AS field,
+            unnest(['bigint', 'string', 'string', 'struct<k:bigint>']) AS type, count(*) AS n FROM events
+        UNION ALL SELECT 'new_column', 'string', count(*) FROM events WHERE event_type = 'signup'""",
     "unknown_fields": "SELECT 'new_column' AS field, count(*) AS n FROM events WHERE event_type = 'signup'",
     "evolved_stream": f"""SELECT event_id, {_VALUE}, {_K},
         CASE WHEN event_type = 'signup' THEN 'test' END AS new_column, {_RESCUED} FROM events""",
