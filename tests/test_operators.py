@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars
-from tidemark.operators import (attribution, features as FT, forecast as FC, layout, metrics, models, runs, sampling,
-                                stats, trends)
+from tidemark.operators import (additive, attribution, elbow, features as FT, forecast as FC, layout, metrics, models, quantiles, runs,
+                                sampling, stats, trends)
 from tidemark.plans.common import folders
 from tidemark.sources.files import write_parquet
 
@@ -162,16 +162,16 @@ def test_additive_model_recovers_the_signal():
     t, y = season()
     at = np.arange(1200, 1230).astype(float)
     wanted = (100 + 0.05 * at) * (1 + 0.2 * np.sin(2 * np.pi * at / 7) + 0.1 * np.cos(2 * np.pi * at / 365.25))
-    out = FC.fit_predict(t, y, at, FC.Params())
+    out = additive.fit_predict(t, y, at, FC.Params())
     assert np.abs(out["yhat"] - wanted).max() < 3
-    assert list(np.sort(out.columns)) == sorted(FC.FORECAST_COLUMNS)
+    assert sorted(out) == sorted(FC.FORECAST_COLUMNS)
     assert np.allclose(out["multiplicative_terms"], out["weekly"] + out["yearly"])
     assert np.allclose(out["yhat"], out["trend"] * (1 + out["multiplicative_terms"]))
 
 
 def test_interval_covers_about_its_width():
     t, y = season(noise=5.0)
-    out = FC.fit_predict(t, y, t, FC.Params(interval_width=0.8))
+    out = additive.fit_predict(t, y, t, FC.Params(interval_width=0.8))
     assert 0.72 < ((y >= out["yhat_lower"]) & (y <= out["yhat_upper"])).mean() < 0.88
 
 
@@ -190,6 +190,84 @@ def test_forecast_by_key_history_and_horizon(spark):
     assert [(r["n"], str(r["last"])) for r in counts] == [(1130, "2018-02-03")] * 2
 
 
+def slow_fit(days, y, at, params):
+    """Trend and prediction of one model, and the deviations of its fit, one regression after the other."""
+    start, span = days.min(), max(1, days.max() - days.min())
+    basis = lambda d: np.column_stack([np.ones(len(d)), (d - start) / span])
+    floor = max(1e-9, 0.01 * float(np.abs(y).mean()))
+    waves = lambda d: np.hstack([np.zeros((len(d), 0)), *(additive.fourier(d, t) for t in params.terms)])
+    design, season = waves(days), np.zeros(len(days))
+    gamma = np.zeros(design.shape[1])
+    for _ in range(additive.TURNS):
+        beta = np.linalg.lstsq(basis(days), y / np.maximum(1 + season, 0.05), rcond=None)[0]
+        line = np.maximum(basis(days) @ beta, floor)
+        gamma = np.linalg.solve(design.T @ design + params.ridge * np.eye(len(gamma)), design.T @ (y / line - 1))
+        season = design @ gamma
+    trend = np.maximum(basis(at) @ beta, floor)
+    leverage = np.einsum("ij,jk,ik->i", basis(at), np.linalg.pinv(basis(days).T @ basis(days)), basis(at))
+    return trend, trend * (1 + waves(at) @ gamma), np.std(y - line * (1 + season)), np.std(y - line) * np.sqrt(np.maximum(leverage, 0))
+
+
+@pytest.mark.parametrize("weekly,yearly", [(True, True), (True, False), (False, True), (False, False)])
+def test_batched_models_equal_single_ones(weekly, yearly):
+    rng = np.random.default_rng(9)
+    for n in (1, 2, 5, 40, 900):
+        days = np.sort(rng.choice(1500, n, replace=False)) + 17_000
+        y = rng.gamma(2.0, 20.0, n)
+        at = np.concatenate([days, days[-1] + np.arange(1, 6)])
+        params = FC.Params(weekly, yearly, ridge=0.5, interval_width=0.9)
+        trend, yhat, error, noise = slow_fit(days, y, at, params)
+        out = additive.fit_predict(days, y, at, params)
+        assert np.allclose(out["trend"], trend) and np.allclose(out["yhat"], yhat)
+        assert np.allclose(out["yhat_upper"] - yhat, params.z * error, atol=1e-7)
+        assert np.allclose(trend - out["trend_lower"], params.z * noise, atol=1e-7)
+
+
+def test_batched_search_equals_single_fits():
+    t, y = season(1000, 4.0)
+    keep = np.sort(np.random.default_rng(2).choice(1000, 600, replace=False))
+    days, y = t[keep].astype(int), y[keep]
+    candidates = FC.search_space(6)
+    for params, (n, rmse, coverage) in zip(candidates, additive.rolling_errors(days, y, candidates, 300, 90, 120)):
+        errors, inside = [], []
+        for cut in range(days[-1] - 120, days[0] + 300 - 1, -90):
+            past, ahead = days <= cut, (days > cut) & (days <= cut + 120)
+            _, yhat, spread, _ = slow_fit(days[past], y[past], days[ahead], params)
+            errors.append(y[ahead] - yhat)
+            inside.append(np.abs(y[ahead] - yhat) <= params.z * spread)
+        error = np.concatenate(errors)
+        assert n == len(error) and rmse == pytest.approx(np.sqrt((error ** 2).mean()))
+        assert coverage == pytest.approx(np.concatenate(inside).mean())
+
+
+def test_series_across_arrow_batches(spark):
+    rows = [(s, f"i{s % 7}", dt.date(2020, 1, 1) + dt.timedelta(days=d), float(d + s)) for s in range(40) for d in range(0, 60, 1 + s % 5)]
+    df = spark.createDataFrame(rows, "store int, item string, day date, sales double")
+    keys = ["store", "item"]
+    read = lambda: sorted(map(tuple, FC.forecast_by_key(df, keys, "day", "sales", 3).select(*keys, "ds", F.round("yhat", 3)).collect()))
+    whole = read()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert read() == whole and len(whole) == sum(len(range(0, 60, 1 + s % 5)) + 3 for s in range(40))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_rolling_cv_does_not_repeat_days_per_cut_off(spark, capsys):
+    out = FC.rolling_cv(FC.daily_series(sales(spark), ["store"], "day", "sales"), ["store"])
+    out.explain()
+    plan = capsys.readouterr().out
+    assert "Join" not in plan and "Generate" not in plan and plan.count("MapInArrow") == 1
+
+
+def test_cut_off_after_a_single_day(spark):
+    """One day of history has no line: its predictions are NULL."""
+    days = [dt.date(2015, 1, 1), dt.date(2018, 1, 1), dt.date(2018, 3, 1)]
+    df = spark.createDataFrame([(1, d, 2.0) for d in days] + [(2, days[0], 1.0)], "store int, ds date, y double")
+    rows = FC.rolling_cv(df, ["store"], horizon=60).collect()
+    assert [(str(r["cutoff"]), str(r["ds"]), r["yhat"], r["yhat_upper"]) for r in rows] == [("2017-12-31", "2018-01-01", None, None), ("2017-12-31", "2018-03-01", None, None)]
+
+
 def test_a_series_of_one_day(spark):
     df = spark.createDataFrame([(1, dt.date(2020, 1, 1), 5.0)], "store int, day date, sales double")
     out = FC.forecast_by_key(df, ["store"], "day", "sales", 2).collect()
@@ -305,7 +383,7 @@ def test_clusters_udf_equals_model_and_elbow_falls(spark):
     model = models.segment_model(df, ["u", "v"], 4)
     both = models.segment(df, model, names).withColumn("again", models.segment_udf(model, names)("u", "v"))
     assert both.filter("segment != again").count() == 0 and both.select("segment").distinct().count() == 4
-    costs = {r["k"]: r["cost"] for r in models.kmeans_elbow(df, ["u", "v"], range(2, 6)).collect()}
+    costs = {r["k"]: r["cost"] for r in elbow.kmeans_elbow(df, ["u", "v"], range(2, 6)).collect()}
     assert costs[2] > costs[4] and sorted(costs) == [2, 3, 4, 5]
 
 
@@ -320,3 +398,49 @@ def test_runs(spark):
                                "experiment_id string, run_id string, status string, artifact_uri string, metrics map<string,double>")
     assert [r["run_id"] for r in runs.leaderboard(df).collect()] == ["4", "1", "3"]
     assert runs.best_run(df).first()["run_id"] == "4"
+
+
+def test_many_clusterings_in_one_scan(spark, capsys):
+    """Sums, counts and costs of a step equal brute force; the plan reads the rows once for all models."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(700, 3)) * 2
+    rows = spark.createDataFrame([(v.tolist(),) for v in x], "x array<double>").repartition(5)
+    centres = {k: rng.normal(size=(k, 3)) for k in (1, 3, 6)}
+    for k, (sums, counts, cost) in elbow.step(rows, centres).items():
+        distance = ((x[:, None, :] - centres[k][None]) ** 2).sum(axis=2)
+        near = distance.argmin(axis=1)
+        assert np.allclose(sums, [x[near == c].sum(axis=0) for c in range(k)])
+        assert counts.tolist() == [(near == c).sum() for c in range(k)] and cost == pytest.approx(distance.min(axis=1).sum())
+
+
+def test_elbow_finds_the_groups_and_survives_edges(spark):
+    rng = np.random.default_rng(0)
+    x = np.vstack([rng.normal(m, 0.05, (80, 2)) for m in ((0, 0), (0, 9), (9, 0), (9, 9), (5, 5))])
+    df = spark.createDataFrame(pd.DataFrame(x, columns=["u", "v"])).withColumn("u", F.col("u").cast("float"))
+    found = elbow.kmeans_models(df.unionByName(spark.createDataFrame([(None, 1.0)], "u float, v double")), ["u", "v"], range(1, 8))
+    costs = [found[k][1] for k in range(1, 8)]
+    assert all(a > b for a, b in zip(costs, costs[1:])) and costs[4] < 0.01 * costs[3] and found[5][2] == 400
+    same = spark.createDataFrame([(1.0, 1.0)] * 5, "u double, v double")
+    assert [r["cost"] for r in elbow.kmeans_elbow(same, ["u", "v"], (1, 3)).collect()] == [0.0, 0.0]
+    assert elbow.kmeans_elbow(same.limit(0), ["u", "v"]).collect() == []
+
+
+def brute_quantile(values, p):
+    values = sorted(v for v in values if v is not None and math.isfinite(v))
+    return values[max(1, math.ceil(p * len(values))) - 1] if values else None
+
+
+@pytest.mark.parametrize("bins", [2, 7, 4096])
+def test_exact_quantiles_equal_sorting(spark, bins):
+    rng = random.Random(bins)
+    columns = {"wide": [rng.uniform(-1e300, 1e300) for _ in range(300)], "hot": [1.0 if rng.random() < 0.8 else rng.gauss(0, 1e-9) for _ in range(300)],
+               "few": [float(rng.randrange(3)) for _ in range(300)], "one": [5.0] * 300, "none": [None] * 300,
+               "odd": [rng.choice([None, float("nan"), float("inf"), -2.5, 1e-320]) for _ in range(300)]}
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} double" for c in columns))
+    for r in quantiles.exact_quantiles(df, list(columns), [0.0, 0.25, 0.5, 0.9, 1.0], bins).collect():
+        assert r["value"] == brute_quantile(columns[r["column"]], r["probability"])
+
+
+def test_exact_quantiles_beyond_a_million_values(spark):
+    df = spark.range(3_000_000).select((F.col("id") * 7919 % 3_000_000).alias("v"))
+    assert [r["value"] for r in quantiles.exact_quantiles(df, ["v"], [0.25, 0.5, 0.75]).collect()] == [749_999, 1_499_999, 2_249_999]

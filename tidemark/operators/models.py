@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import random
 from collections.abc import Callable, Iterator, Sequence
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -126,22 +125,6 @@ def scaled_vectors(columns: Sequence[str], lo: float = 0.0, hi: float = 10.0) ->
             MinMaxScaler(min=lo, max=hi, inputCol="assembled", outputCol="features")]
 
 
-def kmeans_elbow(df: DataFrame, columns: Sequence[str], ks: Sequence[int] = range(2, 10), seed: int = 0,
-                 parallelism: int = 4) -> DataFrame:
-    """(k, cost): within-cluster squared distance on scaled columns.
-
-    Each k is a distributed fit; ``parallelism`` of them share the cluster.
-    """
-    cost = lambda k: (k, float(KMeans(k=k, seed=seed).fit(scaled).summary.trainingCost))
-    scaled = Pipeline(stages=scaled_vectors(columns)).fit(df).transform(df).select("features").persist()
-    try:
-        with ThreadPool(parallelism) as pool:
-            costs = pool.map(cost, ks)
-    finally:
-        scaled.unpersist()
-    return df.sparkSession.createDataFrame(costs, "k int, cost double")
-
-
 def segment_model(df: DataFrame, columns: Sequence[str], k: int = 4, seed: int = 0) -> PipelineModel:
     """Scaler and clusters in one pipeline, so that scoring scales like training."""
     return Pipeline(stages=[*scaled_vectors(columns),

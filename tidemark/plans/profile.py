@@ -6,9 +6,9 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.operators import attribution, features as FT, metrics, models, runs, sampling, stats
+from tidemark.operators import attribution, elbow, features as FT, history as HT, metrics, models, quantiles, runs, sampling, stats
 from tidemark.operators.latest import dedupe
-from tidemark.plans.common import table
+from tidemark.plans.common import folders, table
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 DIMS = 64
@@ -30,6 +30,13 @@ def summary_stats(spark, sf_dir):
                       "min", "p25", "p50", "p75", "max")
 
 
+def exact_quartiles(spark, sf_dir):
+    """Quartiles of the prices, and of a column in which nearly every row has a value of its own."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_extendedprice", (F.col("l_extendedprice") + F.col("l_orderkey") / 1048576 + F.col("l_linenumber") / 8).alias("own"))
+    return quantiles.exact_quantiles(lines, lines.columns, [0.25, 0.5, 0.75])
+
+
 def missing_counts(spark, sf_dir):
     """Left join with labels leaves gaps to count."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
@@ -79,7 +86,15 @@ def _vectors(spark, sf_dir):
 
 
 def kmeans_elbow(spark, sf_dir):
-    return models.kmeans_elbow(_vectors(spark, sf_dir), VECTOR)
+    return elbow.kmeans_elbow(_vectors(spark, sf_dir), VECTOR)
+
+
+def kmeans_costs(spark, sf_dir):
+    """For each k the rows clustered and whether the cost fell; the cost itself for one cluster, which SQL can compute."""
+    found = elbow.kmeans_elbow(_vectors(spark, sf_dir), VECTOR, range(1, 10))
+    before = found.select((F.col("k") + 1).alias("k"), F.col("cost").alias("before"))
+    return found.join(before, "k", "left").select("k", "n", F.when(F.col("k") == 1, F.round("cost", 3)).alias("cost"),
+                                                  (F.col("cost") < F.col("before")).alias("falls"))
 
 
 def segments(spark, sf_dir):
@@ -141,6 +156,59 @@ def merge_features(spark, sf_dir):
     return merged.withColumn("cos_hour", F.round("cos_hour", 6))
 
 
+def _readings(spark, sf_dir, kind):
+    """The events of a kind as a feature history of their users."""
+    events = table(spark, sf_dir, "events").filter(F.col("event_type") == kind)
+    return events.withColumn("k", F.from_json("props", "k int")["k"])
+
+
+def training_set_as_of(spark, sf_dir):
+    """Purchases with their user's newest view, and newest click of the last three days, as of each purchase."""
+    purchases = table(spark, sf_dir, "events").filter("event_type = 'purchase'").select(
+        "event_id", "user_id", "ts", (F.col("value") > 50).alias("large"))
+    order = [F.desc("event_id")]
+    views = _readings(spark, sf_dir, "view").select("user_id", "ts", "event_id", F.col("value").alias("view_value"), F.col("k").alias("view_k"))
+    clicks = _readings(spark, sf_dir, "click").select("user_id", "ts", "event_id", F.col("value").alias("click_value"))
+    out = HT.training_set_as_of(purchases, [
+        HT.History(views, ["user_id"], "ts", ["view_value", "view_k"], order),
+        HT.History(clicks, ["user_id"], "ts", ["click_value"], order, "3 days")], "large", "ts", exclude=["user_id"])
+    return out
+
+
+def _commit(day):
+    return F.lit(f"2024-03-{day:02d}").cast("timestamp")
+
+
+def _feature_versions(spark, sf_dir):
+    """A feature table of users in three versions: totals of two weeks each, the second with one more column."""
+    path, = folders(spark, "features", "users")
+    events = table(spark, sf_dir, "events")
+    for day, start, stop in ((1, "2024-01-01", "2024-01-11"), (11, "2024-01-11", "2024-01-21"), (21, "2024-01-21", "2024-02-01")):
+        part = events.filter((F.col("ts") >= start) & (F.col("ts") < stop) & (F.col("user_id") % 7 != day % 4)).groupBy("user_id").agg(
+            F.count("*").alias("clicks"), F.max("event_type").alias("last_kind"))
+        HT.save_features(spark, path, part.drop("last_kind") if day == 1 else part, ["user_id"], _commit(day))
+    return path
+
+
+def features_as_of(spark, sf_dir):
+    """The feature table as it was the day after its second commit."""
+    return HT.read_features(spark, _feature_versions(spark, sf_dir), ["user_id"], _commit(12))
+
+
+def features_first(spark, sf_dir):
+    """The feature table before its second commit: without the column that this added."""
+    return HT.read_features(spark, _feature_versions(spark, sf_dir), ["user_id"], _commit(10))
+
+
+def feature_versions_as_of(spark, sf_dir):
+    """Orders, moved into the feature table's month, with the totals their customer had by then."""
+    history = HT.feature_history(spark, _feature_versions(spark, sf_dir), ["user_id"], ["clicks", "last_kind"])
+    day = F.lit("2024-02-25").cast("timestamp") + F.make_dt_interval(F.col("o_orderkey") % 35)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 200).alias("user_id"), day.alias("at"))
+    found = HT.as_of_features(orders, history, "at", "committed")
+    return found.select("o_orderkey", "user_id", "clicks", "last_kind", F.col("committed").cast("date").cast("string").alias("committed"))
+
+
 def ml_ready(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     return FT.ml_ready(docs, ["doc_id", "n_chars", "quality"])
@@ -303,7 +371,8 @@ def best_run(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     class_balance, summary_stats, missing_counts, drop_null_columns, corr_matrix, class_weights, deduplicated,
-    minmax_scaled, cluster_profile, kmeans_elbow, segments, segments_udf, segments_agree, time_features, training_set, merge_features,
+    minmax_scaled, cluster_profile, kmeans_elbow, kmeans_costs, exact_quartiles, segments, segments_udf, segments_agree, time_features, training_set, merge_features,
+    training_set_as_of, features_as_of, features_first, feature_versions_as_of,
     ml_ready, confusion, label_metrics, auc, f1_rounded, mean_abs, gbt_score, gbt_predictions, gbt_status_rule, feature_importance, importance_top,
     shapley, shapley_additivity, shapley_top, parameter_search, split_counts, split_complete,
     leaderboard, best_run)}
@@ -324,8 +393,39 @@ _RUNS = """WITH r AS (
                              round(avg(CAST(l_returnflag = 'R' AS INTEGER)), 6) AS f1 FROM lineitem GROUP BY 1)
        ON s_suppkey = l_suppkey
   WHERE s_acctbal >= 0) """
+_READINGS = """WITH r AS (
+  SELECT user_id, ts, event_id, event_type, value, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
+  QUALIFY row_number() OVER (PARTITION BY user_id, ts, event_type ORDER BY event_id DESC) = 1) """
+_FEATURES = """WITH w AS (
+  SELECT *, CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 0 WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS v FROM events),
+parts AS (
+  SELECT user_id, v, count(*) AS clicks, CASE WHEN v > 0 THEN max(event_type) END AS last_kind FROM w
+  WHERE user_id % 7 <> CASE v WHEN 1 THEN 3 ELSE 1 END GROUP BY user_id, v),
+log AS (
+  SELECT *, DATE '2024-03-01' + CAST(10 * v AS INTEGER) AS committed FROM parts
+  WINDOW p AS (PARTITION BY user_id ORDER BY v)
+  QUALIFY lag(clicks) OVER p IS DISTINCT FROM clicks OR lag(last_kind) OVER p IS DISTINCT FROM last_kind) """
 
 ORACLE = {
+    "training_set_as_of": _READINGS + """SELECT p.event_id, p.ts, v.value AS view_value, v.k AS view_k,
+            CASE WHEN c.ts >= p.ts - INTERVAL 3 DAY THEN c.value END AS click_value, p.value > 50 AS large
+        FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+        ASOF LEFT JOIN (SELECT * FROM r WHERE event_type = 'view') v ON p.user_id = v.user_id AND p.ts >= v.ts
+        ASOF LEFT JOIN (SELECT * FROM r WHERE event_type = 'click') c ON p.user_id = c.user_id AND p.ts >= c.ts""",
+    "features_as_of": _FEATURES + """SELECT user_id, clicks, last_kind FROM log WHERE v <= 1
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY v DESC) = 1""",
+    "features_first": _FEATURES + "SELECT user_id, clicks FROM log WHERE v = 0",
+    "feature_versions_as_of": _FEATURES + """SELECT o_orderkey, o.user_id, clicks, last_kind, CAST(committed AS VARCHAR) AS committed
+        FROM (SELECT o_orderkey, o_custkey % 200 AS user_id, DATE '2024-02-25' + CAST(o_orderkey % 35 AS INTEGER) AS at FROM orders) o
+        ASOF LEFT JOIN log ON o.user_id = log.user_id AND o.at >= log.committed""",
+    "kmeans_costs": """WITH d AS (SELECT i, CAST(embedding[i] AS DOUBLE) AS x FROM embeddings, range(1, 65) r(i)),
+        c AS (SELECT sum(100 * s / (hi - lo) / (hi - lo)) AS cost FROM
+              (SELECT i, var_pop(x) * count(*) AS s, min(x) AS lo, max(x) AS hi FROM d GROUP BY 1))
+        SELECT CAST(k AS INTEGER) AS k, (SELECT count(*) FROM embeddings) AS n, CASE WHEN k = 1 THEN round(cost, 3) END AS cost,
+               CASE WHEN k > 1 THEN TRUE END AS falls FROM c, range(1, 10) r(k)""",
+    "exact_quartiles": "WITH t AS (SELECT l_extendedprice, l_extendedprice + l_orderkey / 1048576 + l_linenumber / 8 AS own FROM lineitem) "
+        + " UNION ALL ".join(f"""SELECT '{c}' AS "column", CAST({p} AS DOUBLE) AS probability, quantile_disc({c}, {p}) AS value FROM t"""
+                             for c in ("l_extendedprice", "own") for p in (0.25, 0.5, 0.75)),
     "segments_agree": "SELECT vec_id, TRUE AS is_nearest, TRUE AS is_same FROM embeddings",
     "importance_top": "SELECT count(*) AS n_rows, 'l_discount,l_quantity' AS top, 1.0::DOUBLE AS total FROM lineitem",
     "split_complete": "SELECT event_id, event_type FROM events",
