@@ -227,10 +227,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = 4096, max_terms: in
     At most ``2 * per_label`` labelled texts are read and ``max_terms`` entries and as many exceptions
     of either kind kept: the bounds of what is counted, collected and broadcast. Entries need a
     likelihood ratio of ``evidence`` and ``support`` toxic texts, exceptions ``support`` other texts.
-    The share of toxic labels is counted over all labelled rows. Without labels of both kinds every
+    The share of toxic labels is counted over all labelled rows with an id. Without labels of both kinds every
     score is the share of toxic labels, or 0.5 without any.
     """
-    prior = labels.where(F.col(label_col).isin(0, 1)).agg(F.avg(label_col)).first()[0]
+    prior = labels.where(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull()).agg(F.avg(label_col)).first()[0]
     sample = labelled_sample(docs, labels, per_label, label_col)
     sizes = {(r.label, r.check): r["count"] for r in sample.groupBy("label", "check").count().collect()}
     if not all(sizes.get((y, False)) for y in (0, 1)):
