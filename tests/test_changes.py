@@ -309,3 +309,29 @@ def test_commit_records_know_the_operation(spark):
     C.write_version(C.delete_where(rows_((1, 1)), F.col("id") > 5).changes, path, 2, at(3), operation="DELETE")  # a replay
     found = [(r["version"], r["operation"], r["inserted"], r["updated"], r["deleted"], r["source"]) for r in C.commit_history(spark, path).collect()]
     assert found == [(2, "DELETE", 0, 0, 0, None), (1, "MERGE", 1, 0, 0, "batch 7"), (0, "WRITE", 1, 0, 0, None)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_merge_in_one_pass_equals_the_other_way(spark, seed, capsys):
+    """Random targets and sources with NULL keys, unmatched duplicates and every kind of clause."""
+    import random
+    rng = random.Random(seed)
+    key = lambda: rng.choice([None, *range(12)])
+    target = spark.createDataFrame([(key(), key(), rng.choice("xyz")) for _ in range(40)], "a int, b int, v string")
+    pairs = {(key(), key()) for _ in range(30)}
+    source = spark.createDataFrame([(a, b, rng.choice("pqr"), rng.randrange(9)) for a, b in sorted(pairs, key=str)] + [(99, 99, "twice", 1)] * 2,
+                                   "a int, b int, v string, n int")
+    n = F.col("source.n")
+    clauses = [C.Delete((F.col("target.v") == "x") & (n > 5)), C.Update({"v": F.col("source.v")}, n > 2), C.Update(when=n == 0),
+               C.Insert({"a": F.col("source.a"), "v": F.concat("source.v", F.lit("!"))}, n > 3), C.Insert()]
+    for some in (clauses, clauses[:3], clauses[3:]):
+        one, two = (C.merge(target, source, ["a", "b"], some, one_pass=p) for p in (True, False))
+        assert rows(one.rows) == rows(two.rows) and rows(one.changes, *two.changes.columns) == rows(two.changes)
+    one.rows.explain()
+    assert capsys.readouterr().out.count("Scan ExistingRDD") == 2
+
+
+def test_merge_in_one_pass_refuses_two_rows_for_one(spark):
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    with pytest.raises(Exception, match="several source rows"):
+        C.merge(target, target.union(target), ["k"], [C.Update()], one_pass=True).rows.collect()

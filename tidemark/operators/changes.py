@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.scalars import clean_quotes
@@ -103,7 +103,7 @@ def forget(raw: DataFrame, typed: DataFrame, user: str, value, raw_key: str,
 # ---------------------------------------------------------------- merge
 
 def merge(target: DataFrame, source: DataFrame, on: Sequence[str],
-          clauses: Sequence[Update | Delete | Insert], unique_source: bool = False) -> Changed:
+          clauses: Sequence[Update | Delete | Insert], unique_source: bool = False, one_pass: bool = False) -> Changed:
     """Ordered MERGE. Clause columns are written ``F.col("target.x")`` / ``F.col("source.x")``.
 
     The first clause whose condition is true wins; other target rows stay; NULL keys
@@ -112,10 +112,14 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str],
     The source is read three times: pass a table rather than a costly plan.
 
     A left join keeps the target where it is when the source is small (a full outer
-    join cannot be broadcast) and lets adaptive execution split hot target keys.
+    join cannot be broadcast) and lets adaptive execution split hot target keys. With
+    ``one_pass`` either side is read and shuffled once: for a source too large to broadcast,
+    and a target whose keys are nearly unique.
     """
     on = list(on)
     types = {f.name: f.dataType for f in target.schema}
+    if one_pass:
+        return _merge_in_one_pass(target, source, on, clauses, types, unique_source)
     matched = [c for c in clauses if not isinstance(c, Insert)]
     inserts = [c for c in clauses if isinstance(c, Insert)]
     kept, changes = target, []
@@ -129,6 +133,53 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str],
     return Changed(kept, reduce(DataFrame.unionByName, changes))
 
 
+def _merge_in_one_pass(target, source, on, clauses, types, unique_source) -> Changed:
+    """Both sides as structs in one full outer join; a row of either result is unfolded from a joined pair.
+
+    Keys with a NULL match nothing: a row hash as further key spreads them.
+    """
+    matched, inserts = [c for c in clauses if not isinstance(c, Insert)], [c for c in clauses if isinstance(c, Insert)]
+    copies = F.lit(1) if unique_source else F.count("*").over(Window.partitionBy(*on))
+
+    def side(df: DataFrame, name: str, *more: Column) -> DataFrame:
+        no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
+        keys = [F.col(k).alias(f"_{name}{n}") for n, k in enumerate(on)]
+        spread = F.when(no_key, F.xxhash64(*df.columns)).otherwise(F.lit(0)).alias(f"_{name}_spread")
+        return df.select(F.struct(*df.columns).alias(name), *keys, spread, *more)
+
+    names = [*[str(n) for n in range(len(on))], "_spread"]
+    pair = reduce(lambda a, b: a & b, [F.col(f"_target{n}") == F.col(f"_source{n}") for n in names])
+    joined = side(target, "target").join(side(source, "source", copies.alias("_copies")), pair, "full_outer")
+    old, new = F.col("target").isNotNull(), F.col("source").isNotNull()
+    act = F.when(old & new & (F.col("_copies") > 1), F.raise_error(F.lit("merge: several source rows match one target row"))).cast("int")
+    found = F.coalesce(act, F.when(old & new, _first_true(matched)) if matched else F.lit(None).cast("int"))
+    fresh = F.when(~old, _first_true(inserts)) if inserts else F.lit(None).cast("int")
+    planned = joined.withColumn("_act", found).withColumn("_new", fresh)
+    before = [F.col(f"target.{c}").alias(c) for c in types]
+
+    def image(column: str, kinds, number: Column, start: Column) -> Column:
+        value = start
+        for i, clause in reversed(list(enumerate(kinds))):
+            if isinstance(clause, Delete):
+                continue
+            own = clause.values if isinstance(clause, Insert) else clause.set
+            sets = {c: F.col(f"source.{c}") for c in types} if own is None else own
+            if column in sets:
+                value = F.when(number == i, sets[column].cast(types[column])).otherwise(value)
+        return value.cast(types[column]).alias(column)
+
+    after = [image(c, matched, F.col("_act"), F.col(f"target.{c}")) for c in types]
+    added = [image(c, inserts, F.col("_new"), F.lit(None)) for c in types]
+    deletes = [i for i, c in enumerate(matched) if isinstance(c, Delete)]
+    is_delete = _true(F.col("_act").isin(deletes)) if deletes else F.lit(False)
+    row = F.when(old & ~is_delete, F.struct(*after)).when(F.col("_new").isNotNull(), F.struct(*added))
+    rows = planned.select(row.alias("r")).where("r IS NOT NULL").select("r.*")
+    images = (F.when(is_delete, F.array(_change(before, "delete")))
+               .when(F.col("_act").isNotNull(), F.array(_change(before, "update_preimage"), _change(after, "update_postimage")))
+               .when(F.col("_new").isNotNull(), F.array(_change(added, "insert"))))
+    return Changed(rows, planned.select(F.inline(images)))
+
+
 def _first_true(clauses) -> Column:
     """Index of the first clause whose condition holds, NULL if none does."""
     tests = [F.when(F.lit(True) if c.when is None else _true(c.when), F.lit(i))

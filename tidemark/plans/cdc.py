@@ -104,7 +104,7 @@ def cdc_apply_stream(spark, sf_dir):
     return C.as_of(C.read_log(spark, log, clients.schema), ["id"])
 
 
-def merge_clauses(spark, sf_dir):
+def merge_clauses(spark, sf_dir, one_pass=False):
     """Orders merged with the totals of their line items; all clause kinds, conditions in order."""
     orders = table(spark, sf_dir, "orders").filter("o_orderpriority != '5-LOW'").select(
         "o_orderkey", "o_orderstatus", F.round("o_totalprice", 2).alias("o_totalprice"))
@@ -117,7 +117,12 @@ def merge_clauses(spark, sf_dir):
         C.Update({"o_orderstatus": status}, quantity > 60),
         C.Update({"o_totalprice": quantity}, F.col("target.o_orderstatus") == "P"),
         C.Insert({"o_orderkey": F.col("source.o_orderkey"), "o_orderstatus": status, "o_totalprice": quantity},
-                 quantity >= 50)], unique_source=True).rows
+                 quantity >= 50)], unique_source=True, one_pass=one_pass).rows
+
+
+def merge_one_pass(spark, sf_dir):
+    """The same merge with either side shuffled once."""
+    return merge_clauses(spark, sf_dir, one_pass=True)
 
 
 def delete_where(spark, sf_dir):
@@ -217,6 +222,22 @@ def commit_history(spark, sf_dir):
     return C.commit_history(spark, path).withColumn("at", F.col("at").cast("timestamp_ntz"))
 
 
+def clone_version(spark, sf_dir):
+    """The table at version 2, written as a table of its own."""
+    path, = folders(spark, "clone", "clients")
+    C.clone(_log(spark, sf_dir), ["id"], 2, path)
+    return spark.read.parquet(path)
+
+
+def log_of_table(spark, sf_dir):
+    """An existing table turned into a log, with the first wave as its next version: the table at both versions."""
+    clients = _clients(spark, sf_dir)
+    wave = C.apply_cdc(clients, _ops(spark, sf_dir).filter("wave = 1"), "id", _newest(), stage=True).changes
+    log = materialize(C.init_change_log(clients, commit_time(0)).unionByName(C.stamp(wave, 1, commit_time(1))), "log")
+    at = lambda n: C.as_of(log, ["id"], n).withColumn("version", F.lit(n))
+    return at(0).unionByName(at(1))
+
+
 def latest_version(spark, sf_dir):
     return _log(spark, sf_dir).agg(F.max("_commit_version").alias("version"))
 
@@ -255,9 +276,9 @@ def propagate_from_version(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    cdc_latest, cdc_apply, cdc_apply_guarded, cdc_apply_stream, merge_clauses, delete_where, update_where,
+    cdc_latest, cdc_apply, cdc_apply_guarded, cdc_apply_stream, merge_clauses, merge_one_pass, delete_where, update_where,
     update_changes, delete_in, forget_user, change_log, change_feed, change_feed_range, change_feed_time,
-    as_of_version, as_of_time, as_of_now, restore, history, commit_history, latest_version, expire, propagate_gold,
+    as_of_version, as_of_time, as_of_now, restore, history, commit_history, clone_version, log_of_table, latest_version, expire, propagate_gold,
     propagate_stream, propagate_from_version)}
 
 _BASE = """
@@ -283,16 +304,16 @@ applied AS (
   UNION ALL
   SELECT * FROM clients WHERE id NOT IN (SELECT id FROM newest))"""
 _LOG_SQL = _BASE + """,
-steps AS (
+steps AS MATERIALIZED (
   SELECT *, 'INSERT' AS operation, 0 AS v FROM clients
   UNION ALL
   SELECT id, name, address, email, operation_date, operation, v FROM ops
   QUALIFY row_number() OVER (PARTITION BY id, v ORDER BY operation_date DESC, seq DESC) = 1),
-moves AS (
+moves AS MATERIALIZED (
   SELECT *, lag(operation) OVER w AS op0, lag(name) OVER w AS name0, lag(address) OVER w AS address0,
          lag(email) OVER w AS email0, lag(operation_date) OVER w AS date0
   FROM steps WINDOW w AS (PARTITION BY id ORDER BY v)),
-log AS (
+log AS MATERIALIZED (
   SELECT id, name, address, email, operation_date, 'insert' AS _change_type, v FROM moves
   WHERE operation <> 'DELETE' AND coalesce(op0, 'DELETE') = 'DELETE'
   UNION ALL
@@ -392,6 +413,8 @@ ORACLE = {
                [0, first.deleted, 0, 0, 0, n][v + 1] AS deleted,
                ['customer', 'wave 1', 'customer', 'customer', NULL, NULL][v + 1] AS source
         FROM first, added, range(0, 6) r(v)""",
+    "clone_version": _LOG_SQL + _as_of(2),
+    "log_of_table": _LOG_SQL + f"SELECT *, 0 AS version FROM ({_as_of(0)}) UNION ALL SELECT *, 1 FROM ({_as_of(1)})",
     "latest_version": _LOG_SQL + "SELECT CAST(max(v) AS BIGINT) AS version FROM log",
     "expire": _LOG_SQL + f""", base AS ({_as_of(2)})
         SELECT *, 'insert' AS _change_type, CAST(2 AS BIGINT) AS _commit_version,
@@ -407,3 +430,4 @@ ORACLE = {
         FROM (SELECT * FROM log WHERE v <> 1 AND _change_type <> 'update_preimage'
               QUALIFY row_number() OVER (PARTITION BY id ORDER BY v DESC) = 1) WHERE _change_type <> 'delete'""",
 }
+ORACLE["merge_one_pass"] = ORACLE["merge_clauses"]
