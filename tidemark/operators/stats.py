@@ -1,4 +1,4 @@
-"""Data profiling in one pass each. Results are small and in long form."""
+"""Data profiling. Results are small and in long form."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.operators.quantiles import exact_quantiles
+
 
 def _long(wide: DataFrame, rows: Sequence[Sequence[tuple[str, Column]]]) -> DataFrame:
     """Unfold a one-row aggregate: each entry of ``rows`` is one output row."""
@@ -19,15 +21,19 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
 
 
 def summary_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, stddev, min, quartiles (approximate) and max per column."""
+    """count, mean, stddev, min, exact quartiles and max per column.
+
+    The quartiles take some more passes over the rows, see ``exact_quantiles``.
+    """
     aggs = []
     for c in columns:
         aggs += [F.count(c).alias(f"{c}_n"), F.avg(c).alias(f"{c}_mean"), F.stddev_samp(c).alias(f"{c}_sd"),
-                 F.min(c).cast("double").alias(f"{c}_min"), F.max(c).cast("double").alias(f"{c}_max"),
-                 F.percentile_approx(c, [0.25, 0.5, 0.75], 1_000_000).alias(f"{c}_q")]
+                 F.min(c).cast("double").alias(f"{c}_min"), F.max(c).cast("double").alias(f"{c}_max")]
+    quartiles = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    at = {(r["column"], r["probability"]): r["value"] for r in exact_quantiles(df, columns, list(quartiles.values())).collect()}
     rows = [[("column", F.lit(c)), ("count", F.col(f"{c}_n")), ("mean", F.col(f"{c}_mean")),
              ("stddev", F.col(f"{c}_sd")), ("min", F.col(f"{c}_min")),
-             *[(name, F.col(f"{c}_q")[i].cast("double")) for i, name in enumerate(("p25", "p50", "p75"))],
+             *[(name, F.lit(at[c, p]).cast("double")) for name, p in quartiles.items()],
              ("max", F.col(f"{c}_max"))] for c in columns]
     return _long(df.agg(*aggs), rows)
 
