@@ -53,11 +53,11 @@ def test_runs_table_has_a_map(spark):
 def test_schema_is_inferred_once_and_hints_win(spark):
     source, kept = folders(spark, "infer", "in", "schema")
     lines(spark, PLAIN).write.text(source)
-    schema = S.infer_and_store_schema(spark, source, kept, hints=HINTS)
+    schema = V.infer_and_store(spark, source, kept, hints=HINTS)
     assert schema["depth"].dataType == T.DoubleType() and schema["seen"].dataType == T.TimestampType()
     assert schema["tide"].dataType["metres"].dataType == T.FloatType()
     lines(spark, EXTRA).write.mode("append").text(source)
-    assert S.infer_and_store_schema(spark, source, kept, hints=HINTS) == schema
+    assert V.infer_and_store(spark, source, kept, hints=HINTS) == schema
     S.store_schema(spark, kept, S.apply_schema_hints(schema, "more STRING"))
     assert "more" in S.stored_schema(spark, kept).names
 

@@ -6,6 +6,8 @@ that is no number, and readings of type ``signup`` a field that appears later.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -125,6 +127,47 @@ def append_checked(spark, sf_dir):
 CHECKS = {"discount below 8 %": "l_discount < 0.08", "tax known if open": "l_linestatus = 'F' OR l_tax > 0"}
 
 
+def file_formats(spark, sf_dir):
+    """Customers written and read back as CSV, JSON, text and Parquet, typed alike."""
+    ddl = "c_custkey long, c_name string, c_acctbal double"
+    csv, json, text, parquet = folders(spark, "formats", "csv", "json", "text", "parquet")
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.concat_ws(',"', "c_name", "c_mktsegment").alias("c_name"), "c_acctbal")
+    rows.write.option("escape", '"').csv(csv)
+    rows.write.json(json)
+    rows.select(F.to_json(F.struct("*"))).write.text(text)
+    files.write_parquet(rows, parquet)
+    lines = files.read_text(spark, text).select(F.from_json("value", ddl).alias("r")).select("r.*")
+    found = {"csv": files.read_csv(spark, csv, ddl, escape='"'), "json": files.read_json(spark, json, ddl), "text": lines,
+             "parquet": files.read_parquet(spark, parquet)}
+    return reduce(DataFrame.unionByName, [df.withColumn("format", F.lit(name)) for name, df in found.items()])
+
+
+def positional_insert(spark, sf_dir):
+    """Literal rows by position, cast to the table's types."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    return quality.insert_rows(parts, [("-1", "rope", "12"), ("-2", "sail", "40")])
+
+
+def named_tables(spark, sf_dir):
+    """Files registered as a table of a database, a view on it, a table made from the view; the names are gone afterwards."""
+    own = spark.newSession()
+    place, path, result = folders(spark, "shop", "database", "orders", "result")
+    files.write_parquet(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority"), path)
+    shop = f"shop_{path.split('-')[-1][:12].replace('/', '_')}"
+    tables.use_database(own, shop, place)
+    try:
+        orders = tables.create_table(own, "orders_raw", path)
+        tables.as_view(orders.filter("o_orderstatus != 'F'"), "open_orders")
+        counts = own.sql("SELECT o_orderpriority, count(*) AS n FROM open_orders GROUP BY o_orderpriority")
+        tables.create_table_as(counts, "per_priority").write.parquet(result)
+        tables.reset_tables(own, ["orders_raw", "per_priority"])
+        if own.catalog.listTables(shop) and any(not t.isTemporary for t in own.catalog.listTables(shop)):
+            raise RuntimeError("tables are left after the reset")
+    finally:
+        own.sql(f"DROP DATABASE IF EXISTS `{shop}` CASCADE")
+    return spark.read.parquet(result).withColumn("raw_rows", F.lit(spark.read.parquet(path).count()))
+
+
 def quarantine(spark, sf_dir):
     """Rows per broken constraint, and the clean ones."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_discount", "l_tax", "l_linestatus")
@@ -212,6 +255,31 @@ def compact(spark, sf_dir):
     return spark.read.parquet(large)
 
 
+def compact_files(spark, sf_dir):
+    """Files and rows before and after compaction."""
+    small, large = folders(spark, "compact", "small", "large")
+    table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus").repartition(64).write.parquet(small)
+    layout.write_compacted(spark.read.parquet(small), large)
+    before, after = (layout.table_detail(spark.read.parquet(p)) for p in (small, large))
+    return before.select(F.col("n_files").alias("before"), F.col("n_rows").alias("rows_before")).crossJoin(
+        after.select((F.col("n_files") < 16).alias("is_few"), F.col("n_rows").alias("rows_after")))
+
+
+def zorder_spread(spark, sf_dir):
+    """Rows of sixteen clustered files, and whether a file spans less than two thirds of either column on average.
+
+    A file of rows in no order spans nearly all of both.
+    """
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.datediff("o_orderdate", F.lit("1992-01-01")).alias("day"), "o_totalprice")
+    path, = folders(spark, "zorder", "out")
+    layout.zorder(orders, ["day", "o_totalprice"], files=16).write.parquet(path)
+    files_ = spark.read.parquet(path).groupBy(F.col("_metadata.file_path")).agg(
+        F.count("*").alias("n"), *[(F.max(c) - F.min(c)).alias(c) for c in ("day", "o_totalprice")])
+    whole = orders.agg(*[(F.max(c) - F.min(c)).alias(f"all_{c}") for c in ("day", "o_totalprice")])
+    return files_.crossJoin(whole).agg(F.sum("n").alias("n"), *[(F.avg(F.col(c) / F.col(f"all_{c}")) < 2 / 3).alias(f"{name}_is_narrow")
+                                                                for c, name in (("day", "day"), ("o_totalprice", "price"))])
+
+
 def zorder(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
     return layout.zorder(orders, ["o_orderpriority", "o_orderdate"])
@@ -219,8 +287,8 @@ def zorder(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     decoded, parse_rescue, parse_rescue_variant, inferred_fields, unknown_fields, evolved_stream, copy_into, pending_rows, source_lineage, append_evolved,
-    append_checked, quarantine, enforced, enrich_left, enrich_salted, layered_stream, table_stream, publish_latest,
-    table_detail, compact, zorder)}
+    append_checked, file_formats, positional_insert, named_tables, quarantine, enforced, enrich_left, enrich_salted, layered_stream, table_stream, publish_latest,
+    table_detail, compact, compact_files, zorder, zorder_spread)}
 
 _RESCUED = """CASE WHEN event_type = 'error' THEN '{"value":"bad"}' END AS _incorrect_data"""
 _K = "CAST(json_extract(props, '$.k') AS INTEGER) AS k"
@@ -259,5 +327,13 @@ ORACLE = {
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "table_detail": "SELECT CAST(1 AS BIGINT) AS n_files, count(*) AS n_rows, TRUE AS has_bytes FROM orders",
     "compact": "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders",
+    "file_formats": """SELECT c_custkey, c_name || ',"' || c_mktsegment AS c_name, c_acctbal, unnest(['csv', 'json', 'text', 'parquet']) AS format
+        FROM customer""",
+    "positional_insert": """SELECT p_partkey, p_name, p_size FROM part
+        UNION ALL SELECT * FROM (VALUES (-1, 'rope', 12), (-2, 'sail', 40))""",
+    "named_tables": """SELECT o_orderpriority, count(*) AS n, (SELECT CAST(count(*) AS INTEGER) FROM orders) AS raw_rows
+        FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1""",
+    "compact_files": "SELECT 64::BIGINT AS before, count(*) AS rows_before, TRUE AS is_few, count(*) AS rows_after FROM orders",
+    "zorder_spread": "SELECT count(*) AS n, TRUE AS day_is_narrow, TRUE AS price_is_narrow FROM orders",
     "zorder": "SELECT o_orderkey, o_orderstatus, o_orderpriority, o_orderdate FROM orders",
 }

@@ -31,19 +31,6 @@ def store_schema(spark: SparkSession, schema_dir: str, schema: T.StructType) ->
      .write.mode("overwrite").text(f"{schema_dir}/version={version}"))
 
 
-def infer_and_store_schema(spark: SparkSession, path: str, schema_dir: str, sample_files: int = 10,
-                           hints: str | None = None) -> T.StructType:
-    """Schema of JSON files, inferred from a few of them once and kept for later runs."""
-    schema = stored_schema(spark, schema_dir)
-    if schema is None:
-        files = (spark.read.format("binaryFile").load(path).select("path")
-                      .orderBy("path").limit(sample_files).collect())
-        schema = spark.read.json([f["path"] for f in files]).schema
-        schema = apply_schema_hints(schema, hints) if hints else schema
-        store_schema(spark, schema_dir, schema)
-    return schema
-
-
 def apply_schema_hints(schema: T.StructType, hints: str | T.StructType) -> T.StructType:
     """Hinted types replace inferred ones; hinted fields that are missing are added."""
     wanted = hints if isinstance(hints, T.StructType) else T.StructType.fromDDL(hints)

@@ -7,9 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.session import scratch_dir
-from tidemark.sources.schema import (apply_schema_hints, infer_and_store_schema, merge_schemas,
-                                     parse_with_rescue, store_schema, stored_schema, unknown_fields)
+from tidemark.sources.schema import (apply_schema_hints, merge_schemas, parse_with_rescue, store_schema,
+                                     stored_schema, unknown_fields)
+from tidemark.sources.variants import infer_and_store, schema_of_lines
 from tidemark.streaming.sinks import sink_batches
 
 UNKNOWN = "unknown fields in the stream"
@@ -24,23 +24,21 @@ def _is_odd(schema: T.StructType) -> Column:
 
 
 def start_json_stream(spark: SparkSession, source: str, target: str, schema_dir: str, checkpoint: str,
-                      hints: str | None = None, rescue: str = "_incorrect_data", sample_files: int = 10,
+                      hints: str | None = None, rescue: str = "_incorrect_data",
                       max_files: int | None = None) -> StreamingQuery:
-    """Parse JSON lines with the stored schema; misfits go to ``rescue``.
+    """Parse JSON lines with the stored schema, at first that of all lines there are; misfits go to ``rescue``.
 
     A batch with unknown fields fails its write, stores the wider schema and stops the query.
     A batch writes its own folder, so a replay replaces it.
     """
-    schema = infer_and_store_schema(spark, source, schema_dir, sample_files, hints)
+    schema = infer_and_store(spark, source, schema_dir, hints)
     reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def widen(batch: DataFrame) -> None:
         """Infer the odd lines' fields on the cluster; only the merged schema comes back."""
-        path = scratch_dir(batch.sparkSession, "unknown-fields")
-        batch.filter(_is_odd(schema)).select("value").write.text(path)
-        wider = merge_schemas(schema, batch.sparkSession.read.json(path).schema)
+        wider = merge_schemas(schema, schema_of_lines(batch.filter(_is_odd(schema))))
         store_schema(batch.sparkSession, schema_dir, apply_schema_hints(wider, hints) if hints else wider)
 
     def write(batch: DataFrame, batch_id: int) -> None:
