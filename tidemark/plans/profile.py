@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.operators import attribution, elbow, features as FT, history as HT, metrics, models, quantiles, runs, sampling, stats
 from tidemark.operators.latest import dedupe
 from tidemark.plans.common import folders, table
+from tidemark.sources import files
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 DIMS = 64
@@ -294,6 +295,22 @@ def gbt_status_rule(spark, sf_dir):
     return some.unionByName(_status_rule(spark, sf_dir, F.col("l_linenumber") >= 2).withColumn("damaged_are", F.lit("most")))
 
 
+def gbt_saved_lookup(spark, sf_dir):
+    """A saved and loaded classifier scores events whose features are looked up by key; the scores are appended to a table."""
+    hours = table(spark, sf_dir, "events").select("event_id", F.hour("ts").alias("hour"), F.length("event_type").alias("letters"))
+    labelled = hours.withColumn("status", F.when(F.col("hour") >= 12, "damaged").otherwise("healthy"))
+    features = ["hour", "letters"]
+    model = models.train(models.damage_classifier(features, "status", depths=(2,)), labelled, [*features, "status"])
+    saved, out = folders(spark, "scorer", "model", "scored")
+    models.save_model(model, saved)
+    loaded = models.load_model(saved)
+    early, late = hours.filter("event_id % 2 = 0"), hours.filter("event_id % 2 = 1")
+    models.score_and_write(loaded, early, ["event_id"], out)
+    looked_up = models.score_batch(loaded, late.select("event_id"), [FT.Lookup(hours, "event_id", features)], ["event_id"], "damaged")
+    models.with_status(looked_up).write.mode("append").parquet(out)
+    return spark.read.parquet(out).select("event_id", "status")
+
+
 def feature_importance(spark, sf_dir):
     return models.feature_importance(_fitted(spark, sf_dir), SENSORS)
 
@@ -365,6 +382,13 @@ def leaderboard(spark, sf_dir):
     return runs.leaderboard(_runs(spark, sf_dir))
 
 
+def runs_stored(spark, sf_dir):
+    """The board of runs that are kept as a table with a map of metrics."""
+    path, = folders(spark, "runs", "runs")
+    _runs(spark, sf_dir).write.parquet(path)
+    return runs.leaderboard(files.read_runs(spark, path))
+
+
 def best_run(spark, sf_dir):
     return runs.best_run(_runs(spark, sf_dir)).select("run_id", "artifact_uri")
 
@@ -373,9 +397,9 @@ QUERIES = {f.__name__: f for f in (
     class_balance, summary_stats, missing_counts, drop_null_columns, corr_matrix, class_weights, deduplicated,
     minmax_scaled, cluster_profile, kmeans_elbow, kmeans_costs, exact_quartiles, segments, segments_udf, segments_agree, time_features, training_set, merge_features,
     training_set_as_of, features_as_of, features_first, feature_versions_as_of,
-    ml_ready, confusion, label_metrics, auc, f1_rounded, mean_abs, gbt_score, gbt_predictions, gbt_status_rule, feature_importance, importance_top,
+    ml_ready, confusion, label_metrics, auc, f1_rounded, mean_abs, gbt_score, gbt_predictions, gbt_status_rule, gbt_saved_lookup, feature_importance, importance_top,
     shapley, shapley_additivity, shapley_top, parameter_search, split_counts, split_complete,
-    leaderboard, best_run)}
+    leaderboard, runs_stored, best_run)}
 
 _CORR = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM lineitem"
                            for a in MEASURES for b in MEASURES)
@@ -482,6 +506,8 @@ ORACLE = {
         UNION ALL SELECT round(avg(abs(l_discount - 0.05)), 5), 'l_discount' FROM lineitem
         UNION ALL SELECT round(avg(abs(l_linenumber - 4.0::DOUBLE)), 5), 'l_linenumber' FROM lineitem)
         ORDER BY 1 DESC LIMIT 2""",
+    "gbt_saved_lookup": "SELECT event_id, CASE WHEN hour(ts) >= 12 THEN 'damaged' ELSE 'healthy' END AS status FROM events",
+    "runs_stored": _RUNS + "SELECT experiment_id, run_id, auc, f1 AS F1, artifact_uri FROM r",
     "leaderboard": _RUNS + "SELECT experiment_id, run_id, auc, f1 AS F1, artifact_uri FROM r",
     "best_run": _RUNS + "SELECT run_id, artifact_uri FROM r WHERE f1 > 0 ORDER BY f1 DESC, run_id LIMIT 1",
 }
