@@ -179,11 +179,14 @@ sessions AS (
          count(*) FILTER (WHERE event_type = 'purchase') AS purchases
   FROM numbered GROUP BY user_id, session_no)
 """
-_CUT = "[" + ", ".join(f"TIMESTAMP '{d}'" for d in DELIVERIES) + "]"
-# Sessions as they were after each delivery, with the delivery that touched them last.
-_DELIVERED = f"""
-WITH parts AS (SELECT user_id, ts, 1 + len(list_filter({_CUT}, lambda c: ts >= c)) AS part FROM events),
-steps AS (SELECT unnest(range(1, {len(DELIVERIES) + 2})) AS delivery),
+
+
+def _delivered(cuts: list[str]) -> str:
+    """Sessions as they were after each of the deliveries that end at the cuts, with the delivery that touched them last."""
+    ends = ", ".join(f"TIMESTAMP '{c}'" for c in cuts)
+    return f"""
+WITH parts AS (SELECT user_id, ts, 1 + len(list_filter([{ends}], lambda c: ts >= c)) AS part FROM events),
+steps AS (SELECT unnest(range(1, {len(cuts) + 2})) AS delivery),
 marked AS (
   SELECT delivery, user_id, ts, part,
          CASE WHEN ts > lag(ts) OVER (PARTITION BY delivery, user_id ORDER BY ts) + INTERVAL 6 HOUR THEN 1 ELSE 0 END AS n
@@ -195,6 +198,9 @@ spans AS (
   SELECT delivery, user_id, min(ts) AS start, max(ts) AS "end", count(*) AS clicks, max(part) AS touched
   FROM numbered GROUP BY delivery, user_id, session_no)
 """
+
+
+_DELIVERED = _delivered(DELIVERIES)
 _CLOSED = '"end" + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR'
 _TOP = "SELECT user_id, count(*) AS count FROM events GROUP BY user_id ORDER BY 2 DESC, 1 LIMIT 10"
 
@@ -221,6 +227,10 @@ ORACLE = {
                count(*) AS sessions, count(*) FILTER (WHERE purchases = 0) AS abandoned
         FROM sessions GROUP BY 1, 2) WHERE "end" <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
     "top_users_bounded": f"SELECT *, TRUE AS complete FROM ({_TOP})",
+    "session_status_stream": _delivered([SPLIT]) + """SELECT user_id, 'online' AS status, start, "end", clicks
+        FROM spans WHERE touched = delivery
+        UNION ALL SELECT user_id, 'offline', start, "end", clicks FROM spans JOIN clock USING (delivery)
+        WHERE delivery = 2 AND "end" + INTERVAL 6 HOUR <= watermark""",
     "session_online_stream": _DELIVERED + """SELECT user_id, 'online' AS status, start, "end", clicks
         FROM spans WHERE touched = delivery""",
     "session_closed_stream": _SESSIONS + f"""SELECT user_id, 'offline' AS status, start, "end", clicks
