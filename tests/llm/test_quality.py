@@ -39,6 +39,16 @@ def test_votes_equal_brute_force():
         assert abs(s - (good + 0.6) / (good + bad + 1)) < 1e-3
 
 
+def test_leading_directions_are_those_of_the_full_problem():
+    rng = np.random.default_rng(2)
+    x = (rng.normal(size=(400, 120)) * np.geomspace(5, 0.05, 120)).astype(np.float32)
+    square = x.T @ x
+    value, vector = np.linalg.eigh(square.astype(float))
+    found = quality.leading_directions(square, 10)
+    assert np.allclose(np.abs((found * vector[:, ::-1][:, :10]).sum(axis=0)), 1, atol=1e-3)
+    assert np.isfinite(quality.leading_directions(np.zeros((30, 30), np.float32), 5)).all()
+
+
 def test_term_counts_of_single_texts_and_of_batches_agree():
     texts = ["a b a b", "", None, "é" * 5, "x", " \n ", "line\nline\nline", "w" * 500 + " " + "w" * 500]
     together = quality.term_counts(*text_bytes(pa.array(texts)))

@@ -73,17 +73,35 @@ def term_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def leading_directions(square: np.ndarray, rank: int, extra: int = 16, rounds: int = 60) -> np.ndarray:
+    """The ``rank`` leading eigenvectors of a symmetric matrix without negative eigenvalues.
+
+    Block subspace iteration from a fixed start, then a small eigenproblem inside the subspace:
+    a full one would take several more matrices of memory on the driver.
+    """
+    width = min(len(square), rank + extra)
+    basis = np.linalg.qr(np.random.default_rng(0).normal(size=(len(square), width)).astype(square.dtype))[0]
+    for _ in range(rounds):
+        basis = np.linalg.qr(square @ basis)[0]
+    _, inner = np.linalg.eigh((basis.T @ (square @ basis)).astype(float))
+    return np.ascontiguousarray((basis @ inner)[:, ::-1][:, :rank], np.float32)
+
+
 class LatentVotes:
     """Term weights, the latent projection and the labelled vectors."""
 
     def __init__(self, counts: np.ndarray, labels: np.ndarray, prior: float, rank: int, neighbours: int, sharpness: float):
-        used = (counts[:, :SHAPES] > 0).mean(axis=0)
+        # In slices, so that the driver holds one copy of the sample besides the square matrix.
+        parts = [counts[at: at + 512] for at in range(0, len(counts), 512)]
+        used = sum((p[:, :SHAPES] > 0).sum(axis=0) for p in parts) / len(counts)
         self.weight = np.where(used > 0, np.log1p(1 / np.maximum(used, 1e-9)), 0).astype(np.float32)
         self.neighbours, self.sharpness = min(neighbours, len(labels)), sharpness
-        x = self.weighted(counts)
-        value, vector = np.linalg.eigh(x.T @ x)
-        self.projection = vector[:, ::-1][:, :rank].astype(np.float32)
-        self.vectors = self.latent(counts)
+        square = np.zeros((TERMS, TERMS), np.float32)
+        for part in parts:
+            x = self.weighted(part)
+            square += x.T @ x
+        self.projection = leading_directions(square, rank)
+        self.vectors = np.concatenate([self.latent(p) for p in parts])
         share = labels.mean()
         # The sample has as many rows of either label; votes count as in the whole labelled table.
         self.good = labels * (prior / share if share else 1)
@@ -131,8 +149,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int, label_co
     text = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     kind = text.schema["doc_id"].dataType.simpleString()
     table = text.mapInArrow(run, f"doc_id {kind}, label int, counts binary").orderBy("doc_id").toArrow()
-    counts = np.frombuffer(b"".join(table["counts"].to_pylist()), np.float32).reshape(-1, TERMS)
-    return counts, table["label"].to_numpy().astype(float)
+    marks = table["label"].to_numpy().astype(float)
+    counts = np.empty((len(marks), TERMS), np.float32)
+    for n, row in enumerate(table["counts"]):
+        counts[n] = np.frombuffer(row.as_buffer(), np.float32)
+    return counts, marks
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_label: int = 2048, rank: int = 48, neighbours: int = 25,
