@@ -69,3 +69,30 @@ def test_run_is_registered(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_queries_equal_sql(spark, name):
     assert compare(spark, connect(SF), queries.QUERIES[name], queries.ORACLE[name], SF) == []
+
+
+def run_stages(spark, docs):
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = materialize(stage(spark, docs, SF), f"odd-{name}")
+        assert out.columns == docs.columns
+        docs = out
+    return docs, materialize(corpus_pipeline.mix_sources(spark, docs, SF), "odd-mix")
+
+
+def test_odd_rows_pass_all_stages(spark):
+    """Null ids, texts and sources, repeated rows, a very long text, and columns named as the stages' own."""
+    good = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(40).collect()]
+    rows = [(i, t, "en", f"s{i % 3}", len(t or ""), i, "k", 7.0) for i, t in enumerate(good)]
+    rows += [(None, good[0] + " more words", None, None, None, None, None, None), (None, None, "en", "s0", None, 1, "k", 0.0), (900, "", "en", "s0", 0, 1, "k", 0.0)]
+    rows += [rows[3]] * 3 + [(901, " ".join(good) * 20, "en", "s1", None, 1, "k", 0.0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, epoch long, key string, score double")
+    kept, mixed = run_stages(spark, docs)
+    ids = [r.doc_id for r in kept.collect()]
+    assert len(ids) == len(set(ids)) <= 43 and {"epoch", "size", "target"} <= set(mixed.columns)
+    assert {r.doc_id for r in mixed.collect()} <= set(ids)
+
+
+def test_an_empty_table_passes_all_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    kept, mixed = run_stages(spark, docs)
+    assert kept.count() == mixed.count() == 0
