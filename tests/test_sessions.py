@@ -208,3 +208,11 @@ def test_heavy_hitters_stay_small_and_bound_their_error(spark):
     even = spark.createDataFrame([("a",)] * 5 + [(f"b{n}",) for n in range(20)] * 4, "k string")
     few = heavy.fold(heavy.read_summary(spark, path, 0).limit(0), even.groupBy("k").count(), "k", 3)
     assert [(r["k"], r["count"], r["complete"]) for r in heavy.verified_top(even, few, "k", 3).collect()] == [("a", 5, False)]
+
+
+def test_top_users_beyond_the_summary_are_counted(spark):
+    from tidemark.streaming import heavy
+    even = spark.createDataFrame([("a",)] * 5 + [(f"b{n}",) for n in range(20)] * 4 + [(None,)] * 9, "k string")
+    none = spark.createDataFrame([], "k string, count long, error long")
+    few = heavy.fold(none, even.groupBy("k").count(), "k", 3)
+    assert [tuple(r) for r in heavy.exact_top(even, few, "k", 3).collect()] == [("a", 5, True), ("b0", 4, True), ("b1", 4, True)]

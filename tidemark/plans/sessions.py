@@ -140,7 +140,7 @@ def top_users_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     events.repartition(3).write.parquet(source)
     stream = stream_files(own, source, "parquet", events.schema, max_files=1)
     heavy.heavy_stream(stream, "user_id", out, checkpoint, available_now=True).awaitTermination()
-    return heavy.verified_top(events, heavy.read_summary(spark, out), "user_id")
+    return heavy.exact_top(events, heavy.read_summary(spark, out), "user_id")
 
 
 def traffic_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.session import materialize
 from tidemark.streaming.sinks import sink_batches
 
 
@@ -64,3 +65,15 @@ def verified_top(table: DataFrame, summary: DataFrame, key: str, n: int = 10) ->
     top = counts.orderBy(F.desc("count"), F.asc(key)).limit(n)
     least = top.agg(F.when(F.count("*") == n, F.min("count")).otherwise(F.lit(0)).alias("least"))
     return top.crossJoin(F.broadcast(least)).select(key, "count", ((F.col("least") > error) | (error == 0)).alias("complete"))
+
+
+def exact_top(table: DataFrame, summary: DataFrame, key: str, n: int = 10) -> DataFrame:
+    """``verified_top`` where the summary is certain of it; otherwise the ``n`` best of all keys, counted in the table.
+
+    Many keys that are nearly as frequent outgrow any summary of fixed size: then every key is counted.
+    """
+    top = materialize(verified_top(table, summary, key, n), "top")
+    if top.where("complete").limit(1).count():
+        return top
+    counts = table.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("count"))
+    return counts.orderBy(F.desc("count"), F.asc(key)).limit(n).withColumn("complete", F.lit(True))
