@@ -216,3 +216,32 @@ def test_top_users_beyond_the_summary_are_counted(spark):
     none = spark.createDataFrame([], "k string, count long, error long")
     few = heavy.fold(none, even.groupBy("k").count(), "k", 3)
     assert [tuple(r) for r in heavy.exact_top(even, few, "k", 3).collect()] == [("a", 5, True), ("b0", 4, True), ("b1", 4, True)]
+
+
+def test_users_share_states_and_fold_as_alone(spark):
+    """Spans of many users folded at once are those folded user by user; a batch keeps one state per bucket, not per user."""
+    import pandas as pd
+    from tidemark.streaming import session_state as state
+    rng = random.Random(7)
+    draw = lambda n: [(rng.randrange(40), s, s + rng.randrange(30), 1 + rng.randrange(3)) for s in (rng.randrange(2000) for _ in range(n))]
+    old, new = draw(200), draw(300)
+    alone = lambda rows, u: [r[1:] for r in rows if r[0] == u]
+    frame = lambda rows: pd.DataFrame(rows, columns=["user", "start_us", "end_us", "clicks"])
+    before = stream.merged_spans(None, frame(old), 20).assign(touched=False)
+    after = stream.merged_spans(before, frame(new), 20)
+    for u in range(40):
+        was = stream.fold_sessions([], alone(old, u), 20)
+        now = stream.fold_sessions(was, alone(new, u), 20)
+        mine = after[after["user"] == u]
+        assert list(zip(mine["start_us"], mine["end_us"], mine["clicks"])) == now
+        assert mine["touched"].tolist() == [s not in was for s in now]
+    own = spark.newSession()
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    own.conf.set("spark.sql.shuffle.partitions", "3")
+    source, out, checkpoint = folders(spark, "shared", "in", "out", "checkpoint")
+    clicks(spark, [(f"u{n}", n % 50) for n in range(3000)]).write.parquet(source)
+    df = stream_table(own, source, "user string, ts timestamp_ntz").withColumn("ts", F.col("ts").cast("timestamp"))
+    sinks.sink_append(state.session_updates(df, "user", "ts", 45, "200 seconds"), out, checkpoint, available_now=True).awaitTermination()
+    kept = own.read.format("statestore").option("path", checkpoint).option("stateVarName", state.SPANS).load()
+    assert kept.select("key").distinct().count() <= stream.BUCKETS
+    assert state.open_spans(own, checkpoint, "user").count() == 3000

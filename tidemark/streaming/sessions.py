@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -79,42 +80,69 @@ def folded_clicks(df: DataFrame, user: str, ts: str, gap_us: int, delay: str, us
               .withWatermark("seen", delay))
 
 
+#: Users share a state by hash, so that a batch starts Python once per bucket and not once per user.
+BUCKETS = 1024
+
+
+def bucketed(spans: DataFrame) -> DataFrame:
+    """``folded_clicks`` with the bucket of the user."""
+    return spans.withColumn("bucket", F.pmod(F.xxhash64("user"), F.lit(BUCKETS)).cast("int"))
+
+
+def merged_spans(open_: pd.DataFrame | None, new: pd.DataFrame, gap: int) -> pd.DataFrame:
+    """``fold_sessions`` for many users at once: ``user, start_us, end_us, clicks`` and whether ``new`` touched the span."""
+    both = new[["user", "start_us", "end_us", "clicks"]].assign(touched=True)
+    if open_ is not None and len(open_):
+        both = pd.concat([open_, both], ignore_index=True)
+    code = pd.factorize(both["user"])[0]
+    order = np.lexsort((both["start_us"].to_numpy(), code))
+    both, code = both.iloc[order], code[order]
+    reach = both["end_us"].groupby(code).cummax().to_numpy()
+    start = both["start_us"].to_numpy()
+    opens = np.ones(len(both), bool)
+    opens[1:] = (code[1:] != code[:-1]) | (start[1:] > reach[:-1] + gap)
+    at = np.flatnonzero(opens)
+    out = both.iloc[at].reset_index(drop=True)
+    out["end_us"] = np.maximum.reduceat(both["end_us"].to_numpy(), at)
+    out["clicks"] = np.add.reduceat(both["clicks"].to_numpy(), at)
+    out["touched"] = np.logical_or.reduceat(both["touched"].to_numpy(), at)
+    return out
+
+
 def session_status(df: DataFrame, user: str, ts: str, gap_seconds: int, delay: str,
                    user_type: str = "string") -> DataFrame:
     """An ``online`` row for every session a batch touches and one ``offline`` row at its end.
 
-    A user's state holds the spans the watermark has not closed, so clicks out of
-    order still land in the right session; a span is dropped once it is offline.
+    The state of a bucket of users holds the spans the watermark has not closed, so clicks out
+    of order still land in the right session; a span is dropped once it is offline.
     Clicks are folded per Arrow batch before the shuffle, so a hot user ships
     spans, not clicks.
     """
     gap = gap_seconds * 1_000_000
-    spans = folded_clicks(df, user, ts, gap, delay, user_type)
+    columns = ["user", "start_us", "end_us", "clicks"]
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        open_ = [tuple(s) for s in zip(*state.get)] if state.exists else []
-        before = set(open_)
+        spans = pd.DataFrame(dict(zip(columns, state.get))).assign(touched=False) if state.exists else None
         if not state.hasTimedOut:
             for pdf in batches:
-                open_ = fold_sessions(open_, list(zip(pdf["start_us"].tolist(), pdf["end_us"].tolist(),
-                                                      pdf["clicks"].tolist())), gap)
+                spans = merged_spans(spans, pdf, gap) if len(pdf) else spans
+        if spans is None:
+            return
         watermark = state.getCurrentWatermarkMs() * 1000
-        ended = [s for s in open_ if s[1] + gap <= watermark]
-        still = [s for s in open_ if s[1] + gap > watermark]
-        if still:
-            state.update(tuple([s[i] for s in still] for i in range(3)))
+        ended = spans["end_us"] + gap <= watermark
+        still = spans[~ended]
+        if len(still):
+            state.update(tuple(still[c].tolist() for c in columns))
             # Timeouts have millisecond grain: round up, never fire early.
-            wake = min(-(-(s[1] + gap) // 1000) for s in still)
+            wake = -(-(int(still["end_us"].min()) + gap) // 1000)
             state.setTimeoutTimestamp(max(wake, state.getCurrentWatermarkMs() + 1))
         elif state.exists:
             state.remove()
-        out = [("online", s) for s in still if s not in before] + [("offline", s) for s in ended]
-        yield pd.DataFrame({"user": [key[0]] * len(out), "status": [o[0] for o in out],
-                            "start_us": [o[1][0] for o in out], "end_us": [o[1][1] for o in out],
-                            "clicks": [o[1][2] for o in out]})
+        yield pd.concat([still[still["touched"]].assign(status="online"), spans[ended].assign(status="offline")])[
+            ["user", "status", "start_us", "end_us", "clicks"]]
 
-    status = spans.groupBy("user").applyInPandasWithState(
+    status = bucketed(folded_clicks(df, user, ts, gap, delay, user_type)).groupBy("bucket").applyInPandasWithState(
         update, f"user {user_type}, status string, start_us long, end_us long, clicks long",
-        "starts array<long>, ends array<long>, clicks array<long>", "append", GroupStateTimeout.EventTimeTimeout)
+        f"users array<{user_type}>, starts array<long>, ends array<long>, clicks array<long>", "append", GroupStateTimeout.EventTimeTimeout)
     return status.select(F.col("user").alias(user), "status", F.timestamp_micros("start_us").alias("start"),
                          F.timestamp_micros("end_us").alias("end"), "clicks")
