@@ -444,3 +444,20 @@ def test_exact_quantiles_equal_sorting(spark, bins):
 def test_exact_quantiles_beyond_a_million_values(spark):
     df = spark.range(3_000_000).select((F.col("id") * 7919 % 3_000_000).alias("v"))
     assert [r["value"] for r in quantiles.exact_quantiles(df, ["v"], [0.25, 0.5, 0.75]).collect()] == [749_999, 1_499_999, 2_249_999]
+
+
+def test_random_search_folds_equal_rows_and_keeps_their_weight(spark):
+    """Rows of few values: the search sees all of them, and the search over three copies judges alike."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 8, (900, 2)).astype(float)
+    status = np.where((x[:, 0] > 4) ^ (rng.random(900) < 0.1), "damaged", "healthy")
+    df = spark.createDataFrame(pd.DataFrame(x, columns=["u", "v"]).assign(status=status))
+    assert all(len(s) == 9 for s in models.binner(df, ["u", "v"]).getSplitsArray())
+    model, found = models.random_search(df, ["u", "v"], "status", trials=2, iterations=3, depth=(2, 3))
+    best = models.best_trees(model)
+    assert sum(t.numNodes > 1 for t in best.trees) and all(r["auc"] > 0.7 for r in found.collect())
+    path, = folders(spark, "search", "model")
+    best.write().save(path)
+    top = spark.read.parquet(f"{path}/data").where("treeID = 0 and nodeData.id = 0").select("nodeData.*").first()
+    assert top["impurityStats"][0] == 900 and top["rawCount"] < 450  # all rows, in fewer weighted ones
+    assert models.score_table(model, df, ["u"], "damaged").where("(u > 4) = (probability > 0.5)").count() == 900

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Callable, Iterator, Sequence
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -11,10 +12,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import MinMaxScaler, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, MinMaxScaler, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.util import inheritable_thread_target
 
 from tidemark.functions.scalars import cluster_name, threshold_label
 from tidemark.operators.features import Lookup, join_lookups
@@ -62,22 +64,64 @@ def best_trees(model: PipelineModel):
     return getattr(last, "bestModel", last)
 
 
+BINS = 32  # Spark's trees look at no more bins of a feature by default
+
+
+def binner(df: DataFrame, features: Sequence[str]) -> Bucketizer:
+    """At most ``BINS`` bins per feature from all rows: one for each value where there are few, else equally full ones."""
+    shares = [k / BINS for k in range(1, BINS)]
+    row = df.agg(*[F.approx_count_distinct(f, 0.01).alias(f"n_{f}") for f in features],
+                 *[F.percentile_approx(F.col(f).cast("double"), shares, 10000).alias(f"q_{f}") for f in features]).first()
+    few = [f for f in features if row[f"n_{f}"] <= 2 * BINS]
+    values = df.agg(*[F.sort_array(F.collect_set(F.col(f).cast("double"))).alias(f) for f in few]).first() if few else {}
+    splits = []
+    for f in features:
+        held = values[f] if f in few else []
+        cuts = held[1:] if f in few and len(held) <= BINS else sorted(set(row[f"q_{f}"] or []))
+        splits.append([float("-inf"), *cuts, float("inf")] if cuts else [float("-inf"), 0.0, float("inf")])
+    return Bucketizer(splitsArray=splits, inputCols=list(features), outputCols=[f"{f}_bin" for f in features])
+
+
 def random_search(df: DataFrame, features: Sequence[str], label: str, trials: int = 16, iterations: int = 20,
                   depth: tuple[int, int] = (2, 8), parallelism: int = 4, seed: int = 123) -> tuple[PipelineModel, DataFrame]:
     """Random draws of depth, learning rate and leaf size, judged by AUC on a hold-out.
 
-    Returns the fitted pipeline and one row per trial.
+    Returns the fitted pipeline and one row per trial. Trees see bins only, so all rows that agree
+    in bins, label and part are one weighted row: the passes of the trials run over these, whose
+    number the bins bound, not over the rows. Every row is in the bins, a weight or the AUC. The
+    least leaf is a share of the weight, so it counts rows as well.
     """
     rng = random.Random(seed)
-    gbt = GBTClassifier(labelCol="label", featuresCol="features", maxIter=iterations, seed=seed)
-    draws = [{gbt.maxDepth: rng.randint(*depth), gbt.stepSize: float(np.exp(rng.uniform(-5, -0.5))),
-              gbt.minInstancesPerNode: round(float(np.exp(rng.uniform(0, 3))))} for _ in range(trials)]
-    search = TrainValidationSplit(estimator=gbt, estimatorParamMaps=draws, trainRatio=0.8, seed=seed,
-                                  parallelism=parallelism,
-                                  evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC"))
-    model = train(Pipeline(stages=[*_prepare(features, label), search]), df, [*features, label])
-    runs = [(i, d[gbt.maxDepth], d[gbt.stepSize], d[gbt.minInstancesPerNode], float(m))
-            for i, (d, m) in enumerate(zip(draws, model.stages[-1].validationMetrics))]
+    draws = [(rng.randint(*depth), float(np.exp(rng.uniform(-5, -0.5))), round(float(np.exp(rng.uniform(0, 3))))) for _ in range(trials)]
+    bins, (assembler, scaler, indexer) = binner(df, features), _prepare([f"{f}_bin" for f in features], label)
+    labels = indexer.fit(df)
+    marked = labels.transform(bins.transform(df.select(*features, label))).withColumn("held_out", F.rand(seed) >= 0.8)
+    cells = marked.groupBy(*bins.getOutputCols(), "label", "held_out").agg(F.count("*").cast("double").alias("rows"))
+    cells = cells.repartition(df.sparkSession.sparkContext.defaultParallelism).persist()  # bounded, whatever the rows
+    try:
+        scaled = Pipeline(stages=[assembler, scaler]).fit(cells)
+        ready = scaled.transform(cells).select("features", "label", "held_out", "rows").persist()
+        judge = BinaryClassificationEvaluator(metricName="areaUnderROC", weightCol="rows")
+
+        def fit(draw: tuple[int, float, int], part: DataFrame, n: float):
+            return GBTClassifier(labelCol="label", featuresCol="features", weightCol="rows", maxIter=iterations, seed=seed, maxDepth=draw[0],
+                                 stepSize=draw[1], minWeightFractionPerNode=min((draw[2] - 0.5) / n, 0.49)).fit(part)
+
+        rows = lambda part: part.agg(F.sum("rows")).first()[0]
+        train_part, test_part = ready.where("not held_out"), ready.where("held_out")
+        n_train = rows(train_part)
+        trial = inheritable_thread_target(df.sparkSession)(lambda draw: judge.evaluate(fit(draw, train_part, n_train).transform(test_part)))
+        pool = ThreadPool(min(parallelism, trials))
+        try:
+            found = pool.map(trial, draws, 1)
+        finally:
+            pool.terminate()
+        best = fit(draws[int(np.argmax(found))], ready, rows(ready))
+        ready.unpersist()
+    finally:
+        cells.unpersist()
+    model = PipelineModel([bins, *scaled.stages, labels, best])
+    runs = [(i, *draw, float(m)) for i, (draw, m) in enumerate(zip(draws, found))]
     return model, df.sparkSession.createDataFrame(
         runs, "trial int, max_depth int, learning_rate double, min_leaf int, auc double")
 
