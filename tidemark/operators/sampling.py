@@ -47,5 +47,5 @@ def split_keys(df: DataFrame, keys: Sequence[str], weights: Sequence[float], see
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """One even partition per core: for data that many passes will read from the cache."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    """Even partitions, at least one per core and more where the data is large: for data that many passes will read from the cache."""
+    return df.hint("rebalance")
