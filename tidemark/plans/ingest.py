@@ -201,7 +201,7 @@ def enrich_salted(spark, sf_dir):
 
 
 def layered_stream(spark, sf_dir):
-    """Raw → typed → enriched, two deliveries of several files, two files a micro-batch, every layer its own query."""
+    """Raw → typed → enriched, two deliveries of several files, two thirds of them a micro-batch, every layer its own query."""
     own = stream_session(spark)
     names = ["in", "raw", "typed", "enriched", "c1", "c2", "c3"]
     source, raw, typed, enriched, c1, c2, c3 = folders(spark, "layers", *names)
@@ -209,16 +209,17 @@ def layered_stream(spark, sf_dir):
     messages = readings.select(F.col("id").cast("double").alias("key"),
                                F.to_json(F.struct(*readings.columns)).cast("binary").alias("value"))
     labels = _labels(own, sf_dir)
+    n_files = max(3, messages.rdd.getNumPartitions())  # as many as the input has splits: a file is written by one task
 
     def run() -> None:
-        stream = files.stream_files(own, source, "parquet", "key double, value binary", max_files=2)
+        stream = files.stream_files(own, source, "parquet", "key double, value binary", max_files=2 * n_files // 3)
         layers.raw_layer(stream, "value", ["key"], raw, c1, available_now=True).awaitTermination()
         layers.typed_layer(own, raw, "key double, value string", readings.schema, typed, c2, ["id"],
                            {"id is not negative": "id >= 0"}, available_now=True).awaitTermination()
         layers.enriched_layer(own, typed, readings.schema, labels, ["id"], enriched, c3, salts=4,
                               available_now=True).awaitTermination()
 
-    replay([messages.filter("key < 500").repartition(3), messages.filter("key >= 500").repartition(3)], source, run)
+    replay([messages.filter("key < 500").repartition(n_files), messages.filter("key >= 500").repartition(n_files)], source, run)
     return spark.read.parquet(enriched)
 
 
