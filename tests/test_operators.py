@@ -461,3 +461,35 @@ def test_random_search_folds_equal_rows_and_keeps_their_weight(spark):
     top = spark.read.parquet(f"{path}/data").where("treeID = 0 and nodeData.id = 0").select("nodeData.*").first()
     assert top["impurityStats"][0] == 900 and top["rawCount"] < 450  # all rows, in fewer weighted ones
     assert models.score_table(model, df, ["u"], "damaged").where("(u > 4) = (probability > 0.5)").count() == 900
+
+
+def test_forecasts_of_many_series_are_solved_together(monkeypatch):
+    rng = np.random.default_rng(5)
+    parts = [8000 + np.sort(rng.choice(1500, n, replace=False)) for n in [1, 2, 700, *rng.integers(3, 40, 300).tolist()]]
+    days, bounds = np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+    y = rng.uniform(1, 50, len(days))
+    calls = []
+    inv = np.linalg.inv
+    monkeypatch.setattr(np.linalg, "inv", lambda a: calls.append(len(a)) or inv(a))
+    for params in (FC.Params(), FC.Params(weekly=False, yearly=False), FC.Params(yearly=False, ridge=2.0)):
+        found = list(additive.fit_predict_many(days, y, bounds, 7, params))
+        seen = set()
+        for first, out in found:
+            for a in set(first.tolist()):
+                b = bounds[np.searchsorted(bounds, a) + 1]
+                at = np.concatenate([days[a:b], days[b - 1] + np.arange(1, 8)])
+                one, here = additive.fit_predict(days[a:b], y[a:b], at, params), first == a
+                assert out["ds"][here].tolist() == at.tolist()
+                assert all(np.allclose(out[c][here], one[c], rtol=1e-9, atol=1e-9) for c in one)
+                seen.add(a)
+        assert len(seen) == len(parts)
+    assert sum(calls) == 2 * len(parts) and len(calls) < 20
+
+
+def test_search_fits_equal_candidates_once(monkeypatch):
+    t, y = season(900, 4.0)
+    calls, line = [], additive.Fits.line
+    monkeypatch.setattr(additive.Fits, "line", lambda self, s: calls.append(1) or line(self, s))
+    plain = [FC.Params(weekly=False, yearly=False, ridge=r, interval_width=w) for r, w in ((0.1, 0.5), (2.0, 0.9), (7.0, 0.95))]
+    found = additive.rolling_errors(t.astype(int), y, plain, 300, 90, 120)
+    assert len(calls) == 1 and len({f[:2] for f in found}) == 1 and found[0][2] < found[1][2] < found[2][2]

@@ -1,8 +1,8 @@
 """Many small regressions per Arrow batch: additive models and rolling evaluations of whole series.
 
-Rows arrive sorted by series and day. A batch holds many series; each is solved for all its
-cut-offs at once, as matrices of cut-offs by days, so no row is repeated per cut-off and no
-Python object is made per row. A series is bounded by the days it spans.
+Rows arrive sorted by series and day. A batch holds many series. Forecasts are solved for blocks
+of series at once; evaluations for all cut-offs of a series, as matrices of cut-offs by days, so no
+row is repeated per cut-off and no Python object is made per row. A series is bounded by the days it spans.
 """
 
 from __future__ import annotations
@@ -75,14 +75,15 @@ def whole_series(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iter
         yield rest, np.array([0, rest.num_rows])
 
 
-Rows = tuple[int, dict[str, np.ndarray]]
+Solved = Iterator[tuple[np.ndarray, dict[str, np.ndarray]]]
 
 
-def per_series(series: DataFrame, keys: Sequence[str], schema: T.StructType,
-               solve: Callable[[np.ndarray, np.ndarray], dict[str, np.ndarray]]) -> DataFrame:
-    """``solve(days, y)`` for every series of ``series(keys, ds, y)``; its columns, with the keys before them.
+def per_batch(series: DataFrame, keys: Sequence[str], schema: T.StructType,
+              solve: Callable[[np.ndarray, np.ndarray, np.ndarray], Solved]) -> DataFrame:
+    """``solve(days, y, bounds)`` for whole series of ``series(keys, ds, y)``; its columns, with the keys before them.
 
-    Days are numbers since 1970. NaN becomes NULL. One shuffle by key of rows that are already totals.
+    It yields, per block of results, the first row of each result's series and the columns. Days are
+    numbers since 1970. NaN becomes NULL. One shuffle by key of rows that are already totals.
     """
     names = [f.name for f in schema if f.name not in keys]
 
@@ -90,30 +91,38 @@ def per_series(series: DataFrame, keys: Sequence[str], schema: T.StructType,
         for batch, at in whole_series(batches, keys):
             days = batch.column("ds").cast(pa.int32()).to_numpy().astype(np.int64)
             y = batch.column("y").to_numpy(zero_copy_only=False)
-            first, found, rows = [], [], 0
-            for n, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
-                out = solve(days[a:b], y[a:b])
-                size = len(out[names[0]])
-                if size:
-                    first.append(np.full(size, a))
-                    found.append(out)
-                    rows += size
-                if rows and (rows >= FLUSH_ROWS or n == len(at) - 2):
-                    place = pa.array(np.concatenate(first))
-                    columns = [batch.column(k).take(place) for k in keys]
-                    for name in names:
-                        values = np.concatenate([o[name] for o in found])
-                        kind = schema[name].dataType
-                        if isinstance(kind, T.DateType):
-                            columns.append(pa.array(values.astype(np.int32)).cast(pa.date32()))
-                        else:
-                            columns.append(pa.array(values, from_pandas=True))
-                    yield pa.RecordBatch.from_arrays(columns, [*keys, *names])
-                    first, found, rows = [], [], 0
+            for first, found in solve(days, y, at):
+                place = pa.array(first)
+                columns = [batch.column(k).take(place) for k in keys]
+                for name in names:
+                    if isinstance(schema[name].dataType, T.DateType):
+                        columns.append(pa.array(found[name].astype(np.int32)).cast(pa.date32()))
+                    else:
+                        columns.append(pa.array(found[name], from_pandas=True))
+                yield pa.RecordBatch.from_arrays(columns, [*keys, *names])
 
     return series.select(*keys, "ds", "y").repartition(*keys).sortWithinPartitions(*keys, "ds").mapInArrow(run, schema)
 
 
+def per_series(series: DataFrame, keys: Sequence[str], schema: T.StructType,
+               solve: Callable[[np.ndarray, np.ndarray], dict[str, np.ndarray]]) -> DataFrame:
+    """``solve(days, y)`` for one series after the other; see ``per_batch``."""
+    def one_by_one(days: np.ndarray, y: np.ndarray, at: np.ndarray) -> Solved:
+        first, found, rows = [], [], 0
+        for n, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
+            out = solve(days[a:b], y[a:b])
+            size = len(next(iter(out.values())))
+            if size:
+                first.append(np.full(size, a))
+                found.append(out)
+                rows += size
+            if rows and (rows >= FLUSH_ROWS or n == len(at) - 2):
+                yield np.concatenate(first), {name: np.concatenate([o[name] for o in found]) for name in found[0]}
+                first, found, rows = [], [], 0
+
+    return per_batch(series, keys, schema, one_by_one)
+
+
 # ------------------------------------------------- line times weekday index, evaluated at cut-offs
 
 def cut_days(days: np.ndarray, initial: int, period: int, horizon: int) -> np.ndarray:
@@ -170,6 +179,9 @@ class Fits:
         self.mean_u = (self.u * self.used).sum(axis=1) / past
         self.away = (self.u - self.mean_u[:, None]) * self.used
         self.square = (self.away * self.away).sum(axis=1)
+        self.known = np.where(self.used, y, 0.0)
+        self.centred = self.u - self.mean_u[:, None]
+        self.found: dict[tuple, tuple] = {}
         self.design = {name: fourier(days, name) for name in PERIODS}
         self.factors: dict[tuple[str, ...], tuple] = {}
 
@@ -188,36 +200,44 @@ class Fits:
 
     def line(self, season: np.ndarray | float) -> tuple[np.ndarray, np.ndarray]:
         """Least squares through the data without the season: mean and slope per training length."""
-        value = self.y / np.maximum(1 + season, 0.05) * np.ones_like(self.u)
-        mean = (value * self.used).sum(axis=1) / self.past
-        slope = (self.away * (value - mean[:, None])).sum(axis=1) / np.where(self.square > 0, self.square, 1.0)
-        return mean, slope
+        value = self.known / np.maximum(1 + season, 0.05)
+        mean = value.sum(axis=1) / self.past
+        value -= mean[:, None]
+        return mean, np.einsum("cl,cl->c", self.away, value) / np.where(self.square > 0, self.square, 1.0)
 
-    def trend(self, fit: tuple, u: np.ndarray) -> np.ndarray:
-        mean, slope = fit[:2]
-        return np.maximum(mean[:, None] + slope[:, None] * (u - self.mean_u[:, None]), self.floor[:, None])
+    def trend(self, fit: tuple, centred: np.ndarray) -> np.ndarray:
+        line = fit[1][:, None] * centred
+        line += fit[0][:, None]
+        return np.maximum(line, self.floor[:, None], out=line)
 
     def solve(self, params: Params) -> tuple:
-        """Mean, slope, seasonal weights, and the deviations of the data from the fit and from the line.
+        """Mean, slope, seasonal weights, line and season at all days, the deviation of the data from the fit.
 
-        Line and season are fitted in turns, each against the data without the other.
+        Line and season are fitted in turns, each against the data without the other. The interval
+        width changes nothing here, nor does the ridge without seasonal terms.
         """
         terms, season = params.terms, np.zeros_like(self.u)
+        which = terms, params.ridge if terms else None
+        if which in self.found:
+            return self.found[which]
         weights = np.zeros((len(self.past), 0))
         for _ in range(TURNS if terms else 1):
             fit = self.line(season)
-            line = self.trend(fit, self.u)
+            line = self.trend(fit, self.centred)
             if terms:
                 design, value, vector = self.factor(terms)
-                right = np.where(self.used, self.y / line - 1, 0.0) @ design
+                right = (self.known / line - self.used) @ design
                 inner = np.einsum("cji,cj->ci", vector, right) / (value + params.ridge)
                 weights = np.einsum("cij,cj->ci", vector, inner)
                 season = weights @ design.T
-        return (*fit, weights, self._std(self.y - line * (1 + season)), self._std(self.y - line))
+        self.found[which] = (*fit, weights, line, season, self.std(line * (1 + season)))
+        return self.found[which]
 
-    def _std(self, error: np.ndarray) -> np.ndarray:
-        mean = (error * self.used).sum(axis=1) / self.past
-        return np.sqrt((((error - mean[:, None]) * self.used) ** 2).sum(axis=1) / self.past)
+    def std(self, fitted: np.ndarray) -> np.ndarray:
+        error = (self.y - fitted) * self.used
+        error -= (error.sum(axis=1) / self.past)[:, None]
+        error *= self.used
+        return np.sqrt(np.einsum("cl,cl->c", error, error) / self.past)
 
 
 def seasons(params: Params, weights: np.ndarray, days: np.ndarray) -> dict[str, np.ndarray]:
@@ -235,11 +255,11 @@ def fit_predict(days: np.ndarray, y: np.ndarray, at: np.ndarray, params: Params)
     fits = Fits(days, y, np.array([len(days)]))
     fit = fits.solve(params)
     u = (at - fits.start) / fits.span[:, None]
-    trend = fits.trend(fit, u)[0]
+    trend = fits.trend(fit, u - fits.mean_u[:, None])[0]
     effect = {name: values[0] for name, values in seasons(params, fit[2], at).items()}
     square, away = fits.square[0], u[0] - fits.mean_u[0]
     leverage = 1 / len(days) + (away * away / square if square > 0 else 0.0)
-    spread, trend_spread = params.z * fit[3][0], params.z * fit[4][0] * np.sqrt(leverage)
+    spread, trend_spread = params.z * fit[5][0], params.z * fits.std(fit[3])[0] * np.sqrt(leverage)
     season = effect["weekly"] + effect["yearly"]
     yhat = trend * (1 + season)
     out = {"trend": trend, "yhat_lower": yhat - spread, "yhat_upper": yhat + spread, "trend_lower": trend - trend_spread,
@@ -250,6 +270,78 @@ def fit_predict(days: np.ndarray, y: np.ndarray, at: np.ndarray, params: Params)
     return out
 
 
+def blocks(bounds: np.ndarray, more: int, cells: int = 1 << 14) -> Iterator[np.ndarray]:
+    """The numbers of series of like length, at most ``cells`` days with ``more`` for each, or one series."""
+    size = np.diff(bounds)
+    order = np.argsort(size, kind="stable")
+    stop = len(order)
+    while stop:
+        start = max(0, stop - max(1, cells // int(size[order[stop - 1]] + more)))
+        yield order[start:stop]
+        stop = start
+
+
+def fit_predict_many(days: np.ndarray, y: np.ndarray, bounds: np.ndarray, steps: int, params: Params) -> Solved:
+    """``fit_predict`` of every series for its own days and ``steps`` more, whole blocks of series at once.
+
+    The series of a block are the rows of matrices as wide as the longest; what is filled up counts nothing.
+    """
+    for block in blocks(bounds, steps):
+        size = np.diff(bounds)[block]
+        rows, width = len(block), int(size.max())
+        used = np.arange(width) < size[:, None]
+        source = np.minimum(bounds[block][:, None] + np.arange(width), bounds[block + 1][:, None] - 1)
+        at, value = days[source], np.where(used, y[source], 0.0)
+        start, last = at[:, :1], at[:, -1:]  # filled up with the last day
+        ahead = np.hstack([at, last + np.arange(1, steps + 1)])
+        u = (ahead - start) / np.maximum(1, last - start)
+        own, count = u[:, :width], size[:, None]
+        floor = np.maximum(1e-9, 0.01 * np.abs(value).sum(axis=1, keepdims=True) / count)
+        mean_u = (own * used).sum(axis=1, keepdims=True) / count
+        away = (own - mean_u) * used
+        square = (away * away).sum(axis=1, keepdims=True)
+        basis = {}
+        if params.terms:
+            distinct, place = np.unique(ahead, return_inverse=True)
+            place = place.reshape(ahead.shape)
+            basis = {t: fourier(distinct, t)[place] for t in params.terms}
+            design = np.concatenate([b[:, :width] for b in basis.values()], axis=2) * used[:, :, None]
+            turned = design.transpose(0, 2, 1)
+            normal = turned @ design
+            ridge = params.ridge * np.eye(normal.shape[1])
+            inverse = np.linalg.inv(normal + ridge) if params.ridge > 0 else np.linalg.pinv(normal, hermitian=True)
+        season = np.zeros((rows, width))
+        for _ in range(TURNS if params.terms else 1):
+            plain = value / np.maximum(1 + season, 0.05)
+            mean = plain.sum(axis=1, keepdims=True) / count
+            slope = (away * (plain - mean)).sum(axis=1, keepdims=True) / np.where(square > 0, square, 1.0)
+            line = np.maximum(mean + slope * (own - mean_u), floor)
+            if params.terms:
+                weights = inverse @ (turned @ (value / line - 1)[:, :, None])
+                season = (design @ weights)[:, :, 0]
+
+        def std(error: np.ndarray) -> np.ndarray:
+            centre = (error * used).sum(axis=1, keepdims=True) / count
+            return np.sqrt((((error - centre) * used) ** 2).sum(axis=1, keepdims=True) / count)
+
+        trend = np.maximum(mean + slope * (u - mean_u), floor)
+        effect, done = {name: np.zeros(u.shape) for name in PERIODS}, 0
+        for name, values in basis.items():
+            effect[name] = (values @ weights[:, done: done + values.shape[2]])[:, :, 0]
+            done += values.shape[2]
+        leverage = 1 / count + np.where(square > 0, (u - mean_u) ** 2 / np.where(square > 0, square, 1.0), 0.0)
+        spread, trend_spread = params.z * std(value - line * (1 + season)), params.z * std(value - line) * np.sqrt(leverage)
+        total = effect["weekly"] + effect["yearly"]
+        yhat = trend * (1 + total)
+        out = {"ds": ahead, "trend": trend, "yhat_lower": yhat - spread, "yhat_upper": yhat + spread,
+               "trend_lower": trend - trend_spread, "trend_upper": trend + trend_spread, "yhat": yhat}
+        for name, values in (("multiplicative_terms", total), *effect.items(), ("additive_terms", np.zeros(u.shape))):
+            for suffix in ("", "_lower", "_upper"):
+                out[name + suffix] = values
+        real = np.hstack([used, np.ones((rows, steps), bool)])
+        yield np.repeat(bounds[block], size + steps), {name: values[real] for name, values in out.items()}
+
+
 def rolling_errors(days: np.ndarray, y: np.ndarray, candidates: Sequence[Params], initial: int, period: int,
                    horizon: int) -> list[tuple[int, float, float]]:
     """Per candidate: predictions made, root mean square error, share inside the interval; NaN without a cut-off."""
@@ -259,12 +351,12 @@ def rolling_errors(days: np.ndarray, y: np.ndarray, candidates: Sequence[Params]
     keep = (past > 1) & ahead.any(axis=1)
     if not keep.any():
         return [(0, math.nan, math.nan)] * len(candidates)
-    ahead, fits, out = ahead[keep], Fits(days, y, past[keep]), []
+    c, d = np.nonzero(ahead[keep])
+    fits, out = Fits(days, y, past[keep]), []
     for params in candidates:
-        fit = fits.solve(params)
-        season = sum(seasons(params, fit[2], days).values())
-        yhat = fits.trend(fit, fits.u) * (1 + season)
-        error, spread = np.abs(y - yhat), (params.z * fit[3])[:, None]
-        inside = (y >= yhat - spread) & (y <= yhat + spread)
-        out.append((int(ahead.sum()), float(np.sqrt((error[ahead] ** 2).mean())), float(inside[ahead].mean())))
+        *_, line, season, spread = fits.solve(params)
+        yhat = line[c, d] * (1 + season[c, d])
+        error, half = y[d] - yhat, params.z * spread[c]
+        inside = (y[d] >= yhat - half) & (y[d] <= yhat + half)
+        out.append((len(c), float(np.sqrt((error ** 2).mean())), float(inside.mean())))
     return out

@@ -131,16 +131,15 @@ def forecast_by_key(df: DataFrame, keys: Sequence[str], day: str, value: str, st
     """One model per key: history and ``steps`` days ahead, with intervals and terms.
 
     A series is one key's daily totals, so its size is bounded by the days it spans. An Arrow
-    batch holds many of them.
+    batch holds many of them, and series of like length are solved together.
     """
     series = daily_series(df, keys, day, value)
 
-    def solve(days: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
-        at = np.concatenate([days, days[-1] + np.arange(1, steps + 1)])
-        found = additive.fit_predict(days, y, at, params)
-        return {"ds": at, **{c: found[c].astype(np.float32) for c in FORECAST_COLUMNS}}
+    def solve(days: np.ndarray, y: np.ndarray, at: np.ndarray) -> additive.Solved:
+        for first, found in additive.fit_predict_many(days, y, at, steps, params):
+            yield first, {"ds": found["ds"], **{c: found[c].astype(np.float32) for c in FORECAST_COLUMNS}}
 
-    return additive.per_series(series, keys, _forecast_schema(series, keys), solve)
+    return additive.per_batch(series, keys, _forecast_schema(series, keys), solve)
 
 
 def search_space(trials: int = 12, seed: int = 123) -> list[Params]:
