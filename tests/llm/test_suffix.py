@@ -77,3 +77,16 @@ def test_matching_statistics_equal_brute_force():
 
         wanted = [max([common(x, y) for j, y in enumerate(tails) if j != i], default=0) for i, x in enumerate(tails)]
         assert suffix.matching_statistics(np.frombuffer(b"".join(parts), np.uint8), bounds).tolist() == wanted
+
+
+def test_a_block_stays_small_in_memory():
+    import tracemalloc
+    import pyarrow as pa
+    from tidemark.llm.arrow import chunks, text_bytes
+    rng = random.Random(3)
+    batch = pa.RecordBatch.from_pydict({"text": ["".join(rng.choices("abcdefgh ", k=20_000)) for _ in range(100)]})
+    tracemalloc.start()
+    n = sum(len(suffix.segments(*text_bytes(part.column("text")))[0]) for part in chunks([batch], "text", suffix.BLOCK_BYTES))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > 1000 and peak < 32e6
