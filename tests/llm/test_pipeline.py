@@ -96,3 +96,11 @@ def test_an_empty_table_passes_all_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     kept, mixed = run_stages(spark, docs)
     assert kept.count() == mixed.count() == 0
+
+
+def test_stages_leave_nothing_behind_on_the_driver(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(5)
+    for name, stage in corpus_pipeline.STAGES:
+        left = spark.sparkContext._jvm.java.lang.ref.WeakReference(spark.sparkContext._jvm.java.util.ArrayList())
+        assert stage(spark, docs, SF) is not None
+        assert left.get() is None, name
