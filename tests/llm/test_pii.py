@@ -132,3 +132,11 @@ def test_long_secrets_and_tokens_without_digits(spark):
     assert listed[122] == listed[123] == ""  # no digit in the token, whatever stands beside it
     clean = [r.clean for r in pii.find(docs, model).where("doc_id IN (120, 121)").select(pii.redact(F.col("text"), F.col("spans")).alias("clean")).collect()]
     assert clean == ['call token = "[SECRET]" end'] * 2
+
+
+def test_the_trees_learn_from_all_texts(spark, monkeypatch):
+    docs = spark.range(30_000).select("id", F.format_string("phone: 555-%03d-%04d", F.col("id") % 1000, F.col("id") % 9973).alias("text"))
+    listed = []
+    monkeypatch.setattr(pii, "materialize", lambda df, label: listed.append(df.count()) or df)
+    pii.train(docs)
+    assert listed == [30_000]

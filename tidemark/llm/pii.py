@@ -9,7 +9,7 @@ the number ranges of an SSN), words such as ``phone:`` and assignments such as
 ``token = "..."`` label some candidates, the trees generalise to the rest. A candidate that a
 rule is sure of is a span whatever the trees say, so a kind too rare to train on is found too.
 
-Training reads a bounded sample of texts (``train_docs``). Scoring runs the trees as one
+Training reads the candidates of all texts. Scoring runs the trees as one
 SQL expression inside the row, so no document is shuffled and no row leaves the JVM.
 """
 
@@ -45,6 +45,8 @@ HINTED = r"(?i)(?:token|secret|passw(?:or)?d|pwd|api.?key|key|auth|bearer|ssn|ib
 CALLED = r"(?i)(?<![a-z])(?:tel(?:ephone)?|(?:tele)?phone|mobile|cell|fax|call)(?:\x20?(?:no|number|nr))?[\x20.:=\"']*+$"
 CREDENTIAL = r"(?i)(?:token|secret|passw(?:or)?d|pwd|key)\s?[=:]\s?[\"']?$"
 FEATURES = ("kind", "length", "digits", "uppers", "lowers", "marks", "switches", "hinted", "opens", "glued", "checked")
+#: Candidates of a training task.
+TASK_ROWS = 100_000
 
 
 class Model(NamedTuple):
@@ -206,19 +208,17 @@ def _read_trees(spark: SparkSession, fitted) -> tuple:
     return tuple((fitted.treeWeights[n], trees[n]) for n in sorted(trees))
 
 
-def train(docs: DataFrame, text_col: str = "text", train_docs: int = 20_000, precision: float = 0.95,
+def train(docs: DataFrame, text_col: str = "text", precision: float = 0.95,
           rounds: int = 10, depth: int = 3, seed: int = 7) -> Model:
-    """Boosted trees over the weakly labelled candidates of about ``train_docs`` texts.
+    """Boosted trees over the weakly labelled candidates of all texts that hold a digit; in others there are no spans.
 
-    Texts are chosen by hash; one half of the candidates trains, the other calibrates: the
-    threshold of a kind is the lowest score above which at least ``precision`` of its
-    labelled candidates are personal. A kind without such a score, or a sample with a
-    single label, adds no spans but those of which a rule is sure.
+    One half of the candidates trains, the other calibrates: the threshold of a kind is the
+    lowest score above which at least ``precision`` of its labelled candidates are personal.
+    A kind without such a score, or candidates with a single label, add no spans but those of
+    which a rule is sure.
     """
     spark = docs.sparkSession
-    share = min(1.0, train_docs / max(docs.count(), 1))
-    mark = F.pmod(F.xxhash64(text_col, F.lit(seed)), F.lit(1 << 30))
-    text = docs.where((mark < int(share * (1 << 30)) + 1) & F.col(text_col).rlike("[0-9]")).select(F.col(text_col).alias("text"))
+    text = docs.where(F.col(text_col).rlike("[0-9]")).select(F.col(text_col).alias("text"))
     listed = text.select("text", base_spans(F.col("text")).alias("base")).select(candidates(F.col("text"), F.col("base")).alias("c"))
     # The outer form keeps the optimizer from evaluating all candidates once more as a filter.
     listed = listed.select(F.explode_outer("c").alias("c")).select("c.label", *[f"c.{f}" for f in FEATURES], F.xxhash64("c").alias("h"))
@@ -226,9 +226,10 @@ def train(docs: DataFrame, text_col: str = "text", train_docs: int = 20_000, pre
     learn, judge = listed.where("h % 2 = 0"), listed.where("h % 2 != 0")
     if learn.select("label").distinct().count() < 2:
         return Model((), {})
+    parts = max(4, learn.count() // TASK_ROWS)
     ready = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(learn)
     fitted = GBTClassifier(labelCol="label", featuresCol="features", maxIter=rounds, maxDepth=depth, seed=seed,
-                           minInstancesPerNode=5).fit(ready.repartition(4, "h"))
+                           minInstancesPerNode=5).fit(ready.repartition(parts, "h"))
     model = Model(_read_trees(spark, fitted), {})
     row = F.struct(*FEATURES)
     scored = judge.select(F.col("kind").cast("int").alias("number"), "label", F.round(_score(row, model), 2).alias("score"))
