@@ -375,6 +375,37 @@ def test_shapley_equals_brute_force_and_adds_up(spark, fitted):
         assert np.allclose([r[f"{f}_shap"] for f in FEATURES], wanted)
 
 
+def test_the_search_runs_over_cells_and_counts_rows(spark, monkeypatch):
+    from pyspark.ml.tuning import CrossValidator
+    seen, fit = [], CrossValidator.fit
+    monkeypatch.setattr(CrossValidator, "fit", lambda self, data: (seen.append(data.count()), fit(self, data))[1])
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 5, (4000, 2))
+    df = spark.createDataFrame(pd.DataFrame(x, columns=["u", "v"]).assign(status=np.where((x[:, 0] > 2) & (x[:, 1] < 2), "damaged", "healthy")))
+    weighted = stats.class_weights(df, "status")
+    model = models.train(models.damage_classifier(["u", "v"], "status", depths=(2, 3), weight="weight"), weighted, ["u", "v", "status", "weight"])
+    assert seen and max(seen) <= 5 * 5 * 2  # cells of two folds, not 4,000 rows
+    assert metrics.label_metrics(model.transform(df), float(models.label_index(model, "damaged"))).first()["f1"] == 1
+    path, = folders(spark, "trees", "model")
+    models.best_trees(model).write().save(path)
+    for r in spark.read.parquet(f"{path}/data").collect():
+        node = r["nodeData"]
+        if node["id"] == 0:
+            assert node["rawCount"] == 4000
+
+
+def test_cuts_are_those_of_all_rows(spark, monkeypatch):
+    assert models.tree_cuts([(v, v, 1.0) for v in (1.0, 2.0, 4.0)], 32) == [1.5, 3.0]
+    held = [(float(v), float(v), 1.0) for v in range(100)]
+    cuts = models.tree_cuts(held, 4)
+    assert cuts == [24.5, 49.5, 74.5]
+    df = spark.range(40000).selectExpr("cast(id as double) AS u", "id % 3 AS v", "1D AS w")
+    monkeypatch.setattr(models, "GRID", 256)
+    u, v = models.tree_bins(df, ["u", "v"], F.col("w")).getSplitsArray()
+    assert len(u) == 33 and np.allclose(u[1:-1], np.arange(1, 32) * 1250, atol=40000 / 256)
+    assert np.allclose(v[1:-1], [0.5, 1.5])
+
+
 def test_clusters_udf_equals_model_and_elbow_falls(spark):
     rng = np.random.default_rng(0)
     x = np.vstack([rng.normal(m, 0.1, (50, 2)) for m in ((0, 0), (0, 5), (5, 0), (5, 5))])

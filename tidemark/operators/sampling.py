@@ -20,13 +20,21 @@ def split_rows(df: DataFrame, weights: Sequence[float], seed: int) -> list[DataF
 
 
 def key_slot(keys: Sequence[str], seed: int) -> Column:
-    """A uniform slot in ``[0, SLOTS)`` that depends on the key and seed alone.
+    """A uniform slot in ``[0, SLOTS)`` that depends on the key and seed alone, as 15 hexadecimal digits.
 
     The first 60 bits of an MD5 over seed and keys as text (NULL is empty), so other
     engines find the same slot.
     """
     text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+    return F.substring(F.md5(text), 1, 15)
+
+
+def _between(digits: Column, lo: int, hi: int) -> Column:
+    """Digits of one length compare like the numbers; ends that bound nothing cost nothing."""
+    if lo >= SLOTS:
+        return F.lit(False)
+    held = F.lit(True) if lo <= 0 else digits >= f"{lo:015x}"
+    return held if hi >= SLOTS else held & (digits < f"{hi:015x}")
 
 
 def _edge(share: float) -> int:
@@ -35,7 +43,7 @@ def _edge(share: float) -> int:
 
 def sample_keys(df: DataFrame, keys: Sequence[str], fraction: float, seed: int) -> DataFrame:
     """Sample that keeps or drops a key as a whole and survives re-partitioning."""
-    return df.filter(key_slot(keys, seed) < _edge(fraction))
+    return df.filter(_between(key_slot(keys, seed), 0, _edge(fraction)))
 
 
 def split_keys(df: DataFrame, keys: Sequence[str], weights: Sequence[float], seed: int) -> list[DataFrame]:
@@ -43,9 +51,4 @@ def split_keys(df: DataFrame, keys: Sequence[str], weights: Sequence[float], see
     total = float(sum(weights))
     edges = [0] + [_edge(sum(weights[:i + 1]) / total) for i in range(len(weights))]
     slot = key_slot(keys, seed)
-    return [df.filter((slot >= lo) & (slot < hi)) for lo, hi in zip(edges, edges[1:])]
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Even partitions, at least one per core and more where the data is large: for data that many passes will read from the cache."""
-    return df.hint("rebalance")
+    return [df.filter(_between(slot, lo, hi)) for lo, hi in zip(edges, edges[1:])]

@@ -8,6 +8,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.quantiles import exact_quantiles
+from tidemark.session import materialize
 
 
 def _long(wide: DataFrame, rows: Sequence[Sequence[tuple[str, Column]]]) -> DataFrame:
@@ -65,10 +66,11 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     """Add a weight of one over the size of the row's class; NULL where the label is NULL.
 
-    The class sizes are a pre-aggregated table. Spark broadcasts it where it is small, and
-    splits the rows of a hot label where it is not.
+    The class sizes are a stored table, so that Spark knows its size: it broadcasts it where it
+    is small and leaves the rows where they are, and splits those of a hot label where it is not.
     """
     sizes = df.filter(F.col(label).isNotNull()).groupBy(label).agg((F.lit(1.0) / F.count("*")).alias(name))
+    sizes = materialize(sizes, "class-sizes")
     return df.join(sizes, label, "left").select(*[F.col(c) for c in df.columns], name)
 
 
