@@ -406,6 +406,21 @@ def test_cuts_are_those_of_all_rows(spark, monkeypatch):
     assert np.allclose(v[1:-1], [0.5, 1.5])
 
 
+def test_values_by_cell_equal_values_by_leaf():
+    rng = np.random.default_rng(2)
+    leaves = []
+    for _ in range(30):
+        used = np.sort(rng.choice(4, rng.integers(1, 4), replace=False))
+        low = rng.integers(-3, 3, len(used)).astype(float)
+        high = np.where(rng.random(len(used)) < 0.3, np.inf, low + rng.integers(1, 3, len(used)))
+        leaves.append(attribution.Leaf(rng.normal(), used, np.where(rng.random(len(used)) < 0.3, -np.inf, low), high, rng.random(len(used))))
+    tables, _ = attribution.prepare(leaves)
+    x = rng.integers(-4, 6, (500, 4)).astype(float)  # many of them are cut points
+    wanted = attribution.explain(x, tables)
+    for limit in (1 << 16, 200, 2):
+        assert np.allclose(attribution.explain_cells(x, attribution.cell_tables(tables, 4, limit)), wanted)
+
+
 def test_clusters_udf_equals_model_and_elbow_falls(spark):
     rng = np.random.default_rng(0)
     x = np.vstack([rng.normal(m, 0.1, (50, 2)) for m in ((0, 0), (0, 5), (5, 0), (5, 5))])

@@ -4,23 +4,26 @@ A feature that is left out sends a row down both branches, weighted by the train
 that the tree's nodes counted (path-dependent tree explanation, Lundberg et al. 2020). No
 background rows are needed. For a leaf only the features on its path matter, and of a row
 only which of their intervals it meets, so each leaf has a small table of values by that
-pattern. No shuffle: rows are scored where they are.
+pattern. Rows between the same cuts have the same values, which are worked out once.
+No shuffle: rows are scored where they are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from math import factorial
+from math import factorial, prod
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.session import scratch_dir
 
+CELLS = 1 << 16  # of a table of values, at most
+
 
 class Leaf(NamedTuple):
     """Value of a leaf; of each feature on its path the open-closed interval and the share
@@ -103,18 +106,59 @@ def explain(x: np.ndarray, tables: Sequence[tuple[Leaf, np.ndarray]]) -> np.ndar
     return phi
 
 
+def _cuts(tables: Sequence[tuple[Leaf, np.ndarray]], n: int) -> list[np.ndarray]:
+    """Per feature the ends of the leaves' intervals, in order."""
+    ends: list[set[float]] = [set() for _ in range(n)]
+    for leaf, _ in tables:
+        for f, low, high in zip(leaf.features, leaf.low, leaf.high):
+            ends[f] |= {low, high}
+    return [np.array(sorted(e - {-np.inf, np.inf})) for e in ends]
+
+
+def cell_tables(tables: Sequence[tuple[Leaf, np.ndarray]], n: int, limit: int = CELLS) -> list[tuple[list[np.ndarray], np.ndarray | None, Sequence]]:
+    """Values for all rows between the same cuts, worked out once: cuts, values per cell, leaves.
+
+    Leaves whose cuts make more than ``limit`` cells are halved; a single one of that kind has no cells.
+    """
+    cuts = _cuts(tables, n)
+    shape = [len(c) + 1 for c in cuts]
+    if prod(shape) > limit:
+        if len(tables) == 1:
+            return [(cuts, None, tables)]
+        half = len(tables) // 2
+        return cell_tables(tables[:half], n, limit) + cell_tables(tables[half:], n, limit)
+    # A cut belongs to the interval below it, so it stands for that; beyond the last one stands infinity.
+    points = np.meshgrid(*[np.append(c, np.inf) for c in cuts], indexing="ij")
+    return [(cuts, explain(np.stack([p.ravel() for p in points], axis=1), tables), tables)]
+
+
+def explain_cells(x: np.ndarray, parts: Sequence[tuple[list[np.ndarray], np.ndarray | None, Sequence]]) -> np.ndarray:
+    """``explain`` by cells: one look-up a row and part instead of one a row and leaf."""
+    phi = np.zeros(x.shape)
+    for cuts, values, tables in parts:
+        if values is None:
+            phi += explain(x, tables)
+            continue
+        cell = np.zeros(len(x), np.int64)
+        for f, cut in enumerate(cuts):
+            if len(cut):
+                cell = cell * (len(cut) + 1) + np.searchsorted(cut, x[:, f], "left")
+        phi += values[cell]
+    return phi
+
+
 def shapley(df: DataFrame, model, features: Sequence[str], vector: str = "features", keep: Sequence[str] = ()) -> DataFrame:
     """``<feature>_shap`` for every row plus ``base``; ``vector`` is the model's input column."""
     tables, base = prepare(model_leaves(df.sparkSession, model))
+    parts = cell_tables(tables, len(features)) if tables else []
     names = [f"{f}_shap" for f in features]
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(c, T.DoubleType()) for c in [*names, "base"]])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            out = pd.DataFrame(explain(np.stack(pdf["_x"].to_numpy()), tables), columns=names)
-            out["base"] = base
-            yield pd.concat([pdf[list(keep)].reset_index(drop=True), out], axis=1)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column("_x").flatten().to_numpy().reshape(batch.num_rows, len(features))
+            phi = explain_cells(x, parts)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *[pa.array(c) for c in phi.T], pa.array(np.full(len(x), base))],
+                                             [*keep, *names, "base"])
 
-    return df.select(*keep, vector_to_array(vector).alias("_x")).mapInPandas(run, schema)
+    return df.select(*keep, vector_to_array(vector).alias("_x")).mapInArrow(run, schema)
